@@ -200,3 +200,15 @@ ESTIMATE_SAMPLES = [
     {"kategorija": "ves_masina", "brend": "Bosch", "dijagonala_inch": "", "kapacitet_kg": "8",
      "zapremina_l": "", "snaga_w": "2000", "energetska_klasa_num": "8"},
 ]
+
+# Cluster description, (text before, decimals, thousands separator, text after).
+CLUSTER_TEXTS = {
+    "cena": ("prosečna cena ≈ ", 0, True, " RSD"),
+    "zapremina_l": ("prosečna zapremina ≈ ", 0, False, " l"),
+    "kapacitet_kg": ("prosečan kapacitet ≈ ", 1, False, " kg"),
+    "dijagonala_inch": ("prosečna dijagonala ≈ ", 0, False, '"'),
+    "snaga_w": ("prosečna snaga ≈ ", 0, False, " W"),
+}
+# Description of the energy class code, good from 6 on.
+CLUSTER_GRADE_FROM = 6
+CLUSTER_GRADE_TEXTS = ("bolje energ. klase (", "lošije energ. klase (", 1, "/10)")

@@ -36,9 +36,17 @@ def _offers_within(value) -> Iterator[dict]:
         yield from _offers_within(item)
 
 
+def _chunk_text(chunk: str) -> str:
+    """Text of one chunk; a chunk that is no JSON string carries nothing."""
+    try:
+        return json.loads(chunk)
+    except ValueError:
+        return ""
+
+
 def _offers_in_page(html: str) -> list[tuple[str | None, str]]:
     """Reference and JSON text of each offer of a page; a repeated reference counts once."""
-    payload = "".join(json.loads(chunk) for chunk in CHUNK.findall(html or ""))
+    payload = "".join(map(_chunk_text, CHUNK.findall(html or "")))
     decoder, at, by_reference = json.JSONDecoder(), payload.find("{"), {}
     while at >= 0:
         try:
@@ -47,17 +55,16 @@ def _offers_in_page(html: str) -> list[tuple[str | None, str]]:
             at = payload.find("{", at + 1)
             continue
         for offer in _offers_within(value):
-            by_reference.setdefault(offer.get("productReference"), offer)
+            by_reference.setdefault(json.dumps(offer.get("productReference")), offer)
         at = payload.find("{", end)
-    return [(None if ref is None else str(ref), json.dumps(offer, ensure_ascii=False))
-            for ref, offer in by_reference.items()]
+    return [(offer.get("productReference"), json.dumps(offer, ensure_ascii=False)) for offer in by_reference.values()]
 
 
 def embedded_offers(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """``(key, pozicija, referenca, dokument)`` for every offer document inside the pages' scripts."""
     def harvest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(k, i, ref, doc) for k, page in zip(batch[key], batch[html])
+            rows = [(k, i, None if ref is None else str(ref), doc) for k, page in zip(batch[key], batch[html])
                     for i, (ref, doc) in enumerate(_offers_in_page(page))]
             yield pd.DataFrame(rows, columns=[key, "pozicija", "referenca", "dokument"])
 

@@ -23,7 +23,8 @@ class UpsertTable:
 
     def _fold(self, ends: DataFrame) -> DataFrame:
         """Merge ``(key, first, last)`` rows; every end is a struct that starts with its position."""
-        return ends.groupBy(self.key).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        return ends.groupBy(self.key).agg(
+            F.min_by("first", "first.position").alias("first"), F.max_by("last", "last.position").alias("last"))
 
     def _ends(self, df: DataFrame) -> DataFrame:
         first = [c for c in df.columns if c not in (self.key, *self.latest)]
