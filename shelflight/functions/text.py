@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +19,11 @@ ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy"
             "hellip": "…", "rarr": "→", "laquo": "«", "raquo": "»", "euro": "€"}
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Drop white space at both ends (``trim`` alone drops blanks only)."""
     return F.regexp_replace(text, f"^{WS}+|{WS}+$", "")
@@ -116,7 +121,8 @@ def unescape(text: Column) -> Column:
     hexa = F.array_distinct(F.regexp_extract_all(out, F.lit(r"&#[xX]([0-9a-fA-F]{1,5});"), 1))
     out = F.aggregate(hexa, out, lambda acc, n: F.regexp_replace(
         acc, F.concat(F.lit("&#[xX]"), n, F.lit(";")), code_point(F.conv(n, 16, 10).cast("long"))))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    out = F.replace(out, F.lit("&amp;"), F.lit("&"))
+    return F.when(text.contains("&"), out).otherwise(text)
 
 
 def visible_text(html: Column) -> Column:

@@ -22,7 +22,7 @@ from shelflight.functions.quantiles import quantiles
 from shelflight.functions.text import normal_brand
 from shelflight.functions.vectors import ratio
 from shelflight.roles import Roles
-from shelflight.session import settle
+from shelflight.session import settle, ship_package
 
 #: Most cells that one process works on; above it every step is a job over the cells.
 LOCAL_CELLS = 1_000_000
@@ -190,6 +190,8 @@ def descend(cell_table: DataFrame, design: Design, rate: float = 0.01, steps: in
         def sums(theta: np.ndarray) -> np.ndarray:
             return _pass(held, theta, design, offsets)
     else:
+        ship_package(cell_table.sparkSession)
+
         def sums(theta: np.ndarray) -> np.ndarray:
             def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 total = np.zeros(len(theta) + 2)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,3 +52,19 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/shelflight/{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    # The archive is built on the driver; Spark copies it to every executor.
+    folder = tempfile.mkdtemp(prefix="shelflight-py-")
+    archive = shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)

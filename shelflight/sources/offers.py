@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
 from shelflight.functions import text as tx
+from shelflight.session import ship_package
 from shelflight.sources.pages import last_wins, offer_columns
 
 #: One offer document.
@@ -68,6 +69,7 @@ def embedded_offers(pages: DataFrame, key: str = "page_id", html: str = "html")
                     for i, (ref, doc) in enumerate(_offers_in_page(page))]
             yield pd.DataFrame(rows, columns=[key, "pozicija", "referenca", "dokument"])
 
+    ship_package(pages.sparkSession)
     key_type = pages.schema[key].dataType.simpleString()
     return pages.select(key, html).mapInPandas(
         harvest, f"{key} {key_type}, pozicija int, referenca string, dokument string")

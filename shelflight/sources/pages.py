@@ -58,7 +58,7 @@ class CardRules:
     """Listing cards of the third shop, fixed values too."""
 
     card: Tag = Tag("div", ("product",))
-    heading: Tag = Tag("h3", ("product-name",))
+    heading: Tag | None = Tag("h3", ("product-name",))
     link: Tag = Tag("a")
     price: str = (r"""(?is)<(\w+)\b(?=[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?product-price"""
                   r"""(?:\s[^"']*)?["'])[^>]*>(.*?)</\1\s*>""")
@@ -128,9 +128,12 @@ def spec_map(html: Column, rules: PageRules = PageRules()) -> Column:
 
 def last_wins(pairs: Column) -> Column:
     """Map of ``(key, value)`` structs in which a repeated key keeps its last value."""
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(
-        F.filter(pairs, lambda p: p["key"] == k), -1)["value"]))
+    def folded(ps: Column) -> Column:
+        keys = F.array_distinct(F.transform(ps, lambda p: p["key"]))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(
+            F.filter(ps, lambda p: p["key"] == k), -1)["value"]))
+
+    return tx.let(pairs, folded)
 
 
 def product_pages(pages: DataFrame, source: str, html: str = "html", url: str = "url",
@@ -158,7 +161,7 @@ def cards(html: Column, rules: CardRules = CardRules()) -> Column:
     block = rf"(?is){rules.card.opening()}(.*?)(?={rules.card.opening()}|\z)"
 
     def card(body: Column) -> Column:
-        heading = tx.first_match(body, rules.heading.element())
+        heading = tx.first_match(body, rules.heading.element()) if rules.heading else body
         href = attribute(F.get(all_tags(heading, rules.link), F.lit(0)), "href")
         price = tx.number_in(inner_text(tx.first_match(body, rules.price, 2)))
         return F.struct(href.alias("url"), inner_text(tx.first_match(heading, rules.link.element())).alias("naziv"),
