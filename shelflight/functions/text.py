@@ -112,17 +112,23 @@ def unescape(text: Column) -> Column:
     def code_point(code: Column) -> Column:
         return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
-    out = text
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    decimal = F.array_distinct(F.regexp_extract_all(out, F.lit(r"&#(\d{1,6});"), 1))
-    out = F.aggregate(decimal, out, lambda acc, n: F.replace(
-        acc, F.concat(F.lit("&#"), n, F.lit(";")), code_point(n.cast("long"))))
-    hexa = F.array_distinct(F.regexp_extract_all(out, F.lit(r"&#[xX]([0-9a-fA-F]{1,5});"), 1))
-    out = F.aggregate(hexa, out, lambda acc, n: F.regexp_replace(
-        acc, F.concat(F.lit("&#[xX]"), n, F.lit(";")), code_point(F.conv(n, 16, 10).cast("long"))))
-    out = F.replace(out, F.lit("&amp;"), F.lit("&"))
-    return F.when(text.contains("&"), out).otherwise(text)
+    def decimals(t: Column) -> Column:
+        codes = F.array_distinct(F.regexp_extract_all(t, F.lit(r"&#(\d{1,6});"), 1))
+        return F.aggregate(codes, t, lambda acc, n: F.replace(
+            acc, F.concat(F.lit("&#"), n, F.lit(";")), code_point(n.cast("long"))))
+
+    def hexes(t: Column) -> Column:
+        codes = F.array_distinct(F.regexp_extract_all(t, F.lit(r"&#[xX]([0-9a-fA-F]{1,5});"), 1))
+        return F.aggregate(codes, t, lambda acc, n: F.regexp_replace(
+            acc, F.concat(F.lit("&#[xX]"), n, F.lit(";")), code_point(F.conv(n, 16, 10).cast("long"))))
+
+    def resolved(t: Column) -> Column:
+        named = t
+        for name, char in ENTITIES.items():
+            named = F.replace(named, F.lit(f"&{name};"), F.lit(char))
+        return F.replace(let(let(named, decimals), hexes), F.lit("&amp;"), F.lit("&"))
+
+    return let(text, lambda t: F.when(t.contains("&"), resolved(t)).otherwise(t))
 
 
 def visible_text(html: Column) -> Column:

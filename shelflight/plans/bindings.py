@@ -32,7 +32,7 @@ CATALOGUE = {
     "id": "p_partkey",
     "url": "'https://shop.example/p/' || replace(p_name, ' ', '-') || '-' || p_partkey",
     "naziv": "p_name || ' ' || p_brand",
-    "brend": "p_brand",
+    "brend": "upper(p_brand)",
     "kategorija": "p_type",
     "cena": "CAST(CAST(p_retailprice * p_size AS DECIMAL(12,2)) AS DOUBLE)",
     "na_lageru": "CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_partkey % 3 <> 0 END",

@@ -140,8 +140,8 @@ def product_pages(pages: DataFrame, source: str, html: str = "html", url: str =
                   category: str = "kategorija", rules: PageRules = PageRules()) -> DataFrame:
     """One offer per product page; pages without a title are not products."""
     h = F.col(html)
-    found = (pages.withColumns({"_title": title(h, rules.title)}).where(F.col("_title").isNotNull())
-             .withColumns({"_specs": spec_map(h, rules), "_brand": brand_text(h, rules.brand)}))
+    found = pages.where(h.rlike(rules.title.element())).withColumns({
+        "_title": title(h, rules.title), "_specs": spec_map(h, rules), "_brand": brand_text(h, rules.brand)})
 
     def spec(name: str) -> Column:
         return tx.first_present(F.col("_specs"), rules.synonyms[name])
