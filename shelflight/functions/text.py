@@ -9,15 +9,22 @@ from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
 
-#: Every Unicode white-space character, spelled so that any regex engine agrees.
-WS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-      r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+#: Every white-space character: the ASCII ones and the Unicode blanks and line ends.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
+    map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+#: The same as a character class, spelled so that any regex engine agrees.
+WS = "[" + "".join(rf"\x{{{ord(c):X}}}" for c in BLANKS) + "]"
 
 #: Named character references that occur in shop pages.
 ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©",
             "reg": "®", "deg": "°", "middot": "·", "ndash": "–", "mdash": "—",
             "hellip": "…", "rarr": "→", "laquo": "«", "raquo": "»", "euro": "€"}
 
+_ENTITY_PAIRS = "array(" + ", ".join(
+    f"named_struct('a', '&{n};', 'b', {chr(34) + c + chr(34) if c != chr(34) else chr(39) + c + chr(39)})"
+    for n, c in ENTITIES.items()) + ")"
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once however often the body names it."""
@@ -44,10 +51,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, f"{WS}+"), lambda w: w != "")
 
 
+def pieces(text: Column) -> Column:
+    """Pieces between white space and hyphens, empty ones too.
+
+    Mapping every separator to a blank and splitting at blanks is much cheaper
+    than splitting by a character class.
+    """
+    separators = BLANKS + "-"
+    return F.split(F.translate(text, separators, " " * len(separators)), " ")
+
+
 def tokens(text: Column) -> Column:
-    """Lower-case words longer than one character; a hyphen separates words."""
-    pieces = F.split(F.replace(text, F.lit("-"), F.lit(" ")), f"{WS}+")
-    return F.transform(F.filter(pieces, lambda w: F.length(w) > 1), F.lower)
+    """Lower-case words longer than one character."""
+    return F.transform(F.filter(pieces(text), lambda w: F.length(w) > 1), F.lower)
 
 
 def number_in(text: Column) -> Column:
@@ -123,9 +139,7 @@ def unescape(text: Column) -> Column:
             acc, F.concat(F.lit("&#[xX]"), n, F.lit(";")), code_point(F.conv(n, 16, 10).cast("long"))))
 
     def resolved(t: Column) -> Column:
-        named = t
-        for name, char in ENTITIES.items():
-            named = F.replace(named, F.lit(f"&{name};"), F.lit(char))
+        named = F.aggregate(F.expr(_ENTITY_PAIRS), t, lambda acc, e: F.replace(acc, e["a"], e["b"]))
         return F.replace(let(let(named, decimals), hexes), F.lit("&amp;"), F.lit("&"))
 
     return let(text, lambda t: F.when(t.contains("&"), resolved(t)).otherwise(t))

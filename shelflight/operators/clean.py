@@ -81,13 +81,15 @@ def tukey_filter(df: DataFrame, column: str, floor: float | None = None, by: Seq
 
 def clean(df: DataFrame, roles: Roles = Roles(), rules: CleanRules = CleanRules()) -> DataFrame:
     """Required fields, positive price, brand, ranges, filled columns, latest per url, outliers, grade code."""
-    return (df
-            .transform(require, roles.required)
-            .transform(positive, roles.price)
-            .transform(with_normal_brand, roles.brand)
-            .transform(clamp_to_null, rules.ranges)
-            .transform(min_filled, roles.optional, rules.min_filled)
-            .transform(keep_latest, roles.url, [roles.fetched_at, roles.id])
+    latest = (df
+              .transform(require, roles.required)
+              .transform(positive, roles.price)
+              .transform(with_normal_brand, roles.brand)
+              .transform(clamp_to_null, rules.ranges)
+              .transform(min_filled, roles.optional, rules.min_filled)
+              .transform(keep_latest, roles.url, [roles.fetched_at, roles.id]))
+    # The quartiles and the filter both read these rows: shuffle for the latest ones once.
+    return (settle(latest)
             .transform(tukey_filter, roles.price, rules.min_price)
             .withColumn(roles.grade_code, ordinal_code(F.col(roles.grade), rules.grades)))
 

@@ -141,37 +141,44 @@ def cells(df: DataFrame, design: Design) -> DataFrame:
     return rows.groupBy(*design.labels).agg(*[c.alias(k) for k, c in sums.items()])
 
 
-def _pass(part: pd.DataFrame, theta: np.ndarray, design: Design, offsets: Mapping[str, dict]) -> np.ndarray:
-    """Gradient sums per weight, then the bias gradient, squared error and row count of some cells.
+class _Cells:
+    """Cells as arrays.
 
-    ``theta`` holds the numeric weights, the label weights and the bias;
-    ``offsets`` tells the place of each label's level, and the place past the
-    end is the level without a weight.
+    ``offsets`` tells the place of each label's level among the weights; the place
+    past the last weight stands for a level without one.
     """
-    p, m = len(design.numeric), len(theta) - 1
-    if part.empty:
-        return np.zeros(m + 3)
-    n, sy = part["n"].to_numpy(), part["sy"].to_numpy()
-    sx = part[[f"sx{i}" for i in range(p)]].to_numpy(dtype=float).reshape(len(part), p)
-    sxy = part[[f"sxy{i}" for i in range(p)]].to_numpy(dtype=float).reshape(len(part), p).sum(axis=0)
-    sxx = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            sxx[i, j] = sxx[j, i] = part[f"sxx{i}_{j}"].sum()
-    places = [part[c].map(offsets[c]).fillna(m).astype(int).to_numpy() for c in design.labels]
-
-    w, slots = theta[:p], np.append(theta[:m], 0.0)
-    level = theta[m] - design.target_mean + sum((slots[pl] for pl in places), np.zeros(len(part)))
-    error = sx @ w + n * level - sy
-    out = np.zeros(m + 3)
-    out[:p] = sxx @ w + sx.T @ level - sxy
-    for pl in places:
-        out[:m] += np.bincount(pl, weights=error, minlength=m + 1)[:m]
-    out[m] = error.sum()
-    out[m + 1] = (w @ sxx @ w + 2 * level @ (sx @ w) + n @ (level * level)
-                  - 2 * w @ sxy - 2 * level @ sy + part["syy"].sum())
-    out[m + 2] = n.sum()
-    return out
+
+    def __init__(self, part: pd.DataFrame, design: Design, offsets: Mapping[str, dict], m: int):
+        p = len(design.numeric)
+        self.p, self.m, self.target_mean = p, m, design.target_mean
+        self.n, self.sy = part["n"].to_numpy(dtype=float), part["sy"].to_numpy(dtype=float)
+        self.sx = part[[f"sx{i}" for i in range(p)]].to_numpy(dtype=float).reshape(len(part), p)
+        self.sxy = part[[f"sxy{i}" for i in range(p)]].to_numpy(dtype=float).reshape(len(part), p).sum(axis=0)
+        self.syy = float(part["syy"].sum())
+        self.sxx = np.zeros((p, p))
+        for i in range(p):
+            for j in range(i, p):
+                self.sxx[i, j] = self.sxx[j, i] = part[f"sxx{i}_{j}"].sum()
+        self.places = [part[c].map(offsets[c]).fillna(m).astype(int).to_numpy() for c in design.labels]
+
+    def sums(self, theta: np.ndarray) -> np.ndarray:
+        """Gradient sums per weight and for the bias, then squared error and row count."""
+        p, m = self.p, self.m
+        w, slots = theta[:p], np.append(theta[:m], 0.0)
+        level = np.full(len(self.n), theta[m] - self.target_mean)
+        for place in self.places:
+            level += slots[place]
+        fit_x, n_level = self.sx @ w, self.n * level
+        error = fit_x + n_level - self.sy
+        out = np.zeros(m + 3)
+        out[:p] = self.sxx @ w + level @ self.sx - self.sxy
+        for place in self.places:
+            out[:m] += np.bincount(place, weights=error, minlength=m + 1)[:m]
+        out[m] = error.sum()
+        out[m + 1] = (w @ self.sxx @ w + 2 * level @ fit_x + level @ n_level
+                      - 2 * w @ self.sxy - 2 * level @ self.sy + self.syy)
+        out[m + 2] = self.n.sum()
+        return out
 
 
 def descend(cell_table: DataFrame, design: Design, rate: float = 0.01, steps: int = 1000,
@@ -185,10 +192,7 @@ def descend(cell_table: DataFrame, design: Design, rate: float = 0.01, steps: in
         at += len(offsets[c])
 
     if cell_table.count() <= local_cells:
-        held = cell_table.toPandas()
-
-        def sums(theta: np.ndarray) -> np.ndarray:
-            return _pass(held, theta, design, offsets)
+        sums = _Cells(cell_table.toPandas(), design, offsets, len(names)).sums
     else:
         ship_package(cell_table.sparkSession)
 
@@ -196,7 +200,7 @@ def descend(cell_table: DataFrame, design: Design, rate: float = 0.01, steps: in
             def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 total = np.zeros(len(theta) + 2)
                 for batch in batches:
-                    total += _pass(batch, theta, design, offsets)
+                    total += _Cells(batch, design, offsets, len(names)).sums(theta)
                 keep = np.flatnonzero(total)
                 yield pd.DataFrame({"i": keep, "v": total[keep]})
 

@@ -31,7 +31,9 @@ SHOP_ITEMS = {
 
 
 def shop_items(spark: SparkSession, d: str) -> DataFrame:
-    return b.table(spark, d, "part").selectExpr(*b.select(SHOP_ITEMS))
+    # The items are small and the pages written from them are not: spread the items first.
+    parts = b.table(spark, d, "part").repartition(spark.sparkContext.defaultParallelism)
+    return parts.selectExpr(*b.select(SHOP_ITEMS))
 
 
 def _opt(value: Column, *parts) -> Column:
