@@ -57,6 +57,18 @@ def assign(df: DataFrame, features: Sequence[str], centroids: Sequence[Sequence[
     return df.withColumn(column, F.array_min(ranked)["i"])
 
 
+def assign_vectors(df: DataFrame, vector: str, centroids: Sequence[Sequence[float]],
+                   column: str = "klaster") -> DataFrame:
+    """The same for wide vectors held in one array column."""
+    def away(centre: Column) -> Column:
+        return F.aggregate(F.zip_with(vector, centre, lambda x, c: (x - c) * (x - c)), F.lit(0.0),
+                           lambda acc, v: acc + v)
+
+    ranked = F.array(*[F.struct(away(F.lit([float(v) for v in c])).alias("d"), F.lit(i).alias("i"))
+                       for i, c in enumerate(centroids)])
+    return df.withColumn(column, F.array_min(ranked)["i"])
+
+
 def seed_centroids(df: DataFrame, features: Sequence[str], k: int, seed: int = 42,
                    id: str = Roles().id) -> list[list[float]]:
     """k-means++ start: every next centroid is drawn with probability by squared distance.

@@ -276,7 +276,9 @@ def train(df: DataFrame, roles: Roles = Roles(), rate: float = 0.05, steps: int
     Scaling uses all rows before the split; ``scale_on_train`` keeps the test
     rows out of it.
     """
-    rows = df.where(_number(roles.price).isNotNull())
+    wanted = [roles.id, roles.price, roles.category, roles.brand, *roles.technical]
+    # Every later pass reads these columns only, and a costly input is computed once.
+    rows = settle(df.select(*wanted).where(_number(roles.price).isNotNull()))
     part, held_out = split(rows, roles.id, seed=seed)
     design = catalogue_design(part if scale_on_train else rows, roles)
     return Training(fit(part, design, rate, steps), part, held_out)

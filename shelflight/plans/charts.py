@@ -25,7 +25,7 @@ def _orders(s, d):
 
 def _boxes(s, d):
     y = b.table(s, d, "lineitem").selectExpr("l_returnflag", LINE_PRICE)
-    return b.rounded(charts.box_stats(y, LINE_ROLES), 6, "donji_brk", "q1", "medijana", "q3", "gornji_brk")
+    return b.rounded(charts.box_stats(y, LINE_ROLES), 8, "donji_brk", "q1", "medijana", "q3", "gornji_brk")
 
 
 def _labelled(s, d):
@@ -45,7 +45,7 @@ def _predicted(s, d):
 
 def _histogram(s, d):
     rows = b.table(s, d, "lineitem").select(F.col("l_linenumber").alias("klaster"), "l_extendedprice")
-    return b.rounded(charts.cluster_histogram(rows, "l_extendedprice"), 4, "od", "do")
+    return b.rounded(charts.cluster_histogram(rows, "l_extendedprice"), 6, "od", "do")
 
 
 QUERIES = {
@@ -61,7 +61,7 @@ QUERIES = {
     "e8_learning_curve": _curve,
     "e9_predicted_vs_actual": _predicted,
     "e10_cluster_centres": lambda s, d: b.rounded(
-        charts.cluster_centres(_labelled(s, d), ["cena", "snaga_w"]), 6, "sredina_cena", "sredina_snaga_w"),
+        charts.cluster_centres(_labelled(s, d), ["cena", "snaga_w"]), 7, "sredina_cena", "sredina_snaga_w"),
     "e10_cluster_scatter": lambda s, d: charts.cluster_scatter(_labelled(s, d), "cena", "snaga_w"),
     "e11_cluster_histogram": _histogram,
 }
@@ -117,25 +117,25 @@ WHERE kategorija = 'PROMO' AND dijagonala_inch IS NOT NULL AND cena IS NOT NULL"
 (SELECT l_returnflag, {LINE_PRICE.replace(' AS cena', ' AS y')} FROM lineitem)),
 q AS (SELECT l_returnflag, count(*) AS redova, count(y) AS n, quantile_cont(y, 0.25) AS q1,
 quantile_cont(y, 0.5) AS medijana, quantile_cont(y, 0.75) AS q3 FROM y GROUP BY l_returnflag HAVING count(*) >= 10)
-SELECT q.l_returnflag, any_value(redova) AS redova, any_value(n) AS n, round(any_value(q1), 6) AS q1,
-round(any_value(medijana), 6) AS medijana, round(any_value(q3), 6) AS q3,
-round(least(any_value(q1), min(y) FILTER (WHERE y >= q1 - 1.5 * (q3 - q1))), 6) AS donji_brk,
-round(greatest(any_value(q3), max(y) FILTER (WHERE y <= q3 + 1.5 * (q3 - q1))), 6) AS gornji_brk,
+SELECT q.l_returnflag, any_value(redova) AS redova, any_value(n) AS n, round(any_value(q1), 8) AS q1,
+round(any_value(medijana), 8) AS medijana, round(any_value(q3), 8) AS q3,
+round(least(any_value(q1), min(y) FILTER (WHERE y >= q1 - 1.5 * (q3 - q1))), 8) AS donji_brk,
+round(greatest(any_value(q3), max(y) FILTER (WHERE y <= q3 + 1.5 * (q3 - q1))), 8) AS gornji_brk,
 count(*) FILTER (WHERE y < q1 - 1.5 * (q3 - q1) OR y > q3 + 1.5 * (q3 - q1)) AS izvan
 FROM q JOIN y ON q.l_returnflag = y.l_returnflag GROUP BY q.l_returnflag""",
     "e9_predicted_vs_actual": """WITH p AS (SELECT o_orderkey, o_totalprice / 1000 AS stvarno,
 (o_orderkey * 3.0::DOUBLE + 5000) / 1000 AS predvidjeno FROM orders)
 SELECT *, (SELECT least(min(stvarno), min(predvidjeno)) FROM p) AS osa_od,
 (SELECT greatest(max(stvarno), max(predvidjeno)) FROM p) AS osa_do FROM p""",
-    "e10_cluster_centres": f"""WITH {LABELLED_SQL} SELECT klaster, count(*) AS broj, round(avg(cena), 6) AS sredina_cena,
-round(avg(snaga_w), 6) AS sredina_snaga_w FROM labelled GROUP BY klaster""",
+    "e10_cluster_centres": f"""WITH {LABELLED_SQL} SELECT klaster, count(*) AS broj, round(avg(cena), 7) AS sredina_cena,
+round(avg(snaga_w), 7) AS sredina_snaga_w FROM labelled GROUP BY klaster""",
     "e10_cluster_scatter": f"WITH {LABELLED_SQL} SELECT id, klaster, cena AS x, snaga_w AS y FROM labelled",
     "e11_cluster_histogram": """WITH v AS (SELECT l_linenumber AS klaster, l_extendedprice AS v FROM lineitem),
 s AS (SELECT klaster, min(v) AS lo, max(v) AS hi FROM v GROUP BY klaster),
 c AS (SELECT klaster, least(CAST(floor((v - lo) / (hi - lo) * 20) AS INT), 19) AS deo, count(*) AS broj
 FROM v JOIN s USING (klaster) GROUP BY 1, 2),
 a AS (SELECT klaster, lo, hi, unnest(range(20)) AS deo FROM s)
-SELECT a.klaster, a.deo, round(lo + a.deo * ((hi - lo) / 20), 4) AS od,
-round(lo + (a.deo + 1) * ((hi - lo) / 20), 4) AS do, coalesce(broj, 0) AS broj
+SELECT a.klaster, a.deo, round(lo + a.deo * ((hi - lo) / 20), 6) AS od,
+round(lo + (a.deo + 1) * ((hi - lo) / 20), 6) AS do, coalesce(broj, 0) AS broj
 FROM a LEFT JOIN c ON a.klaster = c.klaster AND a.deo = c.deo""",
 }

@@ -49,12 +49,11 @@ def _assign(s, d):
 
 def _assign_vectors(s, d):
     """Nearest label mean of every vector."""
-    vectors = b.table(s, d, "embeddings")
-    width = vectors.select(F.max(F.size("embedding"))).first()[0]
-    names = [f"f{i}" for i in range(width)]
-    wide = vectors.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
-    means = wide.groupBy("label").agg(*[F.round(F.avg(n), 6).alias(n) for n in names]).orderBy("label").collect()
-    return clustering.assign(wide, names, [[m[n] for n in names] for m in means]).select("vec_id", "klaster")
+    vectors = b.table(s, d, "embeddings").withColumn("embedding", F.col("embedding").cast("array<double>"))
+    means = (vectors.select("label", F.posexplode("embedding").alias("i", "v")).groupBy("label", "i")
+             .agg(F.round(F.avg("v"), 6).alias("m")).groupBy("label")
+             .agg(F.sort_array(F.collect_list(F.struct("i", "m")))["m"].alias("m")).orderBy("label").collect())
+    return clustering.assign_vectors(vectors, "embedding", [r["m"] for r in means]).select("vec_id", "klaster")
 
 
 def _silhouette(s, d):

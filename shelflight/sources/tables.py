@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,7 +57,8 @@ def to_clean_schema(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 
 def reload_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace the table at ``path`` by ``df`` and read it back; ``df`` must not come from ``path``."""
-    if path.rstrip("/") in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
+    target = urlparse(path).path.rstrip("/") + "/"
+    if any(unquote(urlparse(f).path).startswith(target) for f in df.inputFiles()):
         raise ValueError(f"the rows come from {path}; write them elsewhere")
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
