@@ -8,7 +8,7 @@ from shelflight import fixed_values as fixed
 from shelflight.functions.codes import price_band
 from shelflight.operators import charts, clustering
 from shelflight.plans import bindings as b
-from shelflight.plans.models import line_model
+from shelflight.plans.models import COST_SQL, descent_sql, line_model
 from shelflight.roles import Roles
 
 ORDER_PRICE = "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_totalprice END AS cena"
@@ -34,7 +34,8 @@ def _labelled(s, d):
 
 
 def _curve(s, d):
-    return charts.learning_curve(line_model(s, d, steps=100).history(s))
+    curve = charts.learning_curve(line_model(s, d, steps=100).history(s))
+    return b.rounded(curve, 2, "trosak").withColumn("log10_trosak", F.round("log10_trosak", 9))
 
 
 def _predicted(s, d):
@@ -123,6 +124,8 @@ round(least(any_value(q1), min(y) FILTER (WHERE y >= q1 - 1.5 * (q3 - q1))), 8)
 round(greatest(any_value(q3), max(y) FILTER (WHERE y <= q3 + 1.5 * (q3 - q1))), 8) AS gornji_brk,
 count(*) FILTER (WHERE y < q1 - 1.5 * (q3 - q1) OR y > q3 + 1.5 * (q3 - q1)) AS izvan
 FROM q JOIN y ON q.l_returnflag = y.l_returnflag GROUP BY q.l_returnflag""",
+    "e8_learning_curve": f"""WITH {descent_sql(100)}, k AS (SELECT n - 1 AS iteracija, {COST_SQL} AS t
+FROM g, a, c, yy WHERE n > 0) SELECT iteracija, round(t, 2) AS trosak, round(log10(t), 9) AS log10_trosak FROM k""",
     "e9_predicted_vs_actual": """WITH p AS (SELECT o_orderkey, o_totalprice / 1000 AS stvarno,
 (o_orderkey * 3.0::DOUBLE + 5000) / 1000 AS predvidjeno FROM orders)
 SELECT *, (SELECT least(min(stvarno), min(predvidjeno)) FROM p) AS osa_od,

@@ -53,7 +53,8 @@ def _fit_one(s, d):
 
 def _fit_lines(s, d):
     model = line_model(s, d)
-    return s.createDataFrame([*model.weights.items(), ("b", model.bias)], "osobina string, tezina double")
+    rows = [(n, round(w, 4)) for n, w in [*model.weights.items(), ("b", model.bias)]]
+    return s.createDataFrame(rows, "osobina string, tezina double")
 
 
 def _history_falls(s, d):
@@ -124,7 +125,35 @@ _LINES_SQL = f"lines AS (SELECT {', '.join(b.select(LINES))} FROM lineitem)"
 _PREDICTED = ("38000.25 + 14000.0 * ((l_quantity - 20.0) / 10.0) + CASE l_returnflag WHEN 'N' THEN 250.0 "
               "WHEN 'R' THEN -125.5 ELSE 0 END")
 
+#: The feature rows of the line model, each ending with 1 for the bias.
+_LINE_NAMES = [*NUMBERS, "l_returnflag_N", "l_returnflag_R", "l_linestatus_O", "b"]
+_LINE_FILLED = ", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM lines)) AS {c}" for c in NUMBERS)
+_LINE_Z = ", ".join(f"({c} - (SELECT avg({c}) FROM f)) / (SELECT stddev_samp({c}) FROM f)" for c in NUMBERS)
+_M = len(_LINE_NAMES)
+
+
+def descent_sql(steps: int, rate: float = 0.1) -> str:
+    """CTEs up to ``g``: weights ``w`` after each step ``n``, from the matrix of mean products."""
+    return f"""RECURSIVE {_LINES_SQL},
+f AS (SELECT l_extendedprice AS y, l_returnflag, l_linestatus, {_LINE_FILLED} FROM lines),
+x AS (SELECT y, [{_LINE_Z}, (l_returnflag = 'N')::INT::DOUBLE, (l_returnflag = 'R')::INT::DOUBLE,
+      (l_linestatus = 'O')::INT::DOUBLE, 1.0::DOUBLE] AS x FROM f),
+p AS (SELECT i, j, avg(x[i] * x[j]) AS a FROM x, range(1, {_M + 1}) t(i), range(1, {_M + 1}) u(j) GROUP BY i, j),
+a AS MATERIALIZED (SELECT list(r ORDER BY i) AS a FROM (SELECT i, list(a ORDER BY j) AS r FROM p GROUP BY i)),
+c AS MATERIALIZED (SELECT list(c ORDER BY i) AS c FROM (SELECT i, avg(x[i] * y) AS c FROM x, range(1, {_M + 1}) t(i) GROUP BY i)),
+yy AS (SELECT avg(y * y) AS yy FROM x),
+g AS (SELECT 0 AS n, list_transform(range({_M}), lambda i: 0.0::DOUBLE) AS w
+      UNION ALL SELECT n + 1, list_transform(range(1, {_M + 1}),
+      lambda i: w[i] - {rate} * (list_dot_product(a[i], w) - c[i])) FROM g, a, c WHERE n < {steps})"""
+
+
+#: Cost after a step from the same mean products.
+COST_SQL = f"""(list_dot_product(w, list_transform(range(1, {_M + 1}), lambda i: list_dot_product(a[i], w)))
+- 2 * list_dot_product(w, c) + yy) / 2"""
+
 SQL = {
+    "g4_fit_weights": f"""WITH {descent_sql(300)}
+SELECT unnest({_LINE_NAMES}) AS osobina, unnest(list_transform(w, lambda v: round(v, 4))) AS tezina FROM g WHERE n = 300""",
     "g1_min_max": f"""WITH {b.CATALOGUE_SQL}
 SELECT id, round((cena - min(cena) OVER ()) / (max(cena) OVER () - min(cena) OVER ()), 9) AS cena_s,
 round((zapremina_l - min(zapremina_l) OVER ()) / (max(zapremina_l) OVER () - min(zapremina_l) OVER ()), 9)
