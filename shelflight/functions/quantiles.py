@@ -18,7 +18,7 @@ from shelflight.session import settle
 
 ACCURACY = 20_000
 #: Largest group that ``percentile`` may hold in the memory of one task.
-SMALL_GROUP = 1_000_000
+SMALL_GROUP = 200_000
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),

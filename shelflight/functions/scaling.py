@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from shelflight.functions.vectors import ratio
 
 
-def column_stats(df: DataFrame, columns: Sequence[str], *functions) -> Column:
-    """One struct with ``<function>_<column>`` fields, as a scalar subquery over ``df``."""
-    return df.agg(F.struct(*[f(F.col(c).cast("double")).alias(f"{f.__name__}_{c}") for c in columns for f in functions])
-                  .alias("s")).scalar()
+def column_stats(df: DataFrame, columns: Sequence[str], *functions) -> dict[str, Column]:
+    """``<function>_<column>`` of every column from one pass, as literals."""
+    row = df.agg(*[f(F.col(c).cast("double")).alias(f"{f.__name__}_{c}") for c in columns for f in functions]).first()
+    return {name: F.lit(value).cast("double") for name, value in row.asDict().items()}
 
 
 def min_max(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:

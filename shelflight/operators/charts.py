@@ -11,7 +11,7 @@ from shelflight import fixed_values as fixed
 from shelflight.functions.codes import price_band
 from shelflight.functions.quantiles import quantiles
 from shelflight.roles import Roles
-from shelflight.session import settle
+from shelflight.session import settle, small_table
 
 
 def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
@@ -28,7 +28,7 @@ def share_table(counts: DataFrame, label: str, n: int = 10, remainder: str = fix
     ``natpis`` is the text printed on the slice, empty for slices below ``label_from``.
     """
     top = counts.orderBy(F.desc("broj"), label).limit(n)
-    total = counts.agg(F.sum("broj").alias("t")).scalar()
+    total = F.lit(counts.agg(F.sum("broj")).first()[0])
     rest = (top.agg(F.sum("broj").alias("_top")).select(
         F.lit(remainder).alias(label), (total - F.col("_top")).alias("broj"))
         .where(F.col("broj") > 0))
@@ -41,8 +41,7 @@ def share_table(counts: DataFrame, label: str, n: int = 10, remainder: str = fix
 def band_histogram(df: DataFrame, price: str = Roles().price, bands=fixed.PRICE_BANDS) -> DataFrame:
     """Rows per price band in band order; empty bands count 0."""
     counted = df.groupBy(price_band(F.col(price), bands).alias("opseg")).agg(F.count(F.lit(1)).alias("_n"))
-    axis = df.sparkSession.createDataFrame(
-        [(i, label) for i, (_, label) in enumerate(bands)], "redosled int, opseg string")
+    axis = small_table(df.sparkSession, [(i, label) for i, (_, label) in enumerate(bands)], "redosled int, opseg string")
     return axis.join(counted, "opseg", "left").select(
         "redosled", "opseg", F.coalesce("_n", F.lit(0)).cast("long").alias("broj")).orderBy("redosled")
 
@@ -100,14 +99,14 @@ def cluster_histogram(df: DataFrame, value: str, cluster: str = "klaster", bins:
                          F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"))
     spans = settle(spans)
     part = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins).cast("int")
-    counted = (v.groupBy(cluster, "_v").agg(F.count(F.lit(1)).alias("_c")).join(spans, cluster)
-               .groupBy(cluster, F.least(part, F.lit(bins - 1)).alias("deo")).agg(F.sum("_c").alias("broj")))
+    counted = (v.join(spans, cluster).groupBy(cluster, F.least(part, F.lit(bins - 1)).alias("deo"))
+               .agg(F.count(F.lit(1)).alias("broj")))
     axis = spans.select(cluster, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("deo"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     return axis.join(counted, [cluster, "deo"], "left").select(
         cluster, "deo", (F.col("_lo") + F.col("deo") * width).alias("od"),
         (F.col("_lo") + (F.col("deo") + 1) * width).alias("do"),
-        F.coalesce("broj", F.lit(0)).cast("long").alias("broj"))
+        F.coalesce("broj", F.lit(0).cast("long")).alias("broj"))
 
 
 def learning_curve(history: DataFrame) -> DataFrame:
@@ -119,7 +118,7 @@ def predicted_vs_actual(df: DataFrame, actual: str, predicted: str, id: str = Ro
     """Pairs in thousands together with the common ends of both axes."""
     points = df.select(id, (F.col(actual).cast("double") / 1000).alias("stvarno"),
                        (F.col(predicted).cast("double") / 1000).alias("predvidjeno"))
-    ends = points.agg(F.struct(
+    ends = points.agg(
         F.least(F.min("stvarno"), F.min("predvidjeno")).alias("lo"),
-        F.greatest(F.max("stvarno"), F.max("predvidjeno")).alias("hi")).alias("_e")).scalar()
-    return points.withColumns({"osa_od": ends["lo"], "osa_do": ends["hi"]})
+        F.greatest(F.max("stvarno"), F.max("predvidjeno")).alias("hi")).first()
+    return points.withColumns({"osa_od": F.lit(ends["lo"]), "osa_do": F.lit(ends["hi"])})

@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
+from shelflight.functions.codes import silhouette_verdict
 from shelflight.functions.scaling import min_max
 from shelflight.functions.vectors import squared_distance
 from shelflight.operators import tiles
 from shelflight.roles import Roles
-from shelflight.session import settle
+from shelflight.session import settle, small_table
 
 
 def feature_columns(weights: Mapping[str, float]) -> list[str]:
@@ -131,8 +132,6 @@ def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "klaster",
     first, and points are compared tile by tile.  The work grows with the square
     of the number of distinct points.
     """
-    from shelflight.functions.codes import silhouette_verdict
-
     features = list(features)
     points = df.groupBy(*features, cluster).agg(F.count(F.lit(1)).alias("_w"))
     points = points.select(F.array(*[F.col(f).cast("double") for f in features]).alias("x"),
@@ -142,7 +141,7 @@ def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "klaster",
     sizes = {r["c"]: r["n"] for r in packed.select(F.explode(F.arrays_zip("c", "w")).alias("m")).groupBy("m.c")
              .agg(F.sum("m.w").alias("n")).collect()}
     if len(sizes) < 2:
-        score = df.sparkSession.createDataFrame([(0.0,)], "skor double")
+        score = small_table(df.sparkSession, [(0.0,)], "skor double")
         return score.select("skor", silhouette_verdict(F.col("skor")).alias("verdikt"))
     labels = np.array(sorted(sizes))
 

@@ -22,7 +22,7 @@ from shelflight.functions.quantiles import quantiles
 from shelflight.functions.text import normal_brand
 from shelflight.functions.vectors import ratio
 from shelflight.roles import Roles
-from shelflight.session import settle, ship_package
+from shelflight.session import settle, ship_package, small_table
 
 #: Most cells that one process works on; above it every step is a job over the cells.
 LOCAL_CELLS = 1_000_000
@@ -110,20 +110,20 @@ class LinearModel:
 
     def history(self, spark: SparkSession) -> DataFrame:
         rows = [(i, float(c)) for i, c in enumerate(self.costs)]
-        return spark.createDataFrame(rows, "iteracija int, trosak double")
+        return small_table(spark, rows, "iteracija int, trosak double")
 
     def predict(self, df: DataFrame, column: str = "predikcija") -> DataFrame:
         """Add the prediction; a label that was not seen in training gives NULL.
 
-        The weights of a label join as a table of their own, so Spark broadcasts
-        them while they are small and shuffles otherwise.
+        The weights of a label join as a table of known size: broadcast while it
+        is small, shuffled otherwise.
         """
         total = F.lit(self.bias)
         for c in self.design.numeric:
             total = total + self.design.z(c) * F.lit(self.weights[c])
         for c in self.design.labels:
             seen = [(v, self.weights.get(f"{c}_{v}", 0.0)) for v in self.design.levels[c]]
-            table = df.sparkSession.createDataFrame(seen, f"`{c}` string, `_w_{c}` double")
+            table = small_table(df.sparkSession, seen, f"`{c}` string, `_w_{c}` double")
             df = df.join(table, c, "left")
             total = total + F.when(F.col(c).isNull(), 0.0).otherwise(F.col(f"_w_{c}"))
         return df.withColumn(column, total).drop(*[f"_w_{c}" for c in self.design.labels])
@@ -297,5 +297,5 @@ def estimate(model: LinearModel, items: DataFrame, roles: Roles = Roles()) -> Da
 
 def sample_items(spark: SparkSession) -> DataFrame:
     columns = list(fixed.ESTIMATE_SAMPLES[0])
-    return spark.createDataFrame([tuple(s[c] for c in columns) for s in fixed.ESTIMATE_SAMPLES],
-                                 ", ".join(f"{c} string" for c in columns))
+    return small_table(spark, [tuple(s[c] for c in columns) for s in fixed.ESTIMATE_SAMPLES],
+                       ", ".join(f"{c} string" for c in columns))

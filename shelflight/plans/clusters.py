@@ -9,6 +9,7 @@ from shelflight.functions.codes import silhouette_verdict
 from shelflight.operators import clustering
 from shelflight.plans import bindings as b
 from shelflight.plans.charts import CENTRES, LABELLED_SQL, POINT_WEIGHTS, label_sql, space_sql
+from shelflight.session import small_table
 
 FEATURES = clustering.feature_columns(POINT_WEIGHTS)
 _, PRESET_K, PRESET = fixed.CLUSTER_PRESETS[1]
@@ -29,13 +30,13 @@ def _seeds(s, d):
     space = _space(s, d)
     found = clustering.seed_centroids(space, FEATURES, 4)
     rows = [(i, *c) for i, c in enumerate(found)]
-    return s.createDataFrame(rows, "redosled int, x double, y double")
+    return small_table(s, rows, "redosled int, x double, y double")
 
 
 def _lloyd(s, d):
     found = clustering.lloyd(_space(s, d), FEATURES, CENTRES, rounds=ROUNDS, tolerance=0.0)
     rows = [(i, *[round(v, 9) for v in c]) for i, c in enumerate(found)]
-    return s.createDataFrame(rows, "klaster int, x double, y double")
+    return small_table(s, rows, "klaster int, x double, y double")
 
 
 def _k_means(s, d):

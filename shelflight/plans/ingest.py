@@ -11,7 +11,7 @@ from shelflight import fixed_values as fixed
 from shelflight.functions import text as tx
 from shelflight.operators import merge, reports
 from shelflight.plans import bindings as b
-from shelflight.session import shared_folder
+from shelflight.session import shared_folder, small_table
 from shelflight.sources import collect, pages, tables
 from shelflight.streaming.upsert import UpsertTable
 
@@ -68,7 +68,7 @@ BUNDLE_OPTIONS = {"top30_televizori_cena": {"category": "PROMO"}, "frizideri_po_
 def report_bundle(spark: SparkSession, d: str) -> DataFrame:
     bundle = reports.report_bundle(b.catalogue(spark, d), **BUNDLE_OPTIONS)
     counts = reports.save_reports(bundle, f"{shared_folder(spark)}/shelflight/reports-{uuid4().hex}")
-    return spark.createDataFrame(list(counts.items()), "izvestaj string, redova long")
+    return small_table(spark, list(counts.items()), "izvestaj string, redova long")
 
 
 HOST = r"^[a-z]+://([^/]+)"

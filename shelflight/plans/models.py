@@ -11,6 +11,7 @@ from shelflight.functions import scaling
 from shelflight.operators import regression
 from shelflight.plans import bindings as b
 from shelflight.roles import Roles
+from shelflight.session import small_table
 
 #: Line items as model rows; the discount is sometimes missing, so that it is imputed.
 LINES = {
@@ -48,13 +49,13 @@ def _fit_one(s, d):
     rows = lines(s, d)
     design = regression.fit_design(rows, "l_extendedprice", ["l_quantity"])
     model = regression.fit(rows, design, rate=0.5, steps=200)
-    return s.createDataFrame([(round(model.weights["l_quantity"], 4), round(model.bias, 4))], "nagib double, odsecak double")
+    return small_table(s, [(round(model.weights["l_quantity"], 4), round(model.bias, 4))], "nagib double, odsecak double")
 
 
 def _fit_lines(s, d):
     model = line_model(s, d)
     rows = [(n, round(w, 4)) for n, w in [*model.weights.items(), ("b", model.bias)]]
-    return s.createDataFrame(rows, "osobina string, tezina double")
+    return small_table(s, rows, "osobina string, tezina double")
 
 
 def _history_falls(s, d):

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Sequence
 from pathlib import Path
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def build_session(app: str = "shelflight", master: str | None = None, **settings: str) -> SparkSession:
@@ -42,6 +46,19 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Rows held by the driver as a table whose size Spark knows.
+
+    It comes from Arrow, so while it is small it is a local relation, which a join
+    broadcasts by its own threshold; a large one is sent to the executors.
+    """
+    struct = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(struct)
+    arrow = to_arrow_schema(struct)
+    table = pa.table([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(table, schema=struct)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
 from shelflight.roles import Roles
+from shelflight.session import settle, small_table
 
 
 def union_sources(sources: Mapping[str, DataFrame], source_column: str = Roles().source) -> DataFrame:
@@ -22,7 +23,7 @@ def slug_table(spark: SparkSession, slugs: Mapping[str, Mapping[str, str]] = fix
     """The ``(source, slug) -> category`` mapping in listing order."""
     rows = [(source, slug, category, i) for source, by_slug in slugs.items()
             for i, (slug, category) in enumerate(by_slug.items())]
-    return spark.createDataFrame(rows, "izvor string, slug string, kategorija string, redosled int")
+    return small_table(spark, rows, "izvor string, slug string, kategorija string, redosled int")
 
 
 def with_category(df: DataFrame, mapping: DataFrame, on: list[str]) -> DataFrame:
@@ -58,7 +59,8 @@ def collection_summary(records: DataFrame, source: str, page: str, stored: Colum
     span_end = Window.partitionBy(source).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     spans = (per_page.groupBy(source, "_span").agg(F.sum("upisano").alias("_total"))
              .select(source, "_span", F.coalesce(F.sum("_total").over(span_end), F.lit(0)).alias("_before")))
-    return (per_page.withColumn("_inside", inside).join(spans, [source, "_span"])
+    # One row per span, stored so that Spark sees how small it is.
+    return (per_page.withColumn("_inside", inside).join(settle(spans), [source, "_span"])
             .select(source, page, "upisano", "vidjeno", (F.col("_before") + F.col("_inside")).alias("ukupno")))
 
 
