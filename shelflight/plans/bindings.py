@@ -92,3 +92,13 @@ def raw_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     """Round sums and averages, whose last bits depend on the order of addition."""
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
+
+
+def plain_nulls(df: DataFrame, *extra: str) -> DataFrame:
+    """Flags as text and whole numbers with gaps as doubles: every client shows their NULLs alike."""
+    casts = {"na_lageru": "string", "energetska_klasa_num": "double", **{c: "double" for c in extra}}
+    return df.withColumns({c: F.col(c).cast(t) for c, t in casts.items() if c in df.columns})
+
+
+FLAG_SQL = "CAST(na_lageru AS VARCHAR) AS na_lageru"
+CODE_SQL = "CAST(energetska_klasa_num AS DOUBLE) AS energetska_klasa_num"

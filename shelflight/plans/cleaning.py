@@ -39,10 +39,10 @@ QUERIES = {
     "c7_tukey_by_group": lambda s, d: clean.tukey_filter(
         b.table(s, d, "events"), "value", by=["event_type"]).select("event_id", "event_type", "value"),
     "c8_ordinal_code": lambda s, d: b.table(s, d, "orders").selectExpr("o_orderkey", f"{PRIORITY} AS oznaka").select(
-        "o_orderkey", "oznaka", ordinal_code(F.col("oznaka"), PRIORITIES).alias("kod")),
+        "o_orderkey", "oznaka", ordinal_code(F.col("oznaka"), PRIORITIES).cast("double").alias("kod")),
     "c9_cleaning_report": lambda s, d: b.rounded(
         clean.cleaning_report(b.raw_offers(s, d), _cleaned(s, d)), 6, "dropped_pct"),
-    "c10_clean": lambda s, d: _cleaned(s, d),
+    "c10_clean": lambda s, d: b.plain_nulls(_cleaned(s, d)),
 }
 
 _CLAMPED = ", ".join(f"CASE WHEN {c} BETWEEN {lo} AND {hi} THEN {c} END AS {c}" for c, (lo, hi) in
@@ -76,12 +76,12 @@ WHERE value BETWEEN greatest(q1 - 1.5 * (q3 - q1), 1.0) AND q3 + 1.5 * (q3 - q1)
 quantile_cont(value, 0.75) AS q3 FROM events GROUP BY event_type)
 SELECT e.event_id, e.event_type, e.value FROM events e JOIN q USING (event_type)
 WHERE value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""",
-    "c8_ordinal_code": f"""SELECT o_orderkey, oznaka, CASE upper(trim(oznaka)) """ + " ".join(
+    "c8_ordinal_code": f"""SELECT o_orderkey, oznaka, 1.0::DOUBLE * CASE upper(trim(oznaka)) """ + " ".join(
         f"WHEN '{p}' THEN {i}" for i, p in enumerate(PRIORITIES, 1))
         + f" END AS kod FROM (SELECT o_orderkey, {PRIORITY} AS oznaka FROM orders)",
     "c9_cleaning_report": f"""WITH {_CLEAN},
 n AS (SELECT (SELECT count(*) FROM raw_offers) AS before, (SELECT count(*) FROM cleaned) AS after)
 SELECT before, after, before - after AS dropped, round(100.0 * (before - after) / before, 6) AS dropped_pct,
        after < {fixed.MIN_CLEAN_ROWS} AS too_few FROM n""",
-    "c10_clean": f"WITH {_CLEAN} SELECT * FROM cleaned",
+    "c10_clean": f"WITH {_CLEAN} SELECT * REPLACE ({b.FLAG_SQL}, {b.CODE_SQL}) FROM cleaned",
 }

@@ -145,7 +145,8 @@ def absolute(spark: SparkSession, d: str) -> DataFrame:
 
 def product_pages(spark: SparkSession, d: str) -> DataFrame:
     found = pages.product_pages(shop_pages(spark, d), "tehnomanija.rs")
-    return found.withColumn("boja", F.element_at("sve_karakteristike", F.lit("boja"))).drop("sve_karakteristike")
+    colour = F.element_at("sve_karakteristike", F.lit("boja"))
+    return b.plain_nulls(found.withColumn("boja", colour).drop("sve_karakteristike"))
 
 
 def page_titles(spark: SparkSession, d: str) -> DataFrame:
@@ -176,7 +177,7 @@ def number_in_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stock(spark: SparkSession, d: str) -> DataFrame:
-    return shop_pages(spark, d).select("id", pages.stock(F.col("html")).alias("na_lageru"))
+    return b.plain_nulls(shop_pages(spark, d).select("id", pages.stock(F.col("html")).alias("na_lageru")))
 
 
 def embedded(spark: SparkSession, d: str) -> DataFrame:
@@ -333,7 +334,7 @@ ELSE rtrim(regexp_extract(url, '^([a-z]+://[^/]+/?)', 1), '/') || '/' || ltrim(h
 SELECT 'tehnomanija.rs' AS izvor, CAST(id AS VARCHAR) AS izvorni_id,
 'https://shop.example/x-' || id || CASE WHEN id % 3 = 0 THEN '/' ELSE '' END AS url, naziv,
 coalesce(brend, string_split(naziv, ' ')[1]) AS brend, kategorija, CAST(NULL AS VARCHAR) AS podkategorija, cena,
-CAST(NULL AS DOUBLE) AS cena_pre_akcije, na_lageru, trim(klasa) AS energetska_klasa,
+CAST(NULL AS DOUBLE) AS cena_pre_akcije, {b.FLAG_SQL}, trim(klasa) AS energetska_klasa,
 CAST(NULL AS DOUBLE) AS dijagonala_inch, kg + 0.5::DOUBLE AS kapacitet_kg, litara::DOUBLE AS zapremina_l,
 vati::DOUBLE AS snaga_w, 'crna' AS boja FROM items WHERE id % 31 <> 0""",
     "b4_page_titles": f"""SELECT page_id, CASE WHEN html LIKE '%<h1>%' THEN
@@ -350,7 +351,7 @@ UNION ALL SELECT id, 'boja', 'crna' FROM items)
 SELECT * FROM s WHERE vrednost IS NOT NULL""",
     "b8_first_present_key": "SELECT event_id, json_extract_string(props, '$.k') AS vrednost FROM events",
     "b9_number_in_text": f"SELECT doc_id, {_NUMBER.format('text')} AS broj FROM documents",
-    "b10_stock_flag": f"WITH {_ITEMS} SELECT id, na_lageru FROM items",
+    "b10_stock_flag": f"WITH {_ITEMS} SELECT id, {b.FLAG_SQL} FROM items",
     "b11_embedded_offers": f"""WITH {_ITEMS}
 SELECT id // 8 AS page_id, id % 8 AS pozicija, 'ref-' || id AS referenca, naziv FROM items""",
     "b12_flatten_offers": f"WITH {_ITEMS} {_FLAT}",

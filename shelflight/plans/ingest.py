@@ -33,7 +33,7 @@ def upsert_offer_batch(spark: SparkSession, d: str) -> DataFrame:
     offers = b.raw_offers(spark, d)
     purchase = F.col("kategorija") == "purchase"
     by_user = offers.withColumn("url", F.substring_index("url", "/", 5))
-    return merge.upsert_offers(by_user.where(~purchase), by_user.where(purchase))
+    return b.plain_nulls(merge.upsert_offers(by_user.where(~purchase), by_user.where(purchase)))
 
 
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
@@ -58,7 +58,7 @@ def reload_clean(spark: SparkSession, d: str) -> DataFrame:
     stored = tables.to_clean_schema(b.catalogue(spark, d).withColumn("sve_karakteristike", specs))
     path = f"{shared_folder(spark)}/shelflight/clean-{uuid4().hex}"
     back = tables.reload_table(stored, path, ["kategorija"])
-    return back.select("primarni_id", "izvor", "naziv", "brend", "kategorija", F.col("cena").cast("double").alias("cena"),
+    return b.plain_nulls(back).select("primarni_id", "izvor", "naziv", "brend", "kategorija", F.col("cena").cast("double").alias("cena"),
                        "na_lageru", "energetska_klasa", "energetska_klasa_num", "snaga_w", "sve_karakteristike")
 
 
@@ -83,7 +83,7 @@ def union_sources(spark: SparkSession, d: str) -> DataFrame:
     return collect.union_sources({
         "blog": blog.select("page_id", "url", pages.title(F.col("html"), h1).alias("naziv")),
         "www": www.select("page_id", "url"),
-        "ostalo": rest.select("page_id", "url", F.length("html").alias("duzina"))})
+        "ostalo": rest.select("page_id", "url", F.length("html").cast("double").alias("duzina"))})
 
 
 def _slug_case() -> str:
@@ -171,7 +171,7 @@ WITH {b.RAW_OFFERS_SQL},
 o AS (SELECT * REPLACE (array_to_string(string_split(url, '/')[1:5], '/') AS url) FROM raw_offers),
 r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY datum_preuzimanja, id) AS up,
              row_number() OVER (PARTITION BY url ORDER BY datum_preuzimanja DESC, id DESC) AS down FROM o)
-SELECT f.id, f.url, f.naziv, f.brend, f.kategorija, l.cena, l.na_lageru, f.energetska_klasa, f.dijagonala_inch,
+SELECT f.id, f.url, f.naziv, f.brend, f.kategorija, l.cena, CAST(l.na_lageru AS VARCHAR) AS na_lageru, f.energetska_klasa, f.dijagonala_inch,
        f.kapacitet_kg, f.zapremina_l, f.snaga_w, f.izvor, l.datum_preuzimanja
 FROM r f JOIN r l ON f.url = l.url WHERE f.up = 1 AND l.down = 1""",
     "a2_stream_upsert": _UPSERT,
@@ -181,7 +181,7 @@ SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 0 ELSE len(json_keys(props)) EN
        CASE WHEN event_id % 9 = 0 THEN NULL ELSE json_extract_string(props, '$.k') END AS k FROM events""",
     "a5_reload_clean": f"""
 WITH {b.CATALOGUE_SQL}
-SELECT id AS primarni_id, izvor, naziv, brend, kategorija, cena, na_lageru, energetska_klasa, energetska_klasa_num,
+SELECT id AS primarni_id, izvor, naziv, brend, kategorija, cena, {b.FLAG_SQL}, energetska_klasa, {b.CODE_SQL},
        snaga_w, '{{"brend":"' || brend || '"}}' AS sve_karakteristike FROM catalogue""",
     "a6_row_count": "SELECT count(*) AS n FROM lineitem",
     "a7_report_bundle": f"""
@@ -205,7 +205,7 @@ WITH h AS (SELECT *, regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host FROM pa
 k AS (SELECT *, CASE WHEN host LIKE 'blog.%' THEN 'blog' WHEN host LIKE 'www.%' THEN 'www' ELSE 'ostalo' END AS izvor
       FROM h)
 SELECT page_id, url, CASE WHEN izvor = 'blog' THEN trim(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1),
-       '&amp;', '&')) END AS naziv, CASE WHEN izvor = 'ostalo' THEN length(html) END AS duzina, izvor FROM k""",
+       '&amp;', '&')) END AS naziv, CASE WHEN izvor = 'ostalo' THEN length(html)::DOUBLE END AS duzina, izvor FROM k""",
     "a9_slug_category": f"""
 WITH m(izvor, slug, kategorija) AS (VALUES {', '.join(
         f"('{s}', '{slug}', '{c}')" for s, by in fixed.CATEGORY_SLUGS.items() for slug, c in by.items())}),

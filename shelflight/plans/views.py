@@ -31,14 +31,21 @@ QUERIES = {
         "kljuc", F.when(F.col("kljuc") > float("-inf"), F.col("kljuc"))),
     "f4_sort_by_text": lambda s, d: _sorted(s, d, "brend", False, False),
     "f5_category_list": lambda s, d: views.category_list(b.catalogue(s, d)),
-    "f6_first_examples": lambda s, d: views.first_examples(b.catalogue(s, d)),
+    "f6_first_examples": lambda s, d: b.plain_nulls(views.first_examples(b.catalogue(s, d))),
     "f7_inventory": lambda s, d: tables.inventory({t: b.table(s, d, t) for t in TABLES}),
-    "f8_by_id": lambda s, d: views.by_id(b.catalogue(s, d), 7),
+    "f8_by_id": lambda s, d: b.plain_nulls(views.by_id(b.catalogue(s, d), 7)),
 }
 
 _FIRST = ["url", "naziv", "brend", "cena", "na_lageru", "energetska_klasa", "dijagonala_inch", "kapacitet_kg",
           "zapremina_l", "snaga_w", "izvor", "energetska_klasa_num"]
 
+
+
+def _shown(value: str, column: str) -> str:
+    kind = {"na_lageru": "VARCHAR", "energetska_klasa_num": "DOUBLE"}.get(column)
+    return f"CAST({value} AS {kind})" if kind else value
+
+
 SQL = {name: f"WITH {b.CATALOGUE_SQL} {sql}" for name, sql in {
     "f1_overview": """SELECT count(*) AS ukupno, count(DISTINCT kategorija) AS kategorija,
 count(DISTINCT brend) AS brendova, min(cena) AS min_cena, max(cena) AS max_cena,
@@ -54,8 +61,8 @@ AS prikaz, CASE WHEN id % 10 = 0 THEN NULL ELSE trunc(cena) END AS kljuc FROM ca
     "f4_sort_by_text": "SELECT id, brend, lower(brend) AS kljuc FROM catalogue",
     "f5_category_list": "SELECT DISTINCT kategorija FROM catalogue",
     "f6_first_examples": "SELECT kategorija, min(id) AS id, " + ", ".join(
-        f"first({c} ORDER BY id) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _FIRST)
+        f"{_shown(f'first({c} ORDER BY id) FILTER (WHERE {c} IS NOT NULL)', c)} AS {c}" for c in _FIRST)
         + " FROM catalogue WHERE cena IS NOT NULL GROUP BY kategorija",
     "f7_inventory": " UNION ALL ".join(f"SELECT '{t}' AS tabela, count(*) AS n FROM {t}" for t in TABLES),
-    "f8_by_id": "SELECT * FROM catalogue WHERE id = 7",
+    "f8_by_id": f"SELECT * REPLACE ({b.FLAG_SQL}, {b.CODE_SQL}) FROM catalogue WHERE id = 7",
 }.items()}
