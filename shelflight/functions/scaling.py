@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from shelflight.functions.vectors import ratio
 
 
+def number(column: str) -> Column:
+    """The column as a double, NaN as NULL."""
+    x = F.col(column).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def column_stats(df: DataFrame, columns: Sequence[str], *functions) -> dict[str, Column]:
     """``<function>_<column>`` of every column from one pass, as literals."""
-    row = df.agg(*[f(F.col(c).cast("double")).alias(f"{f.__name__}_{c}") for c in columns for f in functions]).first()
+    row = df.agg(*[f(number(c)).alias(f"{f.__name__}_{c}") for c in columns for f in functions]).first()
     return {name: F.lit(value).cast("double") for name, value in row.asDict().items()}
 
 
@@ -21,7 +27,7 @@ def min_max(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFram
     s = column_stats(df, columns, F.min, F.max)
     out = {}
     for c in columns:
-        x, low, high = F.col(c).cast("double"), s[f"min_{c}"], s[f"max_{c}"]
+        x, low, high = number(c), s[f"min_{c}"], s[f"max_{c}"]
         out[c + suffix] = F.when(x.isNotNull(), ratio(x - low, high - low))
     return df.withColumns(out)
 
@@ -31,6 +37,6 @@ def z_score(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFram
     s = column_stats(df, columns, F.avg, F.stddev_samp)
     out = {}
     for c in columns:
-        x = F.col(c).cast("double")
+        x = number(c)
         out[c + suffix] = F.when(x.isNotNull(), ratio(x - s[f"avg_{c}"], s[f"stddev_samp_{c}"]))
     return df.withColumns(out)

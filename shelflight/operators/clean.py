@@ -13,7 +13,7 @@ from shelflight import fixed_values as fixed
 from shelflight.functions.codes import ordinal_code
 from shelflight.functions.quantiles import quantiles
 from shelflight.functions.text import normal_brand
-from shelflight.roles import Roles
+from shelflight.roles import Roles, nan_to_null
 from shelflight.session import settle
 
 
@@ -31,7 +31,7 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def positive(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column) > 0)
+    return df.where((F.col(column) > 0) & ~F.isnan(F.col(column).cast("double")))
 
 
 def with_normal_brand(df: DataFrame, column: str) -> DataFrame:
@@ -55,11 +55,12 @@ def min_filled(df: DataFrame, columns: Sequence[str], least: int) -> DataFrame:
 def keep_latest(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
     """The last row per key; ``order`` ends with a unique column so that ties are settled.
 
+    A missing value sorts last, so it wins.
     The rank filter is applied before the shuffle too, so a key that holds a
     large part of the table sends one row per input partition.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    last_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    last_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_first() for c in order])
     return df.withColumn("_rank", F.row_number().over(last_first)).where("_rank = 1").drop("_rank")
 
 
@@ -81,7 +82,7 @@ def tukey_filter(df: DataFrame, column: str, floor: float | None = None, by: Seq
 
 def clean(df: DataFrame, roles: Roles = Roles(), rules: CleanRules = CleanRules()) -> DataFrame:
     """Required fields, positive price, brand, ranges, filled columns, latest per url, outliers, grade code."""
-    latest = (df
+    latest = (nan_to_null(df)
               .transform(require, roles.required)
               .transform(positive, roles.price)
               .transform(with_normal_brand, roles.brand)

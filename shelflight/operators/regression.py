@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from shelflight import fixed_values as fixed
 from shelflight.functions.codes import fit_verdict
 from shelflight.functions.quantiles import quantiles
+from shelflight.functions.scaling import number
 from shelflight.functions.text import normal_brand
 from shelflight.functions.vectors import ratio
 from shelflight.roles import Roles
@@ -50,7 +51,7 @@ class Design:
 
     def z(self, column: str) -> Column:
         """Imputed and standardised value; a column without spread is 0."""
-        x = F.coalesce(_number(column), F.lit(self.medians[column]))
+        x = F.coalesce(number(column), F.lit(self.medians[column]))
         scaled = ratio(x - F.lit(self.means[column]), F.lit(self.deviations[column]))
         return F.coalesce(scaled, F.lit(0.0)).cast("double")
 
@@ -59,20 +60,15 @@ class Design:
         return df.withColumns({c: self.z(c) for c in self.numeric})
 
 
-def _number(column: str) -> Column:
-    x = F.col(column).cast("double")
-    return F.when(~F.isnan(x), x)
-
-
 def fit_design(df: DataFrame, target: str, numeric: Sequence[str], labels: Sequence[str] = ()) -> Design:
     """Statistics of the rows that have a target.  The levels become weights, so they fit the driver."""
-    df = df.where(_number(target).isNotNull())
+    df = df.where(number(target).isNotNull())
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), _number(c).alias("x")) for c in numeric])).alias("e")).select("e.*")
+        F.struct(F.lit(c).alias("c"), number(c).alias("x")) for c in numeric])).alias("e")).select("e.*")
     medians = {r["c"]: r["q"][0] for r in quantiles(long, "x", [0.5], ["c"]).collect()}
     medians = {c: medians.get(c) for c in numeric}
-    filled = {c: F.coalesce(_number(c), F.lit(medians[c])).cast("double") for c in numeric}
-    stats = df.agg(F.avg(_number(target)).alias("target"),
+    filled = {c: F.coalesce(number(c), F.lit(medians[c])).cast("double") for c in numeric}
+    stats = df.agg(F.avg(number(target)).alias("target"),
                    *[f(x).alias(f"{k}_{c}") for c, x in filled.items()
                      for k, f in (("mean", F.avg), ("std", F.stddev_samp))]).first()
     levels = {c: tuple(sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect()))
@@ -92,7 +88,7 @@ def design_matrix(df: DataFrame, design: Design, id: str = Roles().id) -> DataFr
     entries += [F.struct(
         F.when(F.col(c) != F.lit(design.levels[c][0]), F.concat(F.lit(f"{c}_"), F.col(c))).alias("osobina"),
         F.lit(1.0).alias("vrednost")) for c in design.labels if design.levels[c]]
-    rows = df.where(_number(design.target).isNotNull())
+    rows = df.where(number(design.target).isNotNull())
     return (rows.select(id, F.explode(F.array(*entries)).alias("_e")).select(id, "_e.*")
             .where(F.col("osobina").isNotNull() & (F.col("vrednost") != 0)))
 
@@ -112,8 +108,8 @@ class LinearModel:
         rows = [(i, float(c)) for i, c in enumerate(self.costs)]
         return small_table(spark, rows, "iteracija int, trosak double")
 
-    def predict(self, df: DataFrame, column: str = "predikcija") -> DataFrame:
-        """Add the prediction; a label that was not seen in training gives NULL.
+    def predict(self, df: DataFrame, column: str = "predikcija", unseen: float | None = None) -> DataFrame:
+        """Add the prediction; a label not seen in training weighs ``unseen``, or makes it NULL.
 
         The weights of a label join as a table of known size: broadcast while it
         is small, shuffled otherwise.
@@ -125,13 +121,14 @@ class LinearModel:
             seen = [(v, self.weights.get(f"{c}_{v}", 0.0)) for v in self.design.levels[c]]
             table = small_table(df.sparkSession, seen, f"`{c}` string, `_w_{c}` double")
             df = df.join(table, c, "left")
-            total = total + F.when(F.col(c).isNull(), 0.0).otherwise(F.col(f"_w_{c}"))
+            total = total + F.when(F.col(c).isNull(), 0.0).otherwise(
+                F.coalesce(F.col(f"_w_{c}"), F.lit(unseen)))
         return df.withColumn(column, total).drop(*[f"_w_{c}" for c in self.design.labels])
 
 
 def cells(df: DataFrame, design: Design) -> DataFrame:
     """Sums per combination of labels; the target is taken from its mean for precision."""
-    rows = design.apply(df.where(_number(design.target).isNotNull()))
+    rows = design.apply(df.where(number(design.target).isNotNull()))
     rows = rows.withColumn("_y", F.col(design.target).cast("double") - F.lit(design.target_mean))
     x, y, p = [F.col(c) for c in design.numeric], F.col("_y"), len(design.numeric)
     sums = {"n": F.count(F.lit(1)).cast("double"), "sy": F.sum(y), "syy": F.sum(y * y)}
@@ -249,7 +246,11 @@ def split(df: DataFrame, id: str = Roles().id, test_share: float = 0.2, seed: in
 
 
 def evaluate(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Coefficient of determination (0 without variance) and root mean squared error in one row."""
+    """Coefficient of determination (0 without variance) and root mean squared error in one row.
+
+    Rows without a value or a prediction do not count.
+    """
+    df = df.where(number(actual).isNotNull() & number(predicted).isNotNull())
     y, e = F.col(actual).cast("double"), F.col(actual).cast("double") - F.col(predicted)
     sums = df.agg(F.sum(e * e).alias("res"), (F.var_pop(y) * F.count(y)).alias("tot"), F.avg(e * e).alias("mse"))
     r2 = F.when(F.col("tot") != 0, 1 - F.col("res") / F.col("tot")).otherwise(0.0)
@@ -263,7 +264,8 @@ class Training:
     test: DataFrame
 
     def scored(self) -> DataFrame:
-        return self.model.predict(self.test)
+        """Test rows with predictions; a brand that only the test part has counts as the first one."""
+        return self.model.predict(self.test, unseen=0.0)
 
     def metrics(self) -> DataFrame:
         return evaluate(self.scored(), self.model.design.target, "predikcija")
@@ -278,7 +280,7 @@ def train(df: DataFrame, roles: Roles = Roles(), rate: float = 0.05, steps: int
     """
     wanted = [roles.id, roles.price, roles.category, roles.brand, *roles.technical]
     # Every later pass reads these columns only, and a costly input is computed once.
-    rows = settle(df.select(*wanted).where(_number(roles.price).isNotNull()))
+    rows = settle(df.select(*wanted).where(number(roles.price).isNotNull()))
     part, held_out = split(rows, roles.id, seed=seed)
     design = catalogue_design(part if scale_on_train else rows, roles)
     return Training(fit(part, design, rate, steps), part, held_out)

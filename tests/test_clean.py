@@ -213,3 +213,10 @@ def test_roles(spark, items):
     nan = spark.createDataFrame([(float("nan"), "x"), (1.0, "y")], T.StructType(
         [T.StructField("d", T.DoubleType()), T.StructField("s", T.StringType())]))
     assert [r.d for r in nan_to_null(nan).collect()] == [None, 1.0]
+
+
+def test_nan_is_missing(spark):
+    rows = cleaned(spark, offers(10, cena={0: float("nan")}, zapremina_l={1: float("nan")}))
+    assert len(rows) == 9 and [r.zapremina_l for r in rows if r.id == 2] == [None]
+    loose = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "x double")
+    assert [r.x for r in clean.positive(loose, "x").collect()] == [1.0]

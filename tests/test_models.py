@@ -174,3 +174,15 @@ def test_predicted_vs_actual(spark):
 
 def test_roles_of_the_design():
     assert Roles().technical[0] == "energetska_klasa_num"
+
+
+def test_unseen_label(items):
+    model = regression.fit(items, regression.catalogue_design(items), rate=0.05, steps=5)
+    other = items.withColumn("brend", F.lit("NOVO"))
+    assert model.predict(other).where("predikcija IS NOT NULL").count() == 0
+    assert model.predict(other, unseen=0.0).where("predikcija IS NULL").count() == 0
+
+
+def test_scaling_ignores_nan(spark):
+    got = column(scaling.min_max(series(spark, [0.0, float("nan"), 4.0, 2.0]), ["x"]), "x")
+    assert got == [0.0, None, 1.0, 0.5]
