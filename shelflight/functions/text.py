@@ -95,7 +95,12 @@ def brand_or_first_word(brand: Column, name: Column) -> Column:
 
 
 def normal_brand(brand: Column) -> Column:
-    return F.upper(strip(brand))
+    """Stripped and upper-cased; only texts whose ends may be white space pay for stripping."""
+    ends = [F.ascii(brand), F.ascii(F.right(brand, F.lit(1)))]
+    suspect = F.lit(False)
+    for code in ends:
+        suspect = suspect | (code <= 32) | (code > 126)
+    return F.upper(F.when(suspect, strip(brand)).otherwise(brand))
 
 
 def first_present(specs: Column, keys: Sequence[str]) -> Column:
