@@ -5,19 +5,71 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelflight.llm import bpe_automaton
-from shelflight.llm.common import table
+from shelflight.llm import (bpe_automaton, decontaminate, hamming_search, language_id, parity_join, shards, suffix_dedup,
+                            token_blocks, url_filter)
+from shelflight.llm.common import new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "token-blocks")
+    token_blocks.write_blocks(table(spark, sf_dir, "documents"), folder)
+    return token_blocks.read_blocks(spark, folder, digest=True).withColumnRenamed("key", "doc_id")
+
+
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = language_id.held_out(F.col("doc_id"))
+    profiles = language_id.learn(docs, ~kept)
+    return (language_id.identify(docs.select("doc_id", "text"), profiles)
+            .select("doc_id", kept.alias("held_out"), "lang_pred", "score"))
+
+
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), hamming_search.sign_code(F.col("embedding")).alias("code"))
+    return hamming_search.search(rows, rows.where("id % 20 = 0")).withColumnRenamed("id", "vec_id")
+
+
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+            .select("page_id", "host", "path", "rule", "verdict", "mined"))
+
+
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digests(table(spark, sf_dir, "documents"))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+
+
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = table(spark, sf_dir, "documents"), new_path(spark, "shards")
+    shards.write_shards(docs, folder)
+    return shards.read_shards(docs, folder).select("doc_id", "shard", "n_bytes", "shard_bytes", "shard_rows")
+
+
 QUERIES: dict[str, Query] = {
-    "op7_bpe_automaton": bpe_codec,
+    "op1_token_blocks": op1,
+    "op2_suffix_dedup": op2,
+    "op3_language_id": op3,
+    "op5_hamming_search": op5,
+    "op6_url_filter": op6,
+    "op7_bpe_automaton": op7,
+    "op8_parity_join": op8,
+    "op9_decontaminate": op9,
+    "op10_shards": op10,
 }
 
 SQL: dict[str, str] = {}
