@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflight.llm import (bpe_automaton, decontaminate, hamming_search, language_id, parity_join, shards, suffix_dedup,
+from shelflight.llm import (bpe_automaton, decontaminate, hamming_search, language_id, main_text, parity_join, shards, suffix_dedup,
                             token_blocks, url_filter)
 from shelflight.llm.common import new_path, table
 
@@ -32,6 +32,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", kept.alias("held_out"), "lang_pred", "score"))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), hamming_search.sign_code(F.col("embedding")).alias("code"))
     return hamming_search.search(rows, rows.where("id % 20 = 0")).withColumnRenamed("id", "vec_id")
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1,
     "op2_suffix_dedup": op2,
     "op3_language_id": op3,
+    "op4_main_text": op4,
     "op5_hamming_search": op5,
     "op6_url_filter": op6,
     "op7_bpe_automaton": op7,
