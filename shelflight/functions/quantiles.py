@@ -1,7 +1,6 @@
 """Exact interpolated quantiles without gathering a large group in one place.
 
-Groups of a proven small size use the built-in ``percentile``.  Otherwise three
-narrow passes do it: a mergeable sketch proposes cut points around each wanted
+Three narrow passes do it, at every size: a mergeable sketch proposes cut points around each wanted
 rank, a count per interval tells which intervals hold the ranks, and only the
 rows of those intervals are put in order.  The sketch decides how few rows the
 last pass touches, never the result: the intervals are counted exactly.
@@ -17,43 +16,33 @@ from pyspark.sql import functions as F
 from shelflight.session import settle
 
 ACCURACY = 20_000
-#: Largest group that ``percentile`` may hold in the memory of one task.
-SMALL_GROUP = 200_000
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              accuracy: int = ACCURACY, small: int = SMALL_GROUP) -> DataFrame:
+              accuracy: int = ACCURACY) -> DataFrame:
     """``by..., n, q: array<double>`` with one linearly interpolated quantile per prob.
 
-    Missing values do not count, rows without a group key are left out.  Without
-    ``by`` there is one row; on empty input its ``q`` is NULL.
+    Missing values do not count; rows whose key is NULL are a group like any other.
+    Without ``by`` there is one row; on empty input its ``q`` is NULL.
     """
     by = list(by)
     src = df.select(*by, F.col(value).cast("double").alias("_x"))
     src = src.where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    for key in by:
-        src = src.where(F.col(key).isNotNull())
 
     slack = 2.0 / accuracy
     cuts = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
     sketch = src.groupBy(*by).agg(
         F.count("_x").alias("_n"), F.percentile_approx("_x", cuts, accuracy).alias("_cuts"))
-    if by:
-        sketch = settle(sketch)
-        largest = sketch.agg(F.max("_n")).first()[0] or 0
-    else:
-        sketch = sketch.first()
-        largest = sketch["_n"]
-    if largest <= small:
-        return src.groupBy(*by).agg(
-            F.count("_x").alias("n"), F.percentile("_x", F.lit(list(probs))).alias("q"))
+    sketch = settle(sketch, "sketch") if by else sketch.first()
+    if not by and not sketch["_n"]:
+        return src.groupBy().agg(F.count("_x").alias("n"), F.lit(None).cast("array<double>").alias("q"))
 
     slots = _attach(src, sketch, by, ["_cuts"]).select(*by, "_x", _slot(len(cuts)).alias("_slot"))
     counts = slots.groupBy(*by, "_slot").agg(F.count("_x").alias("_c"))
     # At most len(cuts) + 1 counts per group, so folding them into one array is safe.
     filled = counts.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_slot", "_c"))).alias("_filled"))
     wanted = _attach(filled, sketch, by, ["_n"]).select(*by, _wanted(probs).alias("_wanted"))
-    wanted = settle(wanted) if by else wanted.first()
+    wanted = settle(wanted, "ranks") if by else wanted.first()
 
     if not by:
         held = {w["slot"] for w in wanted["_wanted"]}
@@ -76,10 +65,18 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     return _attach(ends, sketch, by, ["_n"]).select(*by, n.alias("n"), q.alias("q"))
 
 
+def join_groups(df: DataFrame, dim: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Inner join on the keys in which NULL equals NULL."""
+    own = [f"_key{i}" for i in range(len(by))]
+    dim = dim.withColumnsRenamed(dict(zip(by, own)))
+    same = [df[k].eqNullSafe(dim[o]) for k, o in zip(by, own)]
+    return df.join(dim, same).drop(*own)
+
+
 def _attach(df: DataFrame, dim, by: list[str], columns: list[str]) -> DataFrame:
     """Bring per-group values to the rows: joined by key, or literals of the only group."""
     if by:
-        return df.join(dim.select(*by, *columns), by)
+        return join_groups(df, dim.select(*by, *columns), by)
     return df.withColumns({c: _literal(dim[c]) for c in columns})
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,14 +18,8 @@ BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
 #: The same as a character class, spelled so that any regex engine agrees.
 WS = "[" + "".join(rf"\x{{{ord(c):X}}}" for c in BLANKS) + "]"
 
-#: Named character references that occur in shop pages.
-ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©",
-            "reg": "®", "deg": "°", "middot": "·", "ndash": "–", "mdash": "—",
-            "hellip": "…", "rarr": "→", "laquo": "«", "raquo": "»", "euro": "€"}
-
-_ENTITY_PAIRS = "array(" + ", ".join(
-    f"named_struct('a', '&{n};', 'b', {chr(34) + c + chr(34) if c != chr(34) else chr(39) + c + chr(39)})"
-    for n, c in ENTITIES.items()) + ")"
+#: Every named character reference of HTML, without its ``&``, as a map in the expression.
+_NAMED = json.dumps({name: char for name, char in sorted(html5.items()) if name.endswith(";")})
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -134,25 +130,38 @@ def text_attributes(text: Column, patterns: dict[str, str] = fixed.TEXT_PATTERNS
 
 
 def unescape(text: Column) -> Column:
-    """Resolve character references: the common names and every decimal or hex number."""
-    def code_point(code: Column) -> Column:
-        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    """Resolve character references, each once: every name of HTML and every decimal or hex number.
+
+    Numbers that are no character become the replacement character, unknown names stay.
+    """
+    names = F.from_json(F.lit(_NAMED), "map<string,string>")
+
+    def code_point(digits: Column, base: int) -> Column:
+        plain = F.regexp_replace(digits, "^0+(?=.)", "")
+        code = F.when(F.length(plain) <= 8, F.conv(plain, base, 10).cast("long"))
+        known = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+    def resolved(piece: Column) -> Column:
+        inside = F.substring(piece, 2, 1 << 30)
+        return (F.when(~piece.startswith("&") | ~piece.endswith(";"), piece)
+                .when(piece.rlike("^&#[0-9]+;$"), code_point(F.regexp_extract(piece, "[0-9]+", 0), 10))
+                .when(piece.rlike("^&#[xX]"), code_point(F.regexp_extract(piece, "^&#[xX]([0-9a-fA-F]+)", 1), 16))
+                .otherwise(F.coalesce(F.try_element_at(names, inside), piece)))
+
+    parts = F.regexp_extract_all(text, F.lit("&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);|[^&]+|&"), 0)
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, resolved), "")).otherwise(text)
 
-    def decimals(t: Column) -> Column:
-        codes = F.array_distinct(F.regexp_extract_all(t, F.lit(r"&#(\d{1,6});"), 1))
-        return F.aggregate(codes, t, lambda acc, n: F.replace(
-            acc, F.concat(F.lit("&#"), n, F.lit(";")), code_point(n.cast("long"))))
 
-    def hexes(t: Column) -> Column:
-        codes = F.array_distinct(F.regexp_extract_all(t, F.lit(r"&#[xX]([0-9a-fA-F]{1,5});"), 1))
-        return F.aggregate(codes, t, lambda acc, n: F.regexp_replace(
-            acc, F.concat(F.lit("&#[xX]"), n, F.lit(";")), code_point(F.conv(n, 16, 10).cast("long"))))
+#: How a number is written: digits with at most one point, a sign, an exponent; no letters behind it.
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
-    def resolved(t: Column) -> Column:
-        named = F.aggregate(F.expr(_ENTITY_PAIRS), t, lambda acc, e: F.replace(acc, e["a"], e["b"]))
-        return F.replace(let(let(named, decimals), hexes), F.lit("&amp;"), F.lit("&"))
 
-    return let(text, lambda t: F.when(t.contains("&"), resolved(t)).otherwise(t))
+def to_number(text: Column) -> Column:
+    """The number that a text consists of, blanks around it aside; anything else is NULL."""
+    plain = strip(text.cast("string"))
+    # The kind is known before the query runs, so only one of the branches is left then.
+    return F.when(F.typeof(text) == "string", F.when(plain.rlike(NUMBER), plain.try_cast("double"))).otherwise(text.try_cast("double"))
 
 
 def visible_text(html: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
 from shelflight.functions.codes import ordinal_code
-from shelflight.functions.quantiles import quantiles
+from shelflight.functions.quantiles import join_groups, quantiles
 from shelflight.functions.text import normal_brand
 from shelflight.roles import Roles, nan_to_null
 from shelflight.session import settle
@@ -72,7 +72,7 @@ def tukey_filter(df: DataFrame, column: str, floor: float | None = None, by: Seq
     low = F.greatest(low, F.lit(float(floor))) if floor is not None else low
     x = F.col(column)
     if by:
-        return (df.join(settle(bounds.select(*by, low.alias("_low"), high.alias("_high"))), list(by))
+        return (join_groups(df, settle(bounds.select(*by, low.alias("_low"), high.alias("_high")), "bounds"), by)
                 .where((x >= F.col("_low")) & (x <= F.col("_high"))).drop("_low", "_high"))
     edges = bounds.select(low.alias("low"), high.alias("high")).first()
     if edges["high"] is None:

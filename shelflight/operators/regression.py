@@ -1,18 +1,18 @@
-"""Price regression by batch gradient descent over grouped sums.
+"""Price regression by batch gradient descent over the sums of the design.
 
-All rows that share their category and brand enter the gradient only through a
-few sums (count, sums and products of the numeric columns and the target).  One
-aggregation computes these cells; every descent step then works on the cells and
-gives the same weights and costs as a pass over all rows.
+Gradient and cost of a step are a quadratic form in the weights.  Its sums (products of
+the numbers, sums of the numbers per level of a label, counts per pair of levels that occur
+together) come from grouped aggregations; a descent step is one product with them, and
+gives the same weights and costs as a pass over all rows.  The sums are as large as the
+model: the driver holds one weight per level, and one count per pair of levels that occurs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +20,10 @@ from shelflight import fixed_values as fixed
 from shelflight.functions.codes import fit_verdict
 from shelflight.functions.quantiles import quantiles
 from shelflight.functions.scaling import number
-from shelflight.functions.text import normal_brand
+from shelflight.functions.text import normal_brand, to_number
 from shelflight.functions.vectors import ratio
 from shelflight.roles import Roles
-from shelflight.session import settle, ship_package, small_table
-
-#: Most cells that one process works on; above it every step is a job over the cells.
-LOCAL_CELLS = 1_000_000
+from shelflight.session import settle, small_table
 
 
 # -- feature preparation ------------------------------------------------------
@@ -138,87 +135,83 @@ def cells(df: DataFrame, design: Design) -> DataFrame:
     return rows.groupBy(*design.labels).agg(*[c.alias(k) for k, c in sums.items()])
 
 
-class _Cells:
-    """Cells as arrays.
+class _Form:
+    """The quadratic form of the squared error: entries (i, j, v) of its matrix, its vector, and its constant.
 
-    ``offsets`` tells the place of each label's level among the weights; the place
-    past the last weight stands for a level without one.
+    The numbers come first, then a place per level that has a weight, then the bias.
     """
 
-    def __init__(self, part: pd.DataFrame, design: Design, offsets: Mapping[str, dict], m: int):
-        p = len(design.numeric)
-        self.p, self.m, self.target_mean = p, m, design.target_mean
-        self.n, self.sy = part["n"].to_numpy(dtype=float), part["sy"].to_numpy(dtype=float)
-        self.sx = part[[f"sx{i}" for i in range(p)]].to_numpy(dtype=float).reshape(len(part), p)
-        self.sxy = part[[f"sxy{i}" for i in range(p)]].to_numpy(dtype=float).reshape(len(part), p).sum(axis=0)
-        self.syy = float(part["syy"].sum())
-        self.sxx = np.zeros((p, p))
+    def __init__(self, cell_table: DataFrame, design: Design):
+        p, labels = len(design.numeric), design.labels
+        self.offsets, at = {}, p
+        for c in labels:
+            self.offsets[c] = {v: at + i for i, v in enumerate(design.levels[c][1:])}
+            at += len(self.offsets[c])
+        self.bias = at
+        entries: list[tuple[int, int, float]] = []
+        self.vector = np.zeros(at + 1)
+
+        def both(i: int, j: int, v: float) -> None:
+            entries.append((i, j, v))
+            if i != j:
+                entries.append((j, i, v))
+
+        sums = ["n", "sy", "syy", *[f"sx{i}" for i in range(p)], *[f"sxy{i}" for i in range(p)],
+                *[f"sxx{i}_{j}" for i in range(p) for j in range(i, p)]]
+        whole = cell_table.agg(*[F.coalesce(F.sum(k), F.lit(0.0)).alias(k) for k in sums]).first()
+        self.rows, mean = whole["n"], design.target_mean
+        # The target is held from its mean; the bias is the distance to it while the form is used.
+        self.constant = whole["syy"]
+        self.vector[self.bias] = whole["sy"]
+        both(self.bias, self.bias, whole["n"])
         for i in range(p):
+            self.vector[i] = whole[f"sxy{i}"]
+            both(i, self.bias, whole[f"sx{i}"])
             for j in range(i, p):
-                self.sxx[i, j] = self.sxx[j, i] = part[f"sxx{i}_{j}"].sum()
-        self.places = [part[c].map(offsets[c]).fillna(m).astype(int).to_numpy() for c in design.labels]
-
-    def sums(self, theta: np.ndarray) -> np.ndarray:
-        """Gradient sums per weight and for the bias, then squared error and row count."""
-        p, m = self.p, self.m
-        w, slots = theta[:p], np.append(theta[:m], 0.0)
-        level = np.full(len(self.n), theta[m] - self.target_mean)
-        for place in self.places:
-            level += slots[place]
-        fit_x, n_level = self.sx @ w, self.n * level
-        error = fit_x + n_level - self.sy
-        out = np.zeros(m + 3)
-        out[:p] = self.sxx @ w + level @ self.sx - self.sxy
-        for place in self.places:
-            out[:m] += np.bincount(place, weights=error, minlength=m + 1)[:m]
-        out[m] = error.sum()
-        out[m + 1] = (w @ self.sxx @ w + 2 * level @ fit_x + level @ n_level
-                      - 2 * w @ self.sxy - 2 * level @ self.sy + self.syy)
-        out[m + 2] = self.n.sum()
-        return out
-
-
-def descend(cell_table: DataFrame, design: Design, rate: float = 0.01, steps: int = 1000,
-            local_cells: int = LOCAL_CELLS) -> LinearModel:
+                both(i, j, whole[f"sxx{i}_{j}"])
+        for k, c in enumerate(labels):
+            for r in cell_table.groupBy(c).agg(*[F.sum(x).alias(x) for x in ("n", "sy", *[f"sx{i}" for i in range(p)])]).collect():
+                place = self.offsets[c].get(r[c])
+                if place is None:
+                    continue
+                self.vector[place] = r["sy"]
+                both(place, place, r["n"])
+                both(place, self.bias, r["n"])
+                for i in range(p):
+                    both(i, place, r[f"sx{i}"])
+            for d in labels[k + 1:]:
+                for r in cell_table.groupBy(c, d).agg(F.sum("n").alias("n")).collect():
+                    one, other = self.offsets[c].get(r[c]), self.offsets[d].get(r[d])
+                    if one is not None and other is not None:
+                        both(one, other, r["n"])
+        self.i = np.array([e[0] for e in entries])
+        self.j = np.array([e[1] for e in entries])
+        self.v = np.array([e[2] for e in entries], dtype=float)
+        self.mean = mean
+
+    def gradient(self, theta: np.ndarray) -> tuple[np.ndarray, float]:
+        """Gradient sums per weight and for the bias, and the sum of squared errors."""
+        at = theta.copy()
+        at[self.bias] -= self.mean
+        product = np.bincount(self.i, weights=self.v * at[self.j], minlength=len(at))
+        return product - self.vector, float(at @ product - 2 * at @ self.vector + self.constant)
+
+
+def descend(cell_table: DataFrame, design: Design, rate: float = 0.01, steps: int = 1000) -> LinearModel:
     """``steps`` full-batch steps from zero; the cost is recorded after each."""
-    cell_table = settle(cell_table)
-    names = design.names
-    offsets, at = {}, len(design.numeric)
-    for c in design.labels:
-        offsets[c] = {v: at + i for i, v in enumerate(design.levels[c][1:])}
-        at += len(offsets[c])
-
-    if cell_table.count() <= local_cells:
-        sums = _Cells(cell_table.toPandas(), design, offsets, len(names)).sums
-    else:
-        ship_package(cell_table.sparkSession)
-
-        def sums(theta: np.ndarray) -> np.ndarray:
-            def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                total = np.zeros(len(theta) + 2)
-                for batch in batches:
-                    total += _Cells(batch, design, offsets, len(names)).sums(theta)
-                keep = np.flatnonzero(total)
-                yield pd.DataFrame({"i": keep, "v": total[keep]})
-
-            summed = cell_table.mapInPandas(partial, "i long, v double").groupBy("i").agg(F.sum("v").alias("v"))
-            out = np.zeros(len(theta) + 2)
-            for row in summed.collect():
-                out[row["i"]] = row["v"]
-            return out
-
-    m = len(names)
-    theta, costs = np.zeros(m + 1), []
-    now = sums(theta)
+    form = _Form(settle(cell_table, "cells"), design)
+    theta, costs = np.zeros(form.bias + 1), []
+    now, _ = form.gradient(theta)
     for _ in range(steps):
-        theta = theta - rate * now[:m + 1] / now[m + 2]
-        now = sums(theta)
-        costs.append(float(max(now[m + 1], 0.0) / (2 * now[m + 2])))
-    return LinearModel(design, dict(zip(names, map(float, theta[:m]))), float(theta[m]), costs)
+        theta = theta - rate * now / form.rows
+        now, squares = form.gradient(theta)
+        costs.append(max(squares, 0.0) / (2 * form.rows))
+    names = design.names
+    return LinearModel(design, dict(zip(names, map(float, theta[:form.bias]))), float(theta[form.bias]), costs)
 
 
-def fit(df: DataFrame, design: Design, rate: float = 0.01, steps: int = 1000, **options) -> LinearModel:
-    return descend(cells(df, design), design, rate, steps, **options)
+def fit(df: DataFrame, design: Design, rate: float = 0.01, steps: int = 1000) -> LinearModel:
+    return descend(cells(df, design), design, rate, steps)
 
 
 # -- split, metrics, training -------------------------------------------------
@@ -288,7 +281,7 @@ def train(df: DataFrame, roles: Roles = Roles(), rate: float = 0.05, steps: int
 
 def estimate(model: LinearModel, items: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """Prices of new items typed in as text: empty numbers are missing, unknown labels an error."""
-    ready = items.withColumns({c: F.col(c).cast("string").try_cast("double") for c in model.design.numeric})
+    ready = items.withColumns({c: to_number(F.col(c)) for c in model.design.numeric})
     ready = ready.withColumn(roles.brand, normal_brand(F.col(roles.brand)))
     scored = model.predict(ready)
     unknown = scored.where(F.col("predikcija").isNull()).select(*model.design.labels).first()

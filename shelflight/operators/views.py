@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelflight.functions.text import to_number
 from shelflight.operators.charts import value_counts
 from shelflight.roles import Roles
 
@@ -39,7 +40,7 @@ def sort_key(df: DataFrame, column: str, numeric: bool) -> Column:
     if not numeric:
         return F.lower(F.col(column).cast("string"))
     text = F.trim(F.regexp_replace(F.col(column).cast("string"), ",|RSD", ""))
-    return F.coalesce(text.try_cast("double"), F.lit(float("-inf")))
+    return F.coalesce(to_number(text), F.lit(float("-inf")))
 
 
 def sort_view(df: DataFrame, column: str, numeric: bool, descending: bool = False, r: Roles = Roles()) -> DataFrame:

@@ -31,9 +31,7 @@ SHOP_ITEMS = {
 
 
 def shop_items(spark: SparkSession, d: str) -> DataFrame:
-    # The items are small and the pages written from them are not: spread the items first.
-    parts = b.table(spark, d, "part").repartition(spark.sparkContext.defaultParallelism)
-    return parts.selectExpr(*b.select(SHOP_ITEMS))
+    return b.table(spark, d, "part").selectExpr(*b.select(SHOP_ITEMS))
 
 
 def _opt(value: Column, *parts) -> Column:
@@ -55,20 +53,21 @@ def shop_pages(spark: SparkSession, d: str) -> DataFrame:
     html = F.concat(
         F.lit("<!DOCTYPE html><html><body>"),
         F.when(F.col("id") % 31 != 0, F.concat(
-            F.lit('<span class="base" data-ui-id="page-title-wrapper">\n '), _escaped(F.col("naziv")),
-            F.lit(" </span>"))).otherwise(""),
+            F.lit('<!-- <span class="base" data-ui-id="page-title-wrapper">stari naziv</span> -->'
+                  '<span title="a > b" class="base" data-ui-id=page-title-wrapper><span> </span>\n '), _escaped(F.col("naziv")),
+            F.lit("<span></span> </span>"))).otherwise(""),
         F.lit('<span data-price-amount="'), F.col("cena").cast("decimal(12,2)").cast("string"),
         F.lit('" class="price-wrapper"><span class="price">x</span></span>'),
         _opt(F.col("na_lageru"), '<div class="stock ', F.when(F.col("na_lageru"), "available").otherwise("unavailable"),
              '"><span>stanje</span></div>'),
-        _opt(F.col("brend"), '<div class="product-brand"><a href="/brend/x">', F.col("brend"), "</a></div>"),
+        _opt(F.col("brend"), "<div class='product-brand'><div><i></i></div><p>", F.col("brend"), "</p></div>"),
         F.lit('<table class="'), table, F.lit('"><tbody>'),
         row("Energetska klasa", F.col("klasa")),
         row("Zapremina", _opt(F.col("litara"), F.col("litara").cast("string"), " l")),
         row("Kapacitet", F.concat(F.col("kg").cast("string"), F.lit(",5 kg"))),
+        row("Import specifikacija", F.lit("<table><tr><td>Duboko</td><td>48 mm</td></tr><tr><td>Te&scaron;ko</td></tr></table>")),
         row("Snaga", F.when(F.col("vati").isNotNull(), thousands)),
-        row("Boja", F.lit("bela")), row("BOJA", F.lit("crna")),
-        row("Import specifikacija", F.lit("Visina91,2cmDubina71,2cm")),
+        row("Boja", F.lit("zelena")), row("BOJA", F.lit("tamno plavi&scaron;&#0000038;")),
         F.lit("</tbody></table></body></html>"))
     return shop_items(spark, d).select(
         "id", F.concat(F.lit("https://shop.example/x-"), F.col("id").cast("string"),
@@ -126,7 +125,7 @@ def payload_pages(spark: SparkSession, d: str) -> DataFrame:
 # -- queries ------------------------------------------------------------------
 
 PAGE_LINK = pages.Tag("a")
-NEXT = pages.Tag("a", (), r"""href\s*=\s*["']/th""")
+NEXT = pages.Tag("a", (), (("href", "starts", "/th"),))
 
 
 def links(spark: SparkSession, d: str) -> DataFrame:
@@ -229,14 +228,38 @@ def document_attributes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cards(spark: SparkSession, d: str) -> DataFrame:
+    price = F.when(F.col("vati").isNotNull(), F.concat(
+        F.lit('<div><span class="product-price">'), F.replace(F.format_number("vati", 0), F.lit(","), F.lit(".")), F.lit("RSD</span></div>")))
     html = F.concat(F.lit("<ul>"), F.lit('<div class="product"><h3 class="product-name"><b>bez veze</b></h3></div>'),
                     F.lit('<div class="card product">\n <h3 class="product-name"><a class="x" href="https://x.example/'),
                     F.col("id").cast("string"), F.lit('.html"> '), _escaped(F.col("naziv")),
-                    F.lit(' </a></h3><span class="product-price">'), F.format_number("vati", 0), F.lit("RSD</span></div>"))
-    shown = shop_items(spark, d).select("id", F.replace(html, F.lit(","), F.lit(".")).alias("html")).where("html IS NOT NULL")
+                    F.lit(" </a></h3>"), F.coalesce(price, F.lit("")),
+                    F.lit('</div><aside><span class="product-price">777RSD</span></aside>'))
+    shown = shop_items(spark, d).select("id", html.alias("html"))
     return shown.select("id", F.explode(pages.cards(F.col("html"))).alias("c")).select("id", "c.*")
 
 
+def shop_links(spark: SparkSession, d: str) -> DataFrame:
+    """Listings with addresses that are quoted in all ways, commented out, repeated and written with references."""
+    def link(start: str, end: str) -> Column:
+        return F.concat(F.lit(start), F.col("id").cast("string"), F.lit(end))
+
+    html = F.concat(link('<!-- <a class="product-item-link" href="/staro-', '">x</a> -->'),
+                    link('<a title="1 > 0" class="product-item-link" href="/o\'reilly-', '">a</a>'),
+                    link("<a class='big product-item-link' href='/b-", "?a=1&amp;b=&quot;2&quot;'>b</a>"),
+                    link("<a href=/c-", " class=product-item-link>c</a>"), link("<script>'<a class=product-item-link href=/s-", ">'</script>"),
+                    link('<a class="product-item-links" href="/ne-', '">x</a>'), link("<a href=/c-", " class=product-item-link>again</a>"),
+                    link('<A CLASS="action next" HREF="/strana-', '">dalje</A>'))
+    found = shop_items(spark, d).select("id", pages.links(html).alias("l"), pages.next_page(html).alias("sledeca"))
+    return found.select("id", "sledeca", F.posexplode("l").alias("pozicija", "href"))
+
+
+def shop_text(spark: SparkSession, d: str) -> DataFrame:
+    html = F.concat(F.lit("<style>p{}</style><p>&Scaron;ifra&nbsp;"), F.col("id").cast("string"), F.lit(" &mdash; "), _escaped(F.col("naziv")),
+                    F.lit("</p>&#x17E;&#382; &amp;lt; &unknown; &#0;<!-- x -->"))
+    return shop_items(spark, d).select("id", tx.visible_text(html).alias("tekst"))
+
+
 def list_cards(spark: SparkSession, d: str) -> DataFrame:
     rules = pages.CardRules(card=pages.Tag("li"), heading=None, link=pages.Tag("a"))
     found = b.table(spark, d, "pages").select("page_id", F.posexplode(pages.cards(F.col("html"), rules)).alias("pozicija", "c"))
@@ -264,6 +287,7 @@ QUERIES = {
     "b1_links": links,
     "b2_next_page": lambda s, d: b.table(s, d, "pages").select(
         "page_id", pages.next_page(F.col("html"), NEXT).alias("sledeca")),
+    "b1_b2_shop_links": shop_links,
     "b3_absolute_url": absolute,
     "b4_product_pages": product_pages,
     "b4_page_titles": page_titles,
@@ -283,6 +307,7 @@ QUERIES = {
     "b16_list_cards": list_cards,
     "b16_card_offers": card_offers,
     "b17_visible_text": visible_text,
+    "b17_shop_text": shop_text,
     "b18_availability": availability,
 }
 
@@ -304,8 +329,12 @@ def _text_sql(patterns: dict[str, str], text: str) -> str:
     return ", ".join(out)
 
 
+#: References that occur in the given pages.
+REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "nbsp": " ", "copy": "©", "middot": "·", "eacute": "é", "amp": "&"}
+
+
 def _entities(text: str) -> str:
-    for name, char in {**tx.ENTITIES, "amp": "&"}.items():
+    for name, char in REFERENCES.items():
         text = f"replace({text}, '&{name};', '{char.replace(chr(39), chr(39) * 2)}')"
     return text
 
@@ -318,13 +347,14 @@ litara::DOUBLE AS zapremina_l, vati::DOUBLE AS snaga_w,
 1 + (klasa IS NOT NULL)::INT + (litara IS NOT NULL)::INT + (kg IS NOT NULL)::INT + (vati IS NOT NULL)::INT
 + (na_lageru IS NOT NULL)::INT AS specifikacija FROM items"""
 
-_WS_SQL = tx.WS.replace("'", "''")
+#: White space of pages.
+_WS_SQL = r"[\s\x{A0}]"
 _STRIPPED = "(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<template\\b.*?</template\\s*>|<!doctype[^>]*>"
 
 SQL = {
     "b1_links": f"""WITH {_LINKS}
 SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pozicija, href FROM u""",
-    "b2_next_page": """SELECT page_id, nullif(replace(regexp_extract(html, '(?i)<a\\b[^>]*href="(/th[^"]*)"', 1),
+    "b2_next_page": """SELECT page_id, nullif(replace(regexp_extract(html, '<a\\b[^>]*href="(/th[^"]*)"', 1),
 '&amp;', '&'), '') AS sledeca FROM pages""",
     "b3_absolute_url": f"""WITH {_LINKS},
 w AS (SELECT page_id, url, href FROM u UNION ALL SELECT page_id, url, url FROM pages)
@@ -336,7 +366,7 @@ SELECT 'tehnomanija.rs' AS izvor, CAST(id AS VARCHAR) AS izvorni_id,
 coalesce(brend, string_split(naziv, ' ')[1]) AS brend, kategorija, CAST(NULL AS VARCHAR) AS podkategorija, cena,
 CAST(NULL AS DOUBLE) AS cena_pre_akcije, {b.FLAG_SQL}, trim(klasa) AS energetska_klasa,
 CAST(NULL AS DOUBLE) AS dijagonala_inch, kg + 0.5::DOUBLE AS kapacitet_kg, litara::DOUBLE AS zapremina_l,
-vati::DOUBLE AS snaga_w, 'crna' AS boja FROM items WHERE id % 31 <> 0""",
+vati::DOUBLE AS snaga_w, 'tamno plaviš&' AS boja FROM items WHERE id % 31 <> 0""",
     "b4_page_titles": f"""SELECT page_id, CASE WHEN html LIKE '%<h1>%' THEN
 trim({_entities("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}) END AS naslov FROM pages""",
     "b5_id_in_url": """SELECT p_partkey AS id, 'https://shop.example/x-' || p_partkey ||
@@ -347,7 +377,7 @@ s AS (SELECT id, 'energetska klasa' AS kljuc, trim(klasa) AS vrednost FROM items
 UNION ALL SELECT id, 'zapremina', litara || ' l' FROM items
 UNION ALL SELECT id, 'kapacitet', kg || ',5 kg' FROM items
 UNION ALL SELECT id, 'snaga', '1.' || lpad(CAST(vati - 1000 AS VARCHAR), 3, '0') || ' W' FROM items
-UNION ALL SELECT id, 'boja', 'crna' FROM items)
+UNION ALL SELECT id, 'boja', 'tamno plaviš&' FROM items)
 SELECT * FROM s WHERE vrednost IS NOT NULL""",
     "b8_first_present_key": "SELECT event_id, json_extract_string(props, '$.k') AS vrednost FROM events",
     "b9_number_in_text": f"SELECT doc_id, {_NUMBER.format('text')} AS broj FROM documents",
@@ -365,7 +395,12 @@ CASE WHEN upper(trim({b.GRADE})) IN {_IN_LIST} THEN upper(trim({b.GRADE})) END A
 SELECT id, {_text_sql(fixed.TEXT_PATTERNS, 'tekst')} FROM t""",
     "b15_document_attributes": f"SELECT doc_id, {_text_sql(DOCUMENT_PATTERNS, 'text')} FROM documents",
     "b16_cards": f"""WITH {_ITEMS}
-SELECT id, 'https://x.example/' || id || '.html' AS url, naziv, vati::DOUBLE AS cena FROM items WHERE vati IS NOT NULL""",
+SELECT id, 'https://x.example/' || id || '.html' AS url, naziv, vati::DOUBLE AS cena FROM items""",
+    "b1_b2_shop_links": f"""WITH {_ITEMS}, l AS (SELECT id, unnest([0, 1, 2]) AS pozicija FROM items)
+SELECT id, '/strana-' || id AS sledeca, pozicija, CASE pozicija WHEN 0 THEN '/o''reilly-' || id
+WHEN 1 THEN '/b-' || id || '?a=1&b="2"' ELSE '/c-' || id END AS href FROM l""",
+    "b17_shop_text": f"""WITH {_ITEMS}
+SELECT id, 'Šifra ' || id || ' — ' || trim(regexp_replace(naziv, ' +', ' ', 'g')) || ' žž &lt; &unknown; ' || chr(65533) AS tekst FROM items""",
     "b16_list_cards": f"""WITH l AS (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS h,
 regexp_extract_all(html, '<li><a href="[^"]*">(.*?)</a>', 1) AS t FROM pages),
 e AS (SELECT page_id, generate_subscripts(h, 1) - 1 AS pozicija, unnest(h) AS url, unnest(t) AS naziv FROM l)

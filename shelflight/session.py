@@ -31,19 +31,9 @@ def build_session(app: str = "shelflight", master: str | None = None, **settings
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that all executors see.
-
-    It is the checkpoint folder of the session.  Only a local session may fall
-    back to a temporary one.
-    """
-    context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="shelflight-"))
-    return context.getCheckpointDir()
+    """Folder for intermediate tables, which all executors see: the checkpoint folder, or else the warehouse."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -59,15 +49,23 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     return spark.createDataFrame(table, schema=struct)
 
 
-def settle(df: DataFrame) -> DataFrame:
+def work_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/shelflight/{name}-{uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def settle(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and gives the optimiser the true
     size: a join with the result is broadcast only when the files are smaller
     than ``spark.sql.autoBroadcastJoinThreshold`` and shuffled otherwise.
     """
-    path = f"{shared_folder(df.sparkSession)}/shelflight/{uuid4().hex}"
-    df.write.parquet(path)
+    path = work_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,36 +1,19 @@
-"""Stored web pages into offer records, with column expressions only."""
+"""Stored web pages into offer records: one pass over a page's elements, the rest in column expressions."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
 from shelflight.functions import text as tx
 from shelflight.roles import OFFER_SCHEMA
-
-
-@dataclass(frozen=True)
-class Tag:
-    """An element: its tag name, classes it must all have, other text its opening tag must hold."""
-
-    name: str
-    classes: Sequence[str] = ()
-    having: str | None = None
-
-    def opening(self) -> str:
-        """Pattern of the opening tag; each condition looks ahead from the tag name."""
-        tests = [rf"""(?=[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{c}(?:\s[^"']*)?["'])""" for c in self.classes]
-        if self.having:
-            tests.append(f"(?=[^>]*{self.having})")
-        return rf"<{self.name}\b{''.join(tests)}[^>]*>"
-
-    def element(self) -> str:
-        """Pattern of the whole element, contents in group 1 (nested same-name tags end it)."""
-        return rf"(?is){self.opening()}(.*?)</{self.name}\s*>"
+from shelflight.session import ship_package
+from shelflight.sources.elements import Element, Page, Tag
 
 
 @dataclass(frozen=True)
@@ -39,14 +22,14 @@ class PageRules:
 
     product_link: Tag = Tag("a", ("product-item-link",))
     next_link: Tag = Tag("a", ("action", "next"))
-    title: Tag = Tag("span", ("base",), r"""data-ui-id\s*=\s*["']page-title-wrapper["']""")
-    price: Tag = Tag("span", (), r"data-price-amount\s*=")
+    title: Tag = Tag("span", ("base",), (("data-ui-id", "is", "page-title-wrapper"),))
     price_attribute: str = "data-price-amount"
+    price: Tag = Tag("span", (), (("data-price-amount", "has", ""),))
     stock: Tag = Tag("div", ("stock",))
-    brand: Sequence[Tag] = (Tag("a", (), r"""href\s*=\s*["'][^"']*/brend/"""),
-                            Tag("div", ("product-brand",)), Tag("span", ("brand",)))
+    brand: Sequence[Tag] = (Tag("a", (), (("href", "contains", "/brend/"),)), Tag("div", ("product-brand",)), Tag("span", ("brand",)))
     spec_table: Sequence[Tag] = (Tag("table", ("additional-attributes-wrapper",)),
                                  Tag("table", ("data", "table", "additional-attributes")))
+    spec_row: Tag = Tag("tr")
     spec_label: Tag = Tag("th", ("col", "label"))
     spec_value: Tag = Tag("td", ("col", "data"))
     synonyms: Mapping[str, Sequence[str]] = field(default_factory=lambda: dict(fixed.SPEC_SYNONYMS))
@@ -60,70 +43,74 @@ class CardRules:
     card: Tag = Tag("div", ("product",))
     heading: Tag | None = Tag("h3", ("product-name",))
     link: Tag = Tag("a")
-    price: str = (r"""(?is)<(\w+)\b(?=[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?product-price"""
-                  r"""(?:\s[^"']*)?["'])[^>]*>(.*?)</\1\s*>""")
+    price: Tag = Tag("", ("product-price",))
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute of an opening tag."""
-    return tx.unescape(tx.first_match(tag, rf"""(?is)[\s"']{name}\s*=\s*["']([^"']*)["']"""))
+def per_page(html: Column, read: Callable[[Page], object], kind: str) -> Column:
+    """``read`` of every page, sent to Python in Arrow batches."""
+    ship_package(SparkSession.active())
+    return F.udf(lambda source: read(Page(source)), kind, useArrow=True)(html)
 
 
-def inner_text(html: Column) -> Column:
-    """Text inside an element, pieces stripped and joined without a separator."""
-    pieces = F.transform(F.split(html, r"(?s)<!--.*?-->|<[^>]*>"), lambda p: tx.strip(tx.unescape(p)))
-    return F.array_join(pieces, "")
+def _attribute(element: Element | None, name: str) -> str | None:
+    return None if element is None else element.attributes.get(name)
 
 
-def all_tags(html: Column, tag: Tag) -> Column:
-    return F.regexp_extract_all(html, F.lit("(?is)" + tag.opening()), 0)
+def _specs(page: Page, rules: PageRules) -> dict[str, str]:
+    """Lower-case label to value of the first spec table; blanks and ignored rows left out, the last of a label wins."""
+    table = page.first(*rules.spec_table)
+    found = {}
+    for row in table.select(rules.spec_row) if table else ():
+        label, value = row.first(rules.spec_label), row.first(rules.spec_value)
+        if label is not None and value is not None:
+            key, text = label.text.lower(), value.text
+            if key and text and key not in rules.ignored:
+                found[key] = text
+    return found
 
 
 def links(html: Column, tag: Tag = PageRules().product_link) -> Column:
     """Addresses of the matching links, first occurrences in page order."""
-    hrefs = F.transform(all_tags(html, tag), lambda t: attribute(t, "href"))
-    return F.array_distinct(F.filter(hrefs, lambda h: h.isNotNull()))
+    def read(page: Page) -> list[str]:
+        return list(dict.fromkeys(h for e in page.select(tag) if (h := _attribute(e, "href"))))
+
+    return per_page(html, read, "array<string>")
 
 
 def next_page(html: Column, tag: Tag = PageRules().next_link) -> Column:
     """Address of the next-page link, NULL on the last page."""
-    return attribute(F.get(all_tags(html, tag), F.lit(0)), "href")
+    return per_page(html, lambda page: _attribute(page.first(tag), "href"), "string")
 
 
 def title(html: Column, tag: Tag = PageRules().title) -> Column:
     """Title text; NULL only when the page has no title element."""
-    found = F.regexp_extract_all(html, F.lit(tag.element()), 1)
-    return F.when(F.size(found) > 0, inner_text(F.get(found, F.lit(0))))
+    return per_page(html, lambda page: None if (e := page.first(tag)) is None else e.text, "string")
 
 
-def price_attribute(html: Column, rules: PageRules = PageRules()) -> Column:
-    return attribute(F.get(all_tags(html, rules.price), F.lit(0)), rules.price_attribute).try_cast("double")
+def stock(html: Column, tag: Tag = PageRules().stock) -> Column:
+    return tx.stock_flag(per_page(html, lambda page: _attribute(page.first(tag), "class"), "string"))
 
 
-def stock(html: Column, tag: Tag = PageRules().stock) -> Column:
-    return tx.stock_flag(attribute(F.get(all_tags(html, tag), F.lit(0)), "class"))
+def spec_map(html: Column, rules: PageRules = PageRules()) -> Column:
+    """The first spec table as a map."""
+    return per_page(html, lambda page: _specs(page, rules), "map<string,string>")
 
 
-def brand_text(html: Column, tags: Sequence[Tag] = PageRules().brand) -> Column:
-    """Text of the brand element that comes first on the page."""
-    found = [(F.regexp_instr(html, F.lit("(?is)" + t.opening())), F.regexp_extract(html, t.element(), 1)) for t in tags]
-    candidates = F.array(*[F.struct(pos.alias("pos"), body.alias("body")) for pos, body in found])
-    first = F.array_min(F.filter(candidates, lambda c: c["pos"] > 0))
-    return inner_text(first["body"])
+#: What one pass over a product page finds.
+PRODUCT = "struct<title:string,brand:string,price:string,stock:string,specs:map<string,string>>"
 
 
-def spec_map(html: Column, rules: PageRules = PageRules()) -> Column:
-    """Spec table as a map: lower-case label to value, blanks and ignored rows left out, last one wins."""
-    tables = F.array(*[F.struct(F.regexp_instr(html, F.lit("(?is)" + t.opening())).alias("pos"),
-                                F.regexp_extract(html, t.element(), 1).alias("body")) for t in rules.spec_table])
-    table = F.array_min(F.filter(tables, lambda t: t["pos"] > 0))["body"]
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)(?:</tr\s*>|(?=<tr\b)|$)"), 1)
-    pairs = F.transform(rows, lambda r: F.struct(
-        F.lower(inner_text(tx.first_match(r, rules.spec_label.element()))).alias("key"),
-        inner_text(tx.first_match(r, rules.spec_value.element())).alias("value")))
-    kept = F.filter(pairs, lambda p: (F.coalesce(p["key"], F.lit("")) != "")
-                    & (F.coalesce(p["value"], F.lit("")) != "") & ~p["key"].isin(*rules.ignored))
-    return last_wins(F.coalesce(kept, F.array().cast("array<struct<key:string,value:string>>")))
+def product_fields(html: Column, rules: PageRules = PageRules()) -> Column:
+    """All fields of a product page; NULL for a page without a title."""
+    def read(page: Page) -> tuple | None:
+        named = page.first(rules.title)
+        if named is None:
+            return None
+        brand = page.first(*rules.brand)
+        return (named.text, None if brand is None else brand.text, _attribute(page.first(rules.price), rules.price_attribute),
+                _attribute(page.first(rules.stock), "class"), _specs(page, rules))
+
+    return per_page(html, read, PRODUCT)
 
 
 def last_wins(pairs: Column) -> Column:
@@ -139,18 +126,17 @@ def last_wins(pairs: Column) -> Column:
 def product_pages(pages: DataFrame, source: str, html: str = "html", url: str = "url",
                   category: str = "kategorija", rules: PageRules = PageRules()) -> DataFrame:
     """One offer per product page; pages without a title are not products."""
-    h = F.col(html)
-    found = pages.where(h.rlike(rules.title.element())).withColumns({
-        "_title": title(h, rules.title), "_specs": spec_map(h, rules), "_brand": brand_text(h, rules.brand)})
+    found = pages.withColumn("_page", product_fields(F.col(html), rules)).where("_page IS NOT NULL")
+    specs = F.col("_page.specs")
 
     def spec(name: str) -> Column:
-        return tx.first_present(F.col("_specs"), rules.synonyms[name])
+        return tx.first_present(specs, rules.synonyms[name])
 
     record = {
         "izvor": F.lit(source), "izvorni_id": tx.id_in_url(F.col(url)), "url": F.col(url),
-        "naziv": F.col("_title"), "brend": tx.brand_or_first_word(F.col("_brand"), F.col("_title")),
-        "kategorija": F.col(category), "cena": price_attribute(h, rules), "na_lageru": stock(h, rules.stock),
-        "energetska_klasa": spec("energetska_klasa"), "sve_karakteristike": F.col("_specs"),
+        "naziv": F.col("_page.title"), "brend": tx.brand_or_first_word(F.col("_page.brand"), F.col("_page.title")),
+        "kategorija": F.col(category), "cena": tx.to_number(F.col("_page.price")), "na_lageru": tx.stock_flag(F.col("_page.stock")),
+        "energetska_klasa": spec("energetska_klasa"), "sve_karakteristike": specs,
         **{c: tx.number_in(spec(c)) for c in ("dijagonala_inch", "kapacitet_kg", "zapremina_l", "snaga_w")},
     }
     return found.select(*offer_columns(record))
@@ -158,17 +144,19 @@ def product_pages(pages: DataFrame, source: str, html: str = "html", url: str =
 
 def cards(html: Column, rules: CardRules = CardRules()) -> Column:
     """Listing cards as ``array<struct<url, naziv, cena>>``; cards without a link are left out."""
-    block = rf"(?is){rules.card.opening()}(.*?)(?={rules.card.opening()}|\z)"
-
-    def card(body: Column) -> Column:
-        heading = tx.first_match(body, rules.heading.element()) if rules.heading else body
-        href = attribute(F.get(all_tags(heading, rules.link), F.lit(0)), "href")
-        price = tx.number_in(inner_text(tx.first_match(body, rules.price, 2)))
-        return F.struct(href.alias("url"), inner_text(tx.first_match(heading, rules.link.element())).alias("naziv"),
-                        price.alias("cena"))
-
-    found = F.transform(F.regexp_extract_all(html, F.lit(block), 1), card)
-    return F.filter(found, lambda c: c["url"].isNotNull())
+    def read(page: Page) -> list[tuple]:
+        found = []
+        for card in page.select(rules.card):
+            heading = card.first(rules.heading) if rules.heading else card
+            link = None if heading is None else heading.first(rules.link)
+            href = _attribute(link, "href")
+            if href:
+                price = card.first(rules.price)
+                found.append((href, link.text, None if price is None else price.text))
+        return found
+
+    found = per_page(html, read, "array<struct<url:string,naziv:string,cena:string>>")
+    return F.transform(found, lambda c: F.struct(c["url"].alias("url"), c["naziv"].alias("naziv"), tx.number_in(c["cena"]).alias("cena")))
 
 
 def card_offers(cards_: DataFrame, source: str, page_text: str, category: str = "kategorija") -> DataFrame:

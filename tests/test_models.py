@@ -68,37 +68,34 @@ def test_descent_equals_row_by_row_descent(spark, target_mean):
     assert regression.evaluate(scored, "y", "predikcija").first().r2 > 0.95
 
 
-def get_dense(pdf, design):
-    numbers = pd.DataFrame({c: pdf[c].astype(float) for c in design.numeric})
-    numbers = numbers.fillna(numbers.median())
-    std = numbers.std()
-    numbers = ((numbers - numbers.mean()) / std.replace(0, np.nan)).fillna(0.0)
-    dummies = pd.get_dummies(pdf[["kategorija", "brend"]], drop_first=True).astype(float)
-    return pd.concat([numbers, dummies], axis=1)
+def matrix(df, design):
+    """The design as a dense matrix in the order of its names."""
+    long = regression.design_matrix(df, design).toPandas()
+    wide = long.pivot(index="id", columns="osobina", values="vrednost")
+    return wide.reindex(index=sorted(r.id for r in df.collect()), columns=design.names).fillna(0.0).to_numpy()
 
 
-def test_design_like_pandas(items, items_pd):
-    design = regression.catalogue_design(items)
-    want = get_dense(items_pd, design)
-    assert design.names == list(want.columns)
-    long = regression.design_matrix(items, design).toPandas()
-    got = long.pivot(index="id", columns="osobina", values="vrednost").reindex(columns=want.columns).fillna(0.0)
-    np.testing.assert_allclose(got.to_numpy(), want.to_numpy(), rtol=1e-9, atol=1e-12)
+def test_design_by_hand(spark):
+    rows = [(1, 5.0, "p", "x", 1.0, None), (2, 6.0, "q", "x", 3.0, 4.0), (3, 7.0, "q", "y", None, 4.0), (4, None, "r", "z", 9.0, 9.0)]
+    df = spark.createDataFrame(rows, "id long, t double, k string, b string, u double, v double")
+    design = regression.fit_design(df, "t", ["u", "v"], ["k", "b"])
+    # Without the row that lacks a target: u is 1, 3 and (median) 2, v is 4 throughout.
+    assert (design.medians, design.means["u"], design.deviations["u"]) == ({"u": 2.0, "v": 4.0}, 2.0, 1.0)
+    assert design.names == ["u", "v", "k_q", "b_y"]
+    assert matrix(df.where("id < 4"), design).tolist() == [[-1, 0, 0, 0], [1, 0, 1, 0], [0, 0, 1, 1]]
 
 
-@pytest.mark.parametrize("local_cells", [10**6, 0])
-def test_labelled_descent_on_both_paths(items, items_pd, local_cells):
+def test_labelled_descent(items, items_pd):
     design = regression.catalogue_design(items)
-    steps = 120 if local_cells else 3
-    model = regression.fit(items, design, rate=0.05, steps=steps, local_cells=local_cells)
-    w, b, costs = dense_descent(get_dense(items_pd, design).to_numpy(), items_pd.cena.to_numpy(), 0.05, steps)
+    model = regression.fit(items, design, rate=0.05, steps=120)
+    w, b, costs = dense_descent(matrix(items, design), items_pd.cena.to_numpy(), 0.05, 120)
     np.testing.assert_allclose([model.weights[n] for n in design.names], w, rtol=1e-8)
     np.testing.assert_allclose([model.bias, *model.costs], [b, *costs], rtol=1e-9)
 
 
 def test_predict_and_metrics(items, items_pd):
     model = regression.fit(items, regression.catalogue_design(items), rate=0.05, steps=50)
-    x = get_dense(items_pd, model.design).to_numpy()
+    x = matrix(items, model.design)
     want = x @ np.array([model.weights[n] for n in model.design.names]) + model.bias
     scored = model.predict(items).orderBy("id").toPandas()
     np.testing.assert_allclose(scored.predikcija, want, rtol=1e-9)
@@ -132,7 +129,7 @@ def test_split(spark):
 
 
 def test_training_and_estimates(spark):
-    pdf = catalogue_frame(200, seed=4)
+    pdf = catalogue_frame(200, shift=4)
     pdf["cena"] = 20_000 + 300 * pdf["zapremina_l"].fillna(0) + 5_000 * (pdf["brend"] == "BOSCH")
     df = nan_to_null(spark.createDataFrame(pdf, CATALOGUE_TYPES))
     for leak_free in (False, True):

@@ -56,7 +56,7 @@ def test_reports_use_roles(items):
     roles = Roles(category="cat", price="p", brand="b")
     renamed = as_role_names(items, roles)
     assert reports.count_per_category(renamed, roles).columns == ["cat", "broj_proizvoda"]
-    assert reports.top_brands(renamed, roles).count() == 5
+    assert reports.top_brands(renamed, roles).count() == 7
 
 
 def test_share_table(spark):
@@ -108,7 +108,7 @@ def test_scatter_drops_incomplete_points(items, items_pd):
 
 def test_views(items, items_pd):
     r = views.overview(items).first()
-    assert (r.ukupno, r.kategorija, r.brendova) == (60, 3, 5)
+    assert (r.ukupno, r.kategorija, r.brendova) == (60, 3, 7)
     assert r.procenat_sa_klasom == pytest.approx(100 * items_pd.energetska_klasa_num.notna().mean())
     assert views.overview(items.where("id < 0")).first().procenat_sa_klasom == 0
     shown, count = views.browse(items, category="televizor", n=3)
