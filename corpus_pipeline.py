@@ -39,8 +39,8 @@ def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that an earlier one has; what is cut empty goes."""
-    left = suffix_dedup.cut(docs).where(F.col("text") != "")
+    """Documents without the passages that an earlier one has; one that is cut whole stays with an empty text."""
+    left = suffix_dedup.cut(docs)
     if "n_chars" not in docs.columns:
         return left
     return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
