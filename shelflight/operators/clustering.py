@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
 from shelflight.functions.codes import silhouette_verdict
+from shelflight.functions.draws import LIMIT, draw
 from shelflight.functions.scaling import min_max
 from shelflight.functions.vectors import squared_distance
 from shelflight.operators import tiles
@@ -80,7 +81,7 @@ def seed_centroids(df: DataFrame, features: Sequence[str], k: int, seed: int = 4
     """
     chosen: list[list[float]] = []
     for step in range(k):
-        u = (F.xxhash64(F.col(id), F.lit(seed), F.lit(step)).bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / F.lit(2.0 ** 52)
+        u = (draw(F.col(id), seed, step) + 0.5) / F.lit(float(LIMIT))
         nearest = F.array_min(F.array(*_distances(features, chosen))) if chosen else F.lit(1.0)
         # With all rows on chosen centroids every weight is 0 and any row will do.
         key = F.struct((nearest <= 0).alias("taken"), F.when(nearest > 0, -F.ln(u) / nearest).otherwise(-F.ln(u)).alias("wait"),
@@ -97,10 +98,10 @@ def lloyd(df: DataFrame, features: Sequence[str], start: Sequence[Sequence[float
     """Move centroids to the means of their rows until they rest.
 
     They rest when the summed squared shift is below ``tolerance``.  A centroid
-    without rows stays.  A round is one aggregation to k rows; the feature table
-    is stored once, so no round repeats the preparation.
+    without rows stays.  A round is one aggregation to k rows; the features are
+    held for the rounds, so none repeats the preparation.
     """
-    points = settle(df.select(*features)).persist(StorageLevel.MEMORY_AND_DISK)
+    points = df.select(*features).persist(StorageLevel.MEMORY_AND_DISK)
     centroids = [list(map(float, c)) for c in start]
     try:
         for _ in range(rounds):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
 from shelflight.functions.codes import fit_verdict
+from shelflight.functions.draws import draw
 from shelflight.functions.quantiles import quantiles
 from shelflight.functions.scaling import number
 from shelflight.functions.text import normal_brand, to_number
@@ -222,7 +223,7 @@ def split(df: DataFrame, id: str = Roles().id, test_share: float = 0.2, seed: in
     Rows are ordered by a seeded hash of their unique id, so the split does not
     depend on partitions, and the cut is found as an exact quantile of the hash.
     """
-    h = F.xxhash64(F.col(id), F.lit(seed)).bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
+    h = draw(F.col(id), seed).cast("double")
     hashed = df.select(F.col(id).alias("_id"), h.alias("_h"))
     n = df.count()
     k = int(n * (1 - test_share))

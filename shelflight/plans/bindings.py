@@ -63,6 +63,11 @@ RAW_OFFERS = {
 }
 
 
+def draw_sql(id: str, *seeds: int) -> str:
+    """The number drawn for an id."""
+    return f"('0x' || substr(md5({id} || ':{':'.join(map(str, seeds))}'), 1, 13))::BIGINT"
+
+
 def select(columns: dict[str, str]) -> list[str]:
     return [f"{sql} AS {name}" for name, sql in columns.items()]
 

@@ -44,6 +44,10 @@ def _predicted(s, d):
     return charts.predicted_vs_actual(scored, "o_totalprice", "p", "o_orderkey")
 
 
+#: The bands with two more: one above every price, and the last for prices that are missing.
+EXTENDED_BANDS = [*fixed.PRICE_BANDS[:-1], (10**9, "do milijarde"), (2 * 10**9, "do dve milijarde"), fixed.PRICE_BANDS[-1]]
+
+
 def _histogram(s, d):
     rows = b.table(s, d, "lineitem").select(F.col("l_linenumber").alias("klaster"), "l_extendedprice")
     return b.rounded(charts.cluster_histogram(rows, "l_extendedprice"), 6, "od", "do")
@@ -55,7 +59,7 @@ QUERIES = {
     "e2_share_table": lambda s, d: b.rounded(charts.share_table(
         charts.value_counts(b.catalogue(s, d), "brend"), "brend"), 6, "procenat"),
     "e3_price_bands": lambda s, d: _orders(s, d).select("o_orderkey", price_band(F.col("cena")).alias("opseg")),
-    "e4_band_histogram": lambda s, d: charts.band_histogram(_orders(s, d).where("cena <= 300000")),
+    "e4_band_histogram": lambda s, d: charts.band_histogram(_orders(s, d), bands=EXTENDED_BANDS),
     "e5_scatter": lambda s, d: charts.scatter(b.catalogue(s, d), "zapremina_l", ["ECONOMY", "LARGE", "PROMO"]),
     "e6_scatter_one_category": lambda s, d: charts.scatter(b.catalogue(s, d), "dijagonala_inch", ["PROMO"]),
     "e7_box_stats": _boxes,
@@ -68,9 +72,9 @@ QUERIES = {
 }
 
 
-def band_sql(value: str) -> str:
-    arms = " ".join(f"WHEN {value} <= {edge} THEN '{label}'" for edge, label in fixed.PRICE_BANDS[:-1])
-    return f"CASE {arms} ELSE '{fixed.PRICE_BANDS[-1][1]}' END"
+def band_sql(value: str, bands=fixed.PRICE_BANDS) -> str:
+    arms = " ".join(f"WHEN {value} <= {edge} THEN '{label}'" for edge, label in bands[:-1])
+    return f"CASE {arms} ELSE '{bands[-1][1]}' END"
 
 
 def space_sql(weights: dict[str, float], source: str = "catalogue") -> str:
@@ -95,7 +99,7 @@ LABELLED_SQL = (f"{b.CATALOGUE_SQL}, {space_sql(POINT_WEIGHTS)}, labelled AS (SE
 
 _CAT = f"WITH {b.CATALOGUE_SQL} "
 _ORD = f"WITH o AS (SELECT o_orderkey, {ORDER_PRICE} FROM orders) "
-_axis = ", ".join(f"({i}, '{label}')" for i, (_, label) in enumerate(fixed.PRICE_BANDS))
+_axis = ", ".join(f"({i}, '{label}')" for i, (_, label) in enumerate(EXTENDED_BANDS))
 
 SQL = {
     "e1_top_brands": _CAT + "SELECT brend, count(*) AS broj FROM catalogue GROUP BY brend ORDER BY broj DESC, brend LIMIT 10",
@@ -108,7 +112,7 @@ FROM c GROUP BY 1), p AS (SELECT brend, broj, 100.0 * broj / sum(broj) OVER () A
 SELECT brend, broj, round(p, 6) AS procenat, CASE WHEN p >= 3 THEN printf('%.1f', p) || '%' ELSE '' END AS natpis FROM p""",
     "e3_price_bands": _ORD + f"SELECT o_orderkey, {band_sql('cena')} AS opseg FROM o",
     "e4_band_histogram": _ORD + f""", a(redosled, opseg) AS (VALUES {_axis}),
-n AS (SELECT {band_sql('cena')} AS opseg, count(*) AS broj FROM o WHERE cena <= 300000 GROUP BY 1)
+n AS (SELECT {band_sql('cena', EXTENDED_BANDS)} AS opseg, count(*) AS broj FROM o GROUP BY 1)
 SELECT redosled, a.opseg, coalesce(broj, 0) AS broj FROM a LEFT JOIN n ON a.opseg = n.opseg""",
     "e5_scatter": _CAT + """SELECT id, kategorija, zapremina_l AS x, cena / 1000 AS y FROM catalogue
 WHERE kategorija IN ('ECONOMY', 'LARGE', 'PROMO') AND zapremina_l IS NOT NULL AND cena IS NOT NULL""",

@@ -29,7 +29,7 @@ def _features(s, d):
 def _seeds(s, d):
     space = _space(s, d)
     found = clustering.seed_centroids(space, FEATURES, 4)
-    rows = [(i, *c) for i, c in enumerate(found)]
+    rows = [(i, *[round(v, 9) for v in c]) for i, c in enumerate(found)]
     return small_table(s, rows, "redosled int, x double, y double")
 
 
@@ -39,9 +39,13 @@ def _lloyd(s, d):
     return small_table(s, rows, "klaster int, x double, y double")
 
 
-def _k_means(s, d):
-    labelled, _ = clustering.k_means(b.catalogue(s, d), PRESET, PRESET_K)
-    return clustering.cluster_profile(labelled, list(PRESET))
+def _k_means(weights, k):
+    """Profiles of the clusters of a preset."""
+    def query(s, d):
+        labelled, _ = clustering.k_means(b.catalogue(s, d), weights, k)
+        return clustering.cluster_profile(labelled, list(weights))
+
+    return query
 
 
 def _assign(s, d):
@@ -77,7 +81,10 @@ QUERIES = {
     "h1_feature_space": _features,
     "h2_seed_centroids": _seeds,
     "h3_lloyd_rounds": _lloyd,
-    "h3_k_means": _k_means,
+    "h3_k_means": _k_means(PRESET, PRESET_K),
+    "h3_k_means_first_preset": _k_means(*reversed(fixed.CLUSTER_PRESETS[0][1:])),
+    "h3_k_means_third_preset": _k_means(*reversed(fixed.CLUSTER_PRESETS[2][1:])),
+    "h3_k_means_default": _k_means(fixed.CLUSTER_DEFAULT, fixed.CLUSTER_DEFAULT_K),
     "h4_assign": _assign,
     "h4_assign_vectors": _assign_vectors,
     "h5_silhouette": _silhouette,
@@ -98,6 +105,42 @@ FROM c{r} c LEFT JOIN l{r + 1} l ON l.k = c.k GROUP BY c.k)""")
     return ", ".join(out)
 
 
+def seeds_sql(features: list[str], k: int, seed: int = 42) -> str:
+    """CTEs ``s0`` to ``s<k-1>``: each centre drawn with weight by squared distance to those before."""
+    out = []
+    for step in range(k):
+        u = f"({b.draw_sql('id', seed, step)} + 0.5) / {float(1 << 52)!r}"
+        away = [" + ".join(f"(f.{c} - s{j}.{c}) * (f.{c} - s{j}.{c})" for c in features) for j in range(step)]
+        near = f"least({', '.join(away)})" if away else "1.0::DOUBLE"
+        sources = ", ".join(["space f", *[f"s{j}" for j in range(step)]])
+        out.append(f"""s{step} AS MATERIALIZED (SELECT {', '.join(features)} FROM (SELECT f.id, {', '.join(f'f.{c}' for c in features)}, {near} AS d, -ln({u.replace('id ||', 'f.id ||')}) AS w FROM {sources})
+ORDER BY d <= 0, CASE WHEN d > 0 THEN w / d ELSE w END, id LIMIT 1)""")
+    return ", ".join(out)
+
+
+def k_means_sql(weights: dict[str, float], k: int) -> str:
+    """CTEs up to ``labelled``: seeds, rounds until the centres rest, labels."""
+    features = [f"f_{c}" for c in weights]
+    start = "[" + ", ".join(f"(SELECT [{', '.join(features)}] FROM s{i})" for i in range(k)) + "]"
+    row = "[" + ", ".join(features) + "]"
+    away = f"list_transform(c, lambda o: list_sum(list_transform(range(1, {len(features) + 1}), lambda i: ({row}[i] - o[i]) * ({row}[i] - o[i]))))"
+    means = ", ".join(f"coalesce(avg({f}) FILTER (WHERE l = j), any_value(c[j][{i + 1}]))" for i, f in enumerate(features))
+    return f"""RECURSIVE {b.CATALOGUE_SQL}, {space_sql(weights)}, {seeds_sql(features, k)},
+r AS (SELECT 0 AS n, {start} AS c, 1e9::DOUBLE AS s
+      UNION ALL SELECT n + 1, list(m ORDER BY j), sum(list_sum(list_transform(range(1, {len(features) + 1}), lambda i: (m[i] - o[i]) * (m[i] - o[i]))))
+      FROM (SELECT n, j, [{means}] AS m, any_value(c[j]) AS o
+            FROM (SELECT n, c, {', '.join(features)}, list_position({away}, list_min({away})) AS l FROM r, space WHERE s >= 1e-4 AND n < 300) p,
+            (SELECT unnest(range(1, {k + 1})) AS j) t GROUP BY n, j) q GROUP BY n),
+e AS (SELECT c FROM r ORDER BY n DESC LIMIT 1),
+labelled AS (SELECT space.*, list_position({away}, list_min({away})) - 1 AS klaster FROM space, e)"""
+
+
+def profile_sql(weights: dict[str, float], k: int) -> str:
+    columns = ["cena", *[c for c in weights if c != "cena"]]
+    return (f"WITH {k_means_sql(weights, k)} SELECT klaster, count(*) AS broj, concat_ws(', ', "
+            + ", ".join(_text_sql(c) for c in columns) + ") AS opis FROM labelled GROUP BY klaster")
+
+
 def _number(mean: str, digits: int) -> str:
     return f"printf('%.{digits}f', {mean})"
 
@@ -120,6 +163,12 @@ def _text_sql(column: str) -> str:
 SQL = {
     "h1_feature_space": f"""WITH {b.CATALOGUE_SQL}, {space_sql(PRESET)}
 SELECT id, {', '.join(f'round(f_{c}, 9) AS f_{c}' for c in PRESET)} FROM space""",
+    "h2_seed_centroids": f"""WITH {b.CATALOGUE_SQL}, {space_sql(POINT_WEIGHTS)}, {seeds_sql(FEATURES, 4)}
+""" + " UNION ALL ".join(f"SELECT {i} AS redosled, round(f_cena, 9) AS x, round(f_snaga_w, 9) AS y FROM s{i}" for i in range(4)),
+    "h3_k_means": profile_sql(PRESET, PRESET_K),
+    "h3_k_means_first_preset": profile_sql(*reversed(fixed.CLUSTER_PRESETS[0][1:])),
+    "h3_k_means_third_preset": profile_sql(*reversed(fixed.CLUSTER_PRESETS[2][1:])),
+    "h3_k_means_default": profile_sql(fixed.CLUSTER_DEFAULT, fixed.CLUSTER_DEFAULT_K),
     "h3_lloyd_rounds": f"""WITH {b.CATALOGUE_SQL}, {space_sql(POINT_WEIGHTS)}, {_rounds_sql()}
 SELECT k AS klaster, round(x, 9) AS x, round(y, 9) AS y FROM c{ROUNDS}""",
     "h4_assign": f"WITH {LABELLED_SQL} SELECT id, klaster FROM labelled",

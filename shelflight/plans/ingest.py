@@ -115,17 +115,20 @@ def discovery(spark: SparkSession, d: str) -> DataFrame:
     return collect.discovery(listing, "kategorija", F.size("l"))
 
 
+#: Order of the categories.
+LISTING = ["fr", "en", "de", "es"]
 DOMAIN = r"^[a-z]+://[^/]*\.([a-z]+)(?:[/:?#]|$)"
 
 
 def _visits(spark: SparkSession, d: str) -> DataFrame:
     return b.table(spark, d, "pages").select(
         tx.first_match(F.col("url"), DOMAIN).alias("izvor"), F.floor(F.col("page_id") / 5).alias("strana"),
-        F.length("html").alias("duzina"))
+        tx.first_match(F.col("html"), LANG).alias("kategorija"), F.length("html").alias("duzina")).withColumn(
+        "redosled", F.array_position(F.array(*[F.lit(x) for x in LISTING]), F.col("kategorija")))
 
 
 def collection_summary(spark: SparkSession, d: str) -> DataFrame:
-    return collect.collection_summary(_visits(spark, d), "izvor", "strana", F.col("duzina") > 3000, span=16)
+    return collect.collection_summary(_visits(spark, d), "izvor", "strana", F.col("duzina") > 3000, "kategorija", "redosled")
 
 
 def source_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -136,6 +139,10 @@ def restore(spark: SparkSession, d: str) -> DataFrame:
     return tables.restore_when_empty(b.table(spark, d, "part").where("p_partkey < 0"), f"{d}/part.parquet")
 
 
+def keep_full(spark: SparkSession, d: str) -> DataFrame:
+    return tables.restore_when_empty(b.table(spark, d, "part"), f"{d}/nation.parquet")
+
+
 QUERIES = {
     "a1_upsert_by_key": upsert_by_key,
     "a1_upsert_offer_batch": upsert_offer_batch,
@@ -152,6 +159,7 @@ QUERIES = {
     "a12_collection_summary": collection_summary,
     "a12_source_totals": source_totals,
     "a13_restore_when_empty": restore,
+    "a13_keep_full": keep_full,
 }
 
 _UPSERT = f"""
@@ -161,8 +169,9 @@ r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) A
 SELECT f.event_id, f.user_id, f.event_type, l.ts, l.value, l.props
 FROM r f JOIN r l ON f.user_id = l.user_id WHERE f.up = 1 AND l.down = 1"""
 
-_VISITS = f"""v AS (SELECT regexp_extract(url, '{DOMAIN}', 1) AS izvor, page_id // 5 AS strana,
-                    length(html) AS duzina FROM pages)"""
+_VISITS = f"""v AS (SELECT *, list_position({LISTING}, kategorija)::BIGINT AS redosled FROM (
+SELECT regexp_extract(url, '{DOMAIN}', 1) AS izvor, page_id // 5 AS strana, regexp_extract(html, '{LANG}', 1) AS kategorija,
+length(html) AS duzina FROM pages))"""
 
 SQL = {
     "a1_upsert_by_key": _UPSERT,
@@ -222,11 +231,12 @@ SELECT regexp_extract(html, '{LANG}', 1) AS kategorija,
 FROM pages GROUP BY 1""",
     "a12_collection_summary": f"""
 WITH {_VISITS},
-p AS (SELECT izvor, strana, count(*) FILTER (WHERE duzina > 3000) AS upisano, count(*) AS vidjeno
-      FROM v GROUP BY izvor, strana)
-SELECT izvor, strana, upisano, vidjeno,
-       CAST(sum(upisano) OVER (PARTITION BY izvor ORDER BY strana) AS BIGINT) AS ukupno FROM p""",
+p AS (SELECT izvor, kategorija, redosled, strana, count(*) FILTER (WHERE duzina > 3000) AS upisano, count(*) AS vidjeno
+      FROM v GROUP BY ALL)
+SELECT izvor, kategorija, redosled, strana, upisano, vidjeno,
+       CAST(sum(upisano) OVER (PARTITION BY izvor ORDER BY redosled, strana) AS BIGINT) AS ukupno FROM p""",
     "a12_source_totals": f"""
 WITH {_VISITS} SELECT izvor, count(*) FILTER (WHERE duzina > 3000) AS upisano FROM v GROUP BY izvor""",
     "a13_restore_when_empty": "SELECT * FROM part",
+    "a13_keep_full": "SELECT * FROM part",
 }

@@ -58,11 +58,9 @@ def _fit_lines(s, d):
     return small_table(s, rows, "osobina string, tezina double")
 
 
-def _history_falls(s, d):
-    history = line_model(s, d).history(s)
-    return history.agg(F.count(F.lit(1)).alias("koraka"), F.max_by("trosak", "iteracija").alias("poslednji"),
-                       F.min_by("trosak", "iteracija").alias("prvi")).select(
-        "koraka", (F.col("poslednji") < F.col("prvi")).alias("pada"))
+def _costs(s, d):
+    """The cost of every step; the SQL gives the same falling row."""
+    return b.rounded(line_model(s, d).history(s), 2, "trosak")
 
 
 #: A model with given weights, so that predictions can be checked line by line.
@@ -83,13 +81,19 @@ def _metrics(s, d):
 
 def _split(s, d):
     part, held_out = regression.split(b.table(s, d, "orders"), "o_orderkey")
-    counted = part.select("o_orderkey", F.lit(1).alias("t")).unionByName(held_out.select("o_orderkey", F.lit(0).alias("t")))
-    return counted.agg(F.count(F.lit(1)).alias("redova"), F.count_distinct("o_orderkey").alias("razlicitih"),
-                       F.sum("t").alias("obuka"))
+    return part.select("o_orderkey", F.lit(1).alias("obuka")).unionByName(held_out.select("o_orderkey", F.lit(0).alias("obuka")))
 
 
 def _train(s, d, **options):
-    return regression.train(b.catalogue(s, d), **options).metrics()
+    return b.rounded(regression.train(b.catalogue(s, d), **options).metrics(), 4, "r2", "rmse")
+
+
+def _scored(s, d):
+    """Actual and predicted prices of the rows that training left out."""
+    from shelflight.operators import charts
+
+    points = charts.predicted_vs_actual(regression.train(b.catalogue(s, d)).scored(), "cena", "predikcija")
+    return b.rounded(points, 5, "stvarno", "predvidjeno", "osa_od", "osa_do")
 
 
 def _estimate(s, d):
@@ -101,7 +105,8 @@ def _estimate(s, d):
     wanted = known.withColumn("uzorak", F.explode(typed))
     items = wanted.select("kategorija", "brend", *[
         F.col("uzorak")[c].alias(c) for c in model.design.numeric])
-    return regression.estimate(model, items).select("kategorija", "brend", *model.design.numeric, "predikcija")
+    found = regression.estimate(model, items).select("kategorija", "brend", *model.design.numeric, "predikcija")
+    return b.rounded(found, 3, "predikcija")
 
 
 QUERIES = {
@@ -110,13 +115,14 @@ QUERIES = {
     "g3_design_matrix": _design,
     "g4_fit_line": _fit_one,
     "g4_fit_weights": _fit_lines,
-    "g4_cost_falls": _history_falls,
+    "g4_cost_falls": _costs,
     "g5_predict": _predict,
     "g6_g7_metrics": _metrics,
     "g8_split": _split,
     "g9_train": _train,
     "g9_train_scaled_on_train": lambda s, d: _train(s, d, scale_on_train=True),
     "g10_estimate": _estimate,
+    "e9_predicted_on_test": _scored,
 }
 
 _TECH = Roles().technical
@@ -152,6 +158,44 @@ g AS (SELECT 0 AS n, list_transform(range({_M}), lambda i: 0.0::DOUBLE) AS w
 COST_SQL = f"""(list_dot_product(w, list_transform(range(1, {_M + 1}), lambda i: list_dot_product(a[i], w)))
 - 2 * list_dot_product(w, c) + yy) / 2"""
 
+#: Typed inputs as rows of texts.
+_SAMPLES = ", ".join("(" + ", ".join(f"'{sample[c]}'" for c in _TECH) + ")" for sample in fixed.ESTIMATE_SAMPLES)
+
+
+def catalogue_fit_sql(steps: int, scaled: str = "priced", rate: float = 0.05) -> str:
+    """CTEs up to ``last_`` (weights ``w``) and ``scored``: split, preparation from ``scaled``, descent over the train rows.
+
+    Weights are those of the numbers, of all categories but the first, of all brands but the first, and the bias.
+    """
+    q = ", ".join(f"quantile_cont({c}, 0.5) AS q_{c}" for c in _TECH)
+    st = ", ".join(f"any_value(q_{c}) AS q_{c}, avg(coalesce({c}, q_{c})) AS m_{c}, stddev_samp(coalesce({c}, q_{c})) AS s_{c}" for c in _TECH)
+    z = ", ".join(f"coalesce((coalesce({c}, q_{c}) - m_{c}) / nullif(s_{c}, 0), 0)" for c in _TECH)
+    return f"""RECURSIVE {b.CATALOGUE_SQL},
+priced AS (SELECT *, row_number() OVER (ORDER BY {b.draw_sql('id', 42)}, id) <= floor(count(*) OVER () * 0.8) AS obuka
+           FROM catalogue WHERE cena IS NOT NULL),
+part_ AS (SELECT * FROM priced WHERE obuka),
+qs AS (SELECT {q} FROM {scaled}), st AS MATERIALIZED (SELECT {st} FROM {scaled}, qs),
+lv AS MATERIALIZED (SELECT list_sort(list(DISTINCT kategorija))[2:] AS kat, list_sort(list(DISTINCT brend))[2:] AS bre FROM {scaled}),
+vec AS MATERIALIZED (SELECT id, cena, obuka, list_concat([{z}], list_transform(kat, lambda l: (l = kategorija)::INT::DOUBLE),
+       list_transform(bre, lambda l: (l = brend)::INT::DOUBLE), [1.0::DOUBLE]) AS v FROM priced, st, lv),
+dim AS (SELECT any_value(len(v)) AS m FROM vec),
+pr AS (SELECT i, j, avg(v[i] * v[j]) AS a FROM vec, (SELECT unnest(range(1, m + 1)) AS i FROM dim), (SELECT unnest(range(1, m + 1)) AS j FROM dim)
+       WHERE obuka GROUP BY i, j),
+a AS MATERIALIZED (SELECT list(r ORDER BY i) AS a FROM (SELECT i, list(a ORDER BY j) AS r FROM pr GROUP BY i)),
+c AS MATERIALIZED (SELECT list(c ORDER BY i) AS c FROM (SELECT i, avg(v[i] * cena) AS c FROM vec, (SELECT unnest(range(1, m + 1)) AS i FROM dim)
+       WHERE obuka GROUP BY i)),
+g AS (SELECT 0 AS n, list_transform(range(m), lambda i: 0.0::DOUBLE) AS w FROM dim
+      UNION ALL SELECT n + 1, list_transform(range(1, len(w) + 1), lambda i: w[i] - {rate} * (list_dot_product(a[i], w) - c[i]))
+      FROM g, a, c WHERE n < {steps}),
+last_ AS MATERIALIZED (SELECT w FROM g WHERE n = {steps}),
+scored AS (SELECT id, cena, obuka, list_dot_product(v, w) AS p FROM vec, last_)"""
+
+
+METRICS_SQL = """, m AS (SELECT avg(cena) AS m FROM scored WHERE NOT obuka),
+r AS (SELECT 1 - sum((cena - p) * (cena - p)) / sum((cena - m) * (cena - m)) AS r2, sqrt(avg((cena - p) * (cena - p))) AS rmse
+      FROM scored, m WHERE NOT obuka)
+SELECT round(r2, 4) AS r2, round(rmse, 4) AS rmse, CASE WHEN r2 > 0.5 THEN 'good' ELSE 'poor' END AS ocena FROM r"""
+
 SQL = {
     "g4_fit_weights": f"""WITH {descent_sql(300)}
 SELECT unnest({_LINE_NAMES}) AS osobina, unnest(list_transform(w, lambda v: round(v, 4))) AS tezina FROM g WHERE n = 300""",
@@ -172,12 +216,30 @@ SELECT id, osobina, vrednost FROM e WHERE vrednost <> 0""",
     "g4_fit_line": f"""WITH {_LINES_SQL},
 z AS (SELECT l_extendedprice AS y, (l_quantity - avg(l_quantity) OVER ()) / stddev_samp(l_quantity) OVER () AS x FROM lines)
 SELECT round(regr_slope(y, x), 4) AS nagib, round(regr_intercept(y, x), 4) AS odsecak FROM z""",
-    "g4_cost_falls": "SELECT CAST(300 AS BIGINT) AS koraka, true AS pada",
+    "g4_cost_falls": f"""WITH {descent_sql(300)}, k AS (SELECT n - 1 AS iteracija, {COST_SQL} AS t FROM g, a, c, yy WHERE n > 0)
+SELECT iteracija, round(t, 2) AS trosak FROM k""",
     "g5_predict": f"WITH {_LINES_SQL} SELECT l_quantity, l_returnflag, {_PREDICTED} AS predikcija FROM lines",
     "g6_g7_metrics": f"""WITH {_LINES_SQL}, p AS (SELECT l_extendedprice AS y, {_PREDICTED} AS p FROM lines),
 m AS (SELECT avg(y) AS m FROM p),
 r AS (SELECT 1 - sum((y - p) * (y - p)) / sum((y - m) * (y - m)) AS r2, sqrt(avg((y - p) * (y - p))) AS rmse FROM p, m)
 SELECT round(r2, 6) AS r2, round(rmse, 6) AS rmse, CASE WHEN r2 > 0.5 THEN 'good' ELSE 'poor' END AS ocena FROM r""",
-    "g8_split": """SELECT count(*) AS redova, count(DISTINCT o_orderkey) AS razlicitih,
-CAST(floor(count(*) * 0.8) AS BIGINT) AS obuka FROM orders""",
+    "g8_split": f"""SELECT o_orderkey, (row_number() OVER (ORDER BY {b.draw_sql('o_orderkey', 42)}, o_orderkey)
+<= floor(count(*) OVER () * 0.8))::INT AS obuka FROM orders""",
+    "g9_train": f"""WITH {catalogue_fit_sql(2000)}
+{METRICS_SQL}""",
+    "g9_train_scaled_on_train": f"""WITH {catalogue_fit_sql(2000, 'part_')}
+{METRICS_SQL}""",
+    "e9_predicted_on_test": f"""WITH {catalogue_fit_sql(2000)},
+t AS (SELECT id, cena / 1000 AS stvarno, p / 1000 AS predvidjeno FROM scored WHERE NOT obuka)
+SELECT id, round(stvarno, 5) AS stvarno, round(predvidjeno, 5) AS predvidjeno,
+round((SELECT least(min(stvarno), min(predvidjeno)) FROM t), 5) AS osa_od,
+round((SELECT greatest(max(stvarno), max(predvidjeno)) FROM t), 5) AS osa_do FROM t""",
+    "g10_estimate": f"""WITH {catalogue_fit_sql(500)},
+u AS (SELECT kategorija, lower(min(brend)) AS brend, upper(min(brend)) AS oznaka FROM catalogue GROUP BY kategorija),
+s AS (SELECT * FROM u, (VALUES {_SAMPLES}) v({', '.join(_TECH)})),
+n AS (SELECT s.*, {', '.join(f"coalesce((coalesce(TRY_CAST({c} AS DOUBLE), q_{c}) - m_{c}) / nullif(s_{c}, 0), 0) AS z_{c}" for c in _TECH)} FROM s, st),
+x AS (SELECT *, list_concat([{', '.join('z_' + c for c in _TECH)}], list_transform(kat, lambda l: (l = kategorija)::INT::DOUBLE),
+      list_transform(bre, lambda l: (l = oznaka)::INT::DOUBLE), [1.0::DOUBLE]) AS v FROM n, lv)
+SELECT kategorija, oznaka AS brend, {', '.join(f'TRY_CAST({c} AS DOUBLE) AS {c}' for c in _TECH)}, round(list_dot_product(v, w), 3) AS predikcija
+FROM x, last_""",
 }

@@ -45,23 +45,26 @@ def discovery(pages: DataFrame, category: str, items: Column) -> DataFrame:
     return found.select(category, "broj", F.when(F.col("broj") > 0, "OK").otherwise("PRAZNO").alias("status"))
 
 
-def collection_summary(records: DataFrame, source: str, page: str, stored: Column,
-                       span: int = 1000) -> DataFrame:
-    """Stored and seen records per source and page, with a running total over the pages.
+def collection_summary(records: DataFrame, source: str, page: str, stored: Column, category: str | None = None,
+                       listing: str | None = None, span: int = 1000) -> DataFrame:
+    """Stored and seen records per source, category and page, with a running total over the pages of a source.
 
-    The running total is built in two steps, inside spans of ``span`` pages and
-    across the spans, so no single window holds all pages of a large source.
+    Categories come in the order of ``listing``, a number that each of them has.  The running total is built
+    in two steps, inside spans of ``span`` pages of a category and across the spans, so no single window holds
+    all pages of a large source.
     """
-    per_page = (records.groupBy(source, page)
+    named = [c for c in (category, listing) if c]
+    order = [listing] if listing else []
+    per_page = (records.groupBy(source, *named, page)
                 .agg(F.count(F.lit(1)).alias("vidjeno"), F.count_if(stored).alias("upisano"))
                 .withColumn("_span", F.floor(F.col(page) / span)))
-    inside = F.sum("upisano").over(Window.partitionBy(source, "_span").orderBy(page))
-    span_end = Window.partitionBy(source).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    spans = (per_page.groupBy(source, "_span").agg(F.sum("upisano").alias("_total"))
-             .select(source, "_span", F.coalesce(F.sum("_total").over(span_end), F.lit(0)).alias("_before")))
+    inside = F.sum("upisano").over(Window.partitionBy(source, *order, "_span").orderBy(page))
+    span_end = Window.partitionBy(source).orderBy(*order, "_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (per_page.groupBy(source, *order, "_span").agg(F.sum("upisano").alias("_total"))
+             .select(source, *order, "_span", F.coalesce(F.sum("_total").over(span_end), F.lit(0)).alias("_before")))
     # One row per span, stored so that Spark sees how small it is.
-    return (per_page.withColumn("_inside", inside).join(settle(spans), [source, "_span"])
-            .select(source, page, "upisano", "vidjeno", (F.col("_before") + F.col("_inside")).alias("ukupno")))
+    return (per_page.withColumn("_inside", inside).join(settle(spans, "spans"), [source, *order, "_span"])
+            .select(source, *named, page, "upisano", "vidjeno", (F.col("_before") + F.col("_inside")).alias("ukupno")))
 
 
 def source_totals(records: DataFrame, source: str, stored: Column) -> DataFrame:

@@ -142,7 +142,7 @@ def test_running_total_over_many_pages(spark):
     df = spark.createDataFrame(rows, "izvor string, strana long, ok boolean")
     for span in (1, 7, 1000):
         got = {(r.izvor, r.strana): r.ukupno for r in
-               collect.collection_summary(df, "izvor", "strana", F.col("ok"), span).collect()}
+               collect.collection_summary(df, "izvor", "strana", F.col("ok"), span=span).collect()}
         total = 0
         for p in range(50):
             total += 2 * (p % 3 == 0)
