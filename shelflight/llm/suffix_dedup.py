@@ -51,25 +51,23 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def eights(text: np.ndarray) -> np.ndarray:
-    """The eight bytes from every position on, as numbers whose order is that of the bytes."""
-    x = text.astype(np.uint64)
-    for width in (1, 2, 4):
-        x = (x[:-width] << np.uint64(8 * width)) | x[width:]
-    return x
+    """The eight bytes from every position on, as numbers whose order is that of the bytes; a view, not a copy."""
+    return np.ndarray((len(text) - 7,), ">u8", text, strides=(1,))
 
 
 def suffix_hash(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Hash of the ``MATCH`` bytes from positions on."""
     total = np.zeros(len(at), np.uint64)
     for k, shift in enumerate(_AT):
-        total += x[at + shift] * _ODD[k]
+        total += x[at + shift].astype(np.uint64) * _ODD[k]
     return mix(total)
 
 
 def runs(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First position, number of positions, and least hash of the runs of a text of at least ``MATCH`` bytes."""
     x = eights(text)
-    grams = mix(x[:-8] * _ODD[0] + x[8:] * _ODD[1])
+    last = GRAM - 8
+    grams = mix(x[:-last].astype(np.uint64) * _ODD[0] + x[last:].astype(np.uint64) * _ODD[1])
     least, width, span = grams, 1, MATCH - GRAM + 1
     while 2 * width <= span:
         least = np.minimum(least[:-width], least[width:])
@@ -86,6 +84,16 @@ def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _columns(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte: the lowest byte of all, then the next; high bytes, mostly zero, then pack to almost nothing."""
+    return np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _numbers(data: bytes, n: int, at: int) -> np.ndarray:
+    """The numbers of ``_columns``."""
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, 4 * n, at).reshape(4, n).T).view("<i4").reshape(-1).astype(np.int64)
+
+
 class _Sender:
     """Runs of a batch of documents, folded and dealt to buckets."""
 
@@ -142,8 +150,8 @@ class _Sender:
             sizes = count[some] + MATCH - 1
             names.append(int(bucket[s]))
             blobs.append(self.pack.compress(b"".join((
-                np.array([len(own), len(some)], "<i8").tobytes(), ids[own].astype("<i8").tobytes(), back.astype("<i4").tobytes(),
-                first[some].astype("<i4").tobytes(), count[some].astype("<i4").tobytes(), text[_gather(begin[some], sizes)].tobytes()))))
+                np.array([len(own), len(some)], "<i8").tobytes(), ids[own].astype("<i8").tobytes(), _columns(np.diff(back, prepend=0)),
+                _columns(first[some]), _columns(count[some]), text[_gather(begin[some], sizes)].tobytes()))))
         self.clear()
         return names, blobs, spans
 
@@ -163,7 +171,7 @@ def previous_factors(text: np.ndarray, begin: np.ndarray, count: np.ndarray, doc
     if not len(left):
         return left, left
     # Truncated suffix array of what is left, then document order.
-    columns = [x[at[left] + shift] for shift in _AT]
+    columns = [x[at[left] + shift].astype(np.uint64) for shift in _AT]
     whose = doc[run[left]]
     rank = np.lexsort((whose, *reversed(columns)))
     whole = np.ones(len(rank) - 1, bool)  # whether neighbours have all MATCH bytes in common
@@ -185,8 +193,8 @@ def _spans_of(blob_list: list[bytes]) -> np.ndarray:
         n_docs, n = np.frombuffer(data, "<i8", 2)
         table = np.frombuffer(data, "<i8", 2 * n_docs, 16).reshape(-1, 2)
         base = 16 + 16 * n_docs
-        back, start, size = (np.frombuffer(data, "<i4", n, base + 4 * n * k).astype(np.int64) for k in range(3))
-        ids.append(table[back])
+        back, start, size = (_numbers(data, n, base + 4 * n * k) for k in range(3))
+        ids.append(table[np.cumsum(back)])
         first.append(start)
         count.append(size)
         texts.append(np.frombuffer(data, np.uint8, offset=base + 12 * n))
@@ -201,33 +209,49 @@ def _spans_of(blob_list: list[bytes]) -> np.ndarray:
     return np.stack((ids[where, 0], ids[where, 1], first[where] + at[new], first[where] + at[last] + MATCH), 1)
 
 
-def _span_batch(found: list[np.ndarray], buckets: int | None, schema: pa.Schema) -> pa.RecordBatch:
-    """Spans gathered by document, a blob each."""
+def _lots(found: list[np.ndarray], lots: int) -> tuple[list[int], list[bytes]]:
+    """Spans dealt by document into lots, a blob each."""
     spans = np.concatenate(found)
+    lot = (spans[:, 0] ^ spans[:, 1]) % lots
+    order = np.argsort(lot, kind="stable")
+    lot, spans = lot[order], spans[order]
+    heads = np.flatnonzero(np.concatenate(([True], lot[1:] != lot[:-1])))
+    pack = zstandard.ZstdCompressor(level=3)
+    return lot[heads].tolist(), [pack.compress(spans[s:e].astype("<i8").tobytes()) for s, e in zip(heads, np.append(heads[1:], len(spans)))]
+
+
+def _by_document(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Documents, marks, and merged spans of the blobs of one lot."""
+    unpack = zstandard.ZstdDecompressor()
+    spans = np.concatenate([np.frombuffer(unpack.decompress(x), "<i8").reshape(-1, 4) for x in blobs])
     spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
-    heads = np.flatnonzero(np.concatenate(([True], (spans[1:, :2] != spans[:-1, :2]).any(axis=1))))
-    ends = np.append(heads[1:], len(spans))
-    blobs = [spans[s:e, 2:].astype("<i4").tobytes() for s, e in zip(heads, ends)]
-    ids, marks = spans[heads, 0], spans[heads, 1]
-    if buckets is None:
-        return batch([ids, marks, blobs], schema)
-    return batch([(ids ^ marks) % buckets, [None] * len(heads), ids, marks, blobs], schema)
+    new = np.concatenate(([True], (spans[1:, :2] != spans[:-1, :2]).any(axis=1)))
+    # Ends so far within a document: documents are lifted above each other, so that one running maximum does for all.
+    lift = (np.cumsum(new) - 1) * (int(spans[:, 3].max()) + 1)
+    reach = np.maximum.accumulate(spans[:, 3] + lift)
+    fresh = new | np.concatenate(([True], spans[1:, 2] + lift[1:] > reach[:-1]))
+    heads = np.flatnonzero(fresh)
+    ends = (reach - lift)[np.append(heads[1:], len(spans)) - 1]
+    merged = np.stack((spans[heads, 2], ends), 1).astype("<i4")
+    first = np.flatnonzero(new[heads])
+    last = np.append(first[1:], len(heads))
+    return spans[heads[first], 0], spans[heads[first], 1], [merged[s:e].tobytes() for s, e in zip(first, last)]
 
 
 def matches(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """``doc_id, mark, spans``: per document and text hash, blobs of the spans that earlier documents have."""
+    """``doc_id, mark, spans``: per document and text hash, the merged spans that earlier documents have."""
     spark = docs.sparkSession
-    buckets = buckets or 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, lots = buckets or 16 * partitions, partitions
 
     def send(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        sender, found, held = _Sender(buckets), [], 0
+        sender = _Sender(buckets)
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
             names, blobs, spans = sender.send()
-            none = [None] * len(names)
-            yield batch([names, blobs, none, none, none], schema)
-            if len(spans):
-                yield _span_batch([spans], buckets, schema)
+            lot, own = _lots([spans], lots) if len(spans) else ([], [])
+            # Spans of a lot go along to the bucket of its number, and from there with the others.
+            return batch([names + lot, blobs + [None] * len(lot), [None] * len(names) + own], schema)
 
         for b in batches:
             for doc, mark, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
@@ -235,51 +259,62 @@ def matches(docs: DataFrame, buckets: int | None = None) -> DataFrame:
                 if doc is not None and len(data) >= MATCH:
                     sender.add(doc, mark, np.frombuffer(data, np.uint8))
                 if sender.size >= BATCH_BYTES:
-                    yield from flush()
+                    yield flush()
         if sender.size:
-            yield from flush()
+            yield flush()
 
     def receive(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         bucket, blobs, found, held = None, [], [], 0
         for b in batches:
-            for at, blob, doc, mark, spans in zip(*(c.to_pylist() for c in b.columns)):
+            for at, blob, spans in zip(*(c.to_pylist() for c in b.columns)):
                 if blob is None:
-                    own = np.frombuffer(spans, "<i4").reshape(-1, 2).astype(np.int64)
-                    found.append(np.column_stack((np.full((len(own), 2), (doc, mark)), own)))
-                    held += len(own)
-                else:
-                    if at != bucket and blobs:
-                        found.append(_spans_of(blobs))
-                        held += len(found[-1])
-                        blobs = []
-                    bucket = at
-                    blobs.append(blob)
+                    yield batch([[at], [spans]], schema)
+                    continue
+                if at != bucket and blobs:
+                    found.append(_spans_of(blobs))
+                    held += len(found[-1])
+                    blobs = []
+                bucket = at
+                blobs.append(blob)
                 if held >= BATCH_SPANS:
-                    yield _span_batch(found, None, schema)
+                    yield batch([*_lots(found, lots)], schema)
                     found, held = [], 0
         if blobs:
             found.append(_spans_of(blobs))
         if sum(map(len, found)):
-            yield _span_batch(found, None, schema)
+            yield batch([*_lots(found, lots)], schema)
+
+    def gather(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        lot, blobs = None, []
+        for b in batches:
+            for at, blob in zip(*(c.to_pylist() for c in b.columns)):
+                if at != lot and blobs:
+                    yield batch([*_by_document(blobs)], schema)
+                    blobs = []
+                lot = at
+                blobs.append(blob)
+        if blobs:
+            yield batch([*_by_document(blobs)], schema)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    sent = arrow_pass(rows, send, "bucket bigint, blob binary, doc_id bigint, mark bigint, spans binary")
+    sent = arrow_pass(rows, send, "bucket bigint, blob binary, spans binary")
     placed = sent.repartition("bucket").sortWithinPartitions("bucket")
-    found = stored(arrow_pass(placed, receive, "doc_id bigint, mark bigint, spans binary"), "spans")
-    return found.groupBy("doc_id", "mark").agg(F.collect_list("spans").alias("spans"))
+    found = stored(arrow_pass(placed, receive, "lot bigint, spans binary"), "spans")
+    return arrow_pass(found.repartition("lot").sortWithinPartitions("lot"), gather, "doc_id bigint, mark bigint, spans binary")
 
 
-def _kept(data: bytes, spans: list[bytes] | None) -> tuple[bytes, int, int]:
-    """What is left of a text, bytes removed, and stretches removed."""
+def _kept(data: bytes, spans: bytes | None) -> tuple[bytes, int, int]:
+    """What is left of a text, bytes removed, and stretches removed; spans are merged and in order."""
     if not spans:
         return data, 0, 0
-    own = np.frombuffer(b"".join(spans), "<i4").reshape(-1, 2).astype(np.int64)
-    depth = np.zeros(len(data) + 1, np.int64)
-    np.add.at(depth, own[:, 0], 1)
-    np.add.at(depth, own[:, 1], -1)
-    gone = np.cumsum(depth[:-1]) > 0
-    stretches = int(np.count_nonzero(gone & ~np.concatenate(([False], gone[:-1]))))
-    return np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum()), stretches
+    own = np.frombuffer(spans, "<i4").reshape(-1, 2).tolist()
+    left, at, gone = [], 0, 0
+    for start, end in own:
+        left.append(data[at:start])
+        gone += end - start
+        at = end
+    left.append(data[at:])
+    return b"".join(left), gone, len(own)
 
 
 def _met(docs: DataFrame, buckets: int | None) -> DataFrame:
