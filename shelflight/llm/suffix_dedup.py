@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from shelflight.llm.common import arrow_pass, batch, stored
 
-MATCH, GRAM = 50, 16
+MATCH, GRAM = 50, 12
 #: Bytes of text after which a task sends its runs, and spans after which it sends spans.
 BATCH_BYTES, BATCH_SPANS = 16 << 20, 1 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
