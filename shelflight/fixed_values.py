@@ -17,7 +17,6 @@ PRICE_BANDS = [
 ]
 
 # Columns a clean record must have, and the optional technical ones.
-REQUIRED_COLUMNS = ["naziv", "brend", "kategorija", "cena"]
 OPTIONAL_COLUMNS = ["energetska_klasa", "dijagonala_inch", "kapacitet_kg", "zapremina_l", "snaga_w"]
 MIN_OPTIONAL_FILLED = 0
 MIN_PRICE = 1000.0

@@ -227,7 +227,8 @@ def document_attributes(spark: SparkSession, d: str) -> DataFrame:
     return b.table(spark, d, "documents").select("doc_id", *[c.alias(k) for k, c in found.items()])
 
 
-def cards(spark: SparkSession, d: str) -> DataFrame:
+def card_pages(spark: SparkSession, d: str) -> DataFrame:
+    """One listing per part with the text of its product page."""
     price = F.when(F.col("vati").isNotNull(), F.concat(
         F.lit('<div><span class="product-price">'), F.replace(F.format_number("vati", 0), F.lit(","), F.lit(".")), F.lit("RSD</span></div>")))
     html = F.concat(F.lit("<ul>"), F.lit('<div class="product"><h3 class="product-name"><b>bez veze</b></h3></div>'),
@@ -235,8 +236,11 @@ def cards(spark: SparkSession, d: str) -> DataFrame:
                     F.col("id").cast("string"), F.lit('.html"> '), _escaped(F.col("naziv")),
                     F.lit(" </a></h3>"), F.coalesce(price, F.lit("")),
                     F.lit('</div><aside><span class="product-price">777RSD</span></aside>'))
-    shown = shop_items(spark, d).select("id", html.alias("html"))
-    return shown.select("id", F.explode(pages.cards(F.col("html"))).alias("c")).select("id", "c.*")
+    return shop_items(spark, d).select("id", "kategorija", html.alias("html"), F.expr(ATTRIBUTE_TEXT).alias("tekst"))
+
+
+def cards(spark: SparkSession, d: str) -> DataFrame:
+    return card_pages(spark, d).select("id", F.explode(pages.cards(F.col("html"))).alias("c")).select("id", "c.*")
 
 
 def shop_links(spark: SparkSession, d: str) -> DataFrame:
@@ -312,6 +316,7 @@ QUERIES = {
 }
 
 _ITEMS = f"items AS (SELECT {', '.join(b.select(SHOP_ITEMS))} FROM part)"
+ITEMS_SQL = _ITEMS
 _IN_LIST = "(" + ", ".join(f"'{g}'" for g in fixed.ENERGY_CLASSES) + ")"
 _LINKS = """l AS (SELECT page_id, url, regexp_extract_all(html, '(?i)<a\\b[^>]*href="([^"]*)"', 1) AS l FROM pages),
 e AS (SELECT page_id, url, unnest(l) AS href, generate_subscripts(l, 1) AS i FROM l),

@@ -35,6 +35,11 @@ QUERIES = {
     "d10_by_size": _query(reports.by_size, category="ECONOMY"),
 }
 
+
+def price_stats_sql() -> str:
+    return _SQL["d6_price_stats"]
+
+
 _SQL = {
     "d1_count_per_category": "SELECT kategorija, count(*) AS broj_proizvoda FROM catalogue GROUP BY kategorija",
     "d2_top_brands": """SELECT brend, count(*) AS broj_proizvoda FROM catalogue GROUP BY brend
