@@ -8,6 +8,10 @@ they must stay letter for letter as they are.
 # Energy classes from worst to best; the code is the position, from 1.
 ENERGY_CLASSES = ["G", "F", "E", "D", "C", "B", "A", "A+", "A++", "A+++"]
 
+# Fixed value: script call that carries one chunk of a page's data as a JSON string.
+SCRIPT_CHUNK = r'self\.__next_f\.push\(\[1,(".*?")\]\)'
+
+
 # Price bands as (inclusive upper edge, label); the last one is open.
 PRICE_BANDS = [
     (30_000, "≤ 30.000"),

@@ -112,7 +112,7 @@ class LinearModel:
         The weights of a label join as a table of known size: broadcast while it
         is small, shuffled otherwise.
         """
-        total = F.lit(self.bias)
+        total, order = F.lit(self.bias), [c for c in df.columns if c != column]
         for c in self.design.numeric:
             total = total + self.design.z(c) * F.lit(self.weights[c])
         for c in self.design.labels:
@@ -121,7 +121,7 @@ class LinearModel:
             df = df.join(table, c, "left")
             total = total + F.when(F.col(c).isNull(), 0.0).otherwise(
                 F.coalesce(F.col(f"_w_{c}"), F.lit(unseen)))
-        return df.withColumn(column, total).drop(*[f"_w_{c}" for c in self.design.labels])
+        return df.withColumn(column, total).select(*order, column)
 
 
 def cells(df: DataFrame, design: Design) -> DataFrame:

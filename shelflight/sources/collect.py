@@ -32,7 +32,7 @@ def with_category(df: DataFrame, mapping: DataFrame, on: list[str]) -> DataFrame
     The mapping is written by hand, one line per listing, so Spark sees its size
     and broadcasts it.
     """
-    return df.join(mapping, on, "left")
+    return df.join(mapping, on, "left").select(*df.columns, *[c for c in mapping.columns if c not in on])
 
 
 def with_price_only(df: DataFrame, price: str = Roles().price) -> DataFrame:

@@ -22,8 +22,7 @@ priceRange struct<sellingPrice: struct<highPrice: double, lowPrice: double>,
                   listPrice: struct<highPrice: double, lowPrice: double>>,
 specificationGroups array<struct<specifications: array<struct<name: string, values: array<string>>>>>"""
 
-#: Script call that carries one chunk of the page's data as a JSON string.
-CHUNK = re.compile(r'self\.__next_f\.push\(\[1,(".*?")\]\)', re.S)
+CHUNK = re.compile(fixed.SCRIPT_CHUNK, re.S)
 
 
 def _offers_within(value) -> Iterator[dict]:

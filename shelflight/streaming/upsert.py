@@ -72,4 +72,6 @@ class UpsertTable:
     def compact(self, spark: SparkSession) -> None:
         """Fold everything committed so far into a new base; older folders stay for running readers."""
         ends, upto = self._current(spark)
+        if upto in self._folders(spark, "base"):
+            return  # nothing came since, and the base must not be written while it is read
         ends.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
