@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
-from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shelflight.session import shared_folder, ship_package
+from shelflight.session import settle, ship_package, work_path
 
+#: Bytes of an Arrow batch that goes to Python: a few long texts must not make it large.
+BATCH_BYTES = 16 << 20
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
@@ -29,22 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder that all executors share."""
-    return f"{shared_folder(spark).rstrip('/')}/shelflight/{name}-{uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: its lineage is cut and lost executors cost nothing."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: A fresh path in the folder that all executors share, and a table written there and read back.
+new_path, stored = work_path, settle
 
 
 def arrow_pass(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch], pa.Schema], Iterator[pa.RecordBatch]],
                schema: str | T.StructType) -> DataFrame:
     """``step`` over the Arrow batches of each partition; it gets the Arrow schema it has to return."""
     ship_package(df.sparkSession)
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(setting) == f"{64 << 20}b":  # Spark's default; another choice of the session stands
+        df.sparkSession.conf.set(setting, str(BATCH_BYTES))
     struct = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     target = to_arrow_schema(struct)
 

@@ -173,7 +173,7 @@ def _lists(docs: DataFrame, buckets: int) -> DataFrame:
                     held_keys.append(keys)
                     held_docs.append(np.full(len(keys), doc, np.int64))
                     held += len(keys)
-                if held >= 2_000_000:
+                if held >= 500_000:
                     yield flush()
                     held_keys, held_docs, held = [], [], 0
             none = [None] * len(ids)

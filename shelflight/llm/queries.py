@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflight.llm import (bpe_automaton, decontaminate, hamming_search, language_id, main_text, parity_join, shards, suffix_dedup,
+from shelflight.llm import (bpe_automaton, decontaminate, hamming_search, language_id, main_text, parity_join, shards, sql, suffix_dedup,
                             token_blocks, url_filter)
 from shelflight.llm.common import new_path, table
 
@@ -77,4 +77,9 @@ QUERIES: dict[str, Query] = {
     "op10_shards": op10,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_suffix_dedup": sql.SUFFIX_DEDUP,
+    "op5_hamming_search": sql.HAMMING_SEARCH,
+    "op8_parity_join": sql.PARITY_JOIN,
+    "op9_decontaminate": sql.DECONTAMINATE,
+}
