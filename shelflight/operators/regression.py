@@ -59,7 +59,10 @@ class Design:
 
 
 def fit_design(df: DataFrame, target: str, numeric: Sequence[str], labels: Sequence[str] = ()) -> Design:
-    """Statistics of the rows that have a target.  The levels become weights, so they fit the driver."""
+    """Statistics of the rows that have a target, and the labels' levels from the same pass.
+
+    The levels become weights, so they are part of the model that the driver holds.
+    """
     df = df.where(number(target).isNotNull())
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), number(c).alias("x")) for c in numeric])).alias("e")).select("e.*")
@@ -68,9 +71,9 @@ def fit_design(df: DataFrame, target: str, numeric: Sequence[str], labels: Seque
     filled = {c: F.coalesce(number(c), F.lit(medians[c])).cast("double") for c in numeric}
     stats = df.agg(F.avg(number(target)).alias("target"),
                    *[f(x).alias(f"{k}_{c}") for c, x in filled.items()
-                     for k, f in (("mean", F.avg), ("std", F.stddev_samp))]).first()
-    levels = {c: tuple(sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect()))
-              for c in labels}
+                     for k, f in (("mean", F.avg), ("std", F.stddev_samp))],
+                   *[F.sort_array(F.collect_set(c)).alias(f"levels_{c}") for c in labels]).first()
+    levels = {c: tuple(stats[f"levels_{c}"]) for c in labels}
     return Design(target, tuple(numeric), tuple(labels), medians,
                   {c: stats[f"mean_{c}"] for c in numeric}, {c: stats[f"std_{c}"] for c in numeric},
                   levels, stats["target"] or 0.0)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
-from shelflight.operators import clustering
+from shelflight.operators import clustering, tiles
 
 
 def points(spark, x, n=4):
@@ -138,3 +138,22 @@ def test_profile_names_the_chosen_columns(spark):
     assert text("energetska_klasa_num") == "prosečna cena ≈ 45,500 RSD, bolje energ. klase (6.0/10)"
     assert text("kapacitet_kg", "cena") == "prosečna cena ≈ 45,500 RSD"
     assert text("dijagonala_inch", "snaga_w").endswith("prosečna dijagonala ≈ 56\", prosečna snaga ≈ 1250 W")
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 6, 9])
+def test_tiles_meet_once_and_equally_often(spark, n):
+    rows = [(g, t, n, [100 * t + i for i in range(3)]) for g in ("a", "b") for t in range(n)]
+    packed = spark.createDataFrame(rows, "g string, tile int, tiles int, x array<int>")
+    met = tiles.pairs(packed, ["g"], ["x"]).collect()
+    for g in ("a", "b"):
+        pairs = [frozenset((r.tile, r.other)) for r in met if r.g == g]
+        assert len(pairs) == len(set(pairs)) == n * (n + 1) // 2
+        often = [sum(r.g == g and r.tile == t for r in met) for t in range(n)]
+        assert max(often) - min(often) <= 1
+    assert all((r.a_x[0], r.b_x[0]) == (100 * r.tile, 100 * r.other) for r in met)
+
+
+def test_an_empty_tile_meets_nobody(spark):
+    packed = spark.createDataFrame([(t, 4, [t]) for t in (0, 1, 3)], "tile int, tiles int, x array<int>")
+    met = {frozenset((r.tile, r.other)) for r in tiles.pairs(packed, [], ["x"]).collect()}
+    assert met == {frozenset(p) for p in [(0, 0), (1, 1), (3, 3), (0, 1), (0, 3), (1, 3)]}

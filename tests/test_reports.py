@@ -148,3 +148,12 @@ def test_running_total_over_many_pages(spark):
             total += 2 * (p % 3 == 0)
             assert got[("s", p)] == total
         assert got[("t", 7)] == 1
+
+
+def test_running_total_follows_the_listing(spark):
+    rows = [("s", "z", 1, 1, True), ("s", "z", 1, 2, True), ("s", "a", 2, 1, True), ("s", "a", 2, 1, False), ("t", "a", 2, 1, True)]
+    df = spark.createDataFrame(rows, "izvor string, kategorija string, redosled int, strana long, ok boolean")
+    for span in (1, 1000):
+        found = collect.collection_summary(df, "izvor", "strana", F.col("ok"), "kategorija", "redosled", span)
+        assert sorted(tuple(r) for r in found.select("izvor", "redosled", "strana", "upisano", "vidjeno", "ukupno").collect()) == [
+            ("s", 1, 1, 1, 1, 1), ("s", 1, 2, 1, 1, 2), ("s", 2, 1, 1, 2, 3), ("t", 2, 1, 1, 1, 1)]
