@@ -43,8 +43,8 @@ from shelflight.llm.common import arrow_pass, batch, stored
 SHINGLE, RATIO = 5, 1.25
 #: Documents in a block of a list that is compared block by block.
 BLOCK = 1024
-#: Ids of eight bytes that may be sent to every task.
-HELD = 1_000_000
+#: Ids of eight bytes that may be sent to every task, members of a lot of lists, and pairs that a task remembers.
+HELD, LOT, REMEMBERED = 1_000_000, 100_000, 500_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -291,44 +291,54 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _across(lists: DataFrame, known: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of mixed lists that lie in different components and that sizes and sketches do not rule out."""
+    """Pairs of mixed lists that lie in different components and that sizes and sketches do not rule out.
+
+    Versions of one text share many lists, so lists with the same least component go to the same lots, and a
+    task gives a pair once.  A lot holds about ``LOT`` members, so a large group has many.
+    """
     listed = lists.select(F.xxhash64("members").alias("list"), F.posexplode("members").alias("at", "doc_id"))
     placed = (listed.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
               .withColumn("component", F.coalesce("component", "doc_id")))
     mixed = placed.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("at").alias("last"))
-    mixed = mixed.where("low < high").select("list", F.expr(f"last div {BLOCK}").cast("int").alias("blocks"))
+    mixed = stored(mixed.where("low < high").select("list", "low", "last", F.expr(f"last div {BLOCK}").cast("int").alias("blocks")), "mixed")
+    lots = mixed.groupBy("low").agg(F.ceil(F.sum((F.col("last") + 1) * (F.col("blocks") + 1)) / LOT).alias("lots"))
+    mixed = mixed.join(lots, "low").select("list", "low", "blocks", F.pmod("list", "lots").alias("lot"))
     # A member goes to its block's own meeting and to those with the other blocks of its list.
     rows = (placed.join(mixed, "list").withColumn("block", F.expr(f"at div {BLOCK}").cast("int"))
-            .select("list", "doc_id", "component", "block", F.explode(F.expr("sequence(0, blocks)")).alias("other"))
-            .select("list", "doc_id", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-            .distinct())
+            .select("low", "lot", "list", "doc_id", "component", "block", F.explode(F.expr("sequence(0, blocks)")).alias("other"))
+            .select("low", "lot", "list", "doc_id", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
     rows = rows.join(known.select("doc_id", "n", "sketch"), "doc_id")
 
     def compare(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+
         def pairs(group: list[tuple]) -> list[tuple[int, int]]:
-            i, j = group[0][1], group[0][2]
-            left = [g for g in group if g[3] == i]
-            right = [g for g in group if g[3] == j]
-            ids, of, n = (np.array([g[k] for g in right]) for k in (4, 5, 6))
+            within = group[0][1] == group[0][2]
+            block, ids, of, n = (np.array([g[k] for g in group]) for k in (3, 4, 5, 6))
+            names, counts = np.unique(of, return_counts=True)
+            usual = names[np.argmax(counts)]  # of two members of different components, one is not of the usual one
             found = []
             folds: dict[int, np.ndarray] = {}
-            for g in left:
-                fit = (of != g[5]) & (100 * np.minimum(n, g[6]) >= 80 * np.maximum(n, g[6]))
-                if i == j:
-                    fit &= ids > g[4]
+            bytes_of = np.array([len(g[7]) for g in group])
+            for x in np.flatnonzero(of != usual):
+                fit = (of != of[x]) & (100 * np.minimum(n, n[x]) >= 80 * np.maximum(n, n[x])) & ((of == usual) | (ids > ids[x]))
+                if not within:
+                    fit &= block != block[x]
                 at = np.flatnonzero(fit)
-                if not len(at):
-                    continue
-                size = len(g[7])
-                for small in {min(size, len(right[x][7])) for x in at}:
-                    some = np.array([x for x in at if min(size, len(right[x][7])) == small])
+                for small in np.unique(np.minimum(bytes_of[at], bytes_of[x])).tolist():
+                    some = at[np.minimum(bytes_of[at], bytes_of[x]) == small]
                     if small not in folds:
-                        folds[small] = np.zeros((len(right), small // 8), np.uint64)
-                        for x, r in enumerate(right):
-                            if len(r[7]) >= small:
-                                folds[small][x] = folded(r[7], small)
-                    apart = np.bitwise_count(folds[small][some] ^ folded(g[7], small)).sum(axis=1, dtype=np.int64)
-                    found += [(min(g[4], int(o)), max(g[4], int(o))) for o in ids[some[9 * apart <= n[some] + g[6]]]]
+                        folds[small] = np.zeros((len(group), small // 8), np.uint64)
+                        for y in np.flatnonzero(bytes_of >= small):
+                            folds[small][y] = folded(group[y][7], small)
+                    apart = np.bitwise_count(folds[small][some] ^ folds[small][x]).sum(axis=1, dtype=np.int64)
+                    for y in ids[some[9 * apart <= n[some] + n[x]]].tolist():
+                        pair = (min(y, int(ids[x])), max(y, int(ids[x])))
+                        if pair not in seen:
+                            seen.add(pair)
+                            found.append(pair)
+            if len(seen) > REMEMBERED:
+                seen.clear()
             return found
 
         at, group = None, []
@@ -345,9 +355,8 @@ def _across(lists: DataFrame, known: DataFrame, groups: DataFrame) -> DataFrame:
             out = pairs(group)
             yield batch([[x for x, _ in out], [y for _, y in out]], schema)
 
-    met = rows.select("list", "i", "j", "block", "doc_id", "component", "n", "sketch")
-    met = met.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
-    return arrow_pass(met, compare, "a bigint, b bigint").distinct()
+    met = rows.repartition("low", "lot").sortWithinPartitions("low", "lot", "list", "i", "j")
+    return arrow_pass(met.select("list", "i", "j", "block", "doc_id", "component", "n", "sketch"), compare, "a bigint, b bigint").distinct()
 
 
 def join(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
