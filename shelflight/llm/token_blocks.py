@@ -25,6 +25,7 @@ input play no part.  A text is encoded whole, and a block ends with the document
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -41,27 +42,35 @@ from shelflight.session import small_table
 MAGIC = b"CMRC0001"
 HEAD = struct.Struct("<8sIIQIIII")
 #: Ids after which a block ends, lanes of a full block, and the fewest steps of a lane.
-BLOCK_TOKENS, LANES, MIN_STEPS = 1 << 20, 4096, 64
+BLOCK_TOKENS, LANES, MIN_STEPS = 1 << 20, 4096, 256
 #: Entries of the order-2 table.
 PAIRS = 1 << 18
 #: Weight of one counted id, and the sum of frequencies at which all are halved.
 COUNTED, HALVE_AT = 16, 1 << 25
 TOP, BOTTOM, WORD = np.uint64(1 << 48), np.uint64(1 << 40), np.uint64(16)
 LAST = np.uint64(48)
+#: How much more weight than all frequencies a guess can earn.
+MOST = 15
 #: Words that one worker remembers, in two generations.
 REMEMBERED = 400_000
 BLOCK_SCHEMA = "part int, seq int, first bigint, n_docs int, n_tokens bigint, block binary"
-_UP, _DOWN = np.array([1, 2, 3, 3]), np.array([1, 1, 1, 2])
+# Lower-case letters of the texts that the fast way takes, and what it does not take: short forms
+# after an apostrophe, and characters besides those letters and plain ASCII.
+LETTERS = "a-z\xdf-\xf6\xf8-\xff\u0100-\u017f"
+ODD = f"'[strvmld]|[^\\t-\\r -~{LETTERS}]"
 
 
 class Model:
-    """What a block has taught so far.  Guesses are ids; ``vocab`` itself stands for no guess."""
+    """What a block has taught so far.  Guesses are ids; ``vocab`` itself stands for no guess.
+
+    A guess and its confidence (0 to 3) are kept as one number, ``4 * guess + confidence``.
+    """
 
     def __init__(self, vocab: int) -> None:
         self.vocab = vocab
         self.count = np.ones(vocab, np.int64)
-        self.after1, self.sure1 = np.full(vocab, vocab), np.zeros(vocab, np.int64)
-        self.after2, self.sure2 = np.full(PAIRS, vocab), np.zeros(PAIRS, np.int64)
+        self.after1 = np.full(vocab, 4 * vocab, np.int32)
+        self.after2 = np.full(PAIRS, 4 * vocab, np.int32)
         # By confidence of both guesses and whether they agree: how often order 2, order 1 or neither was right.
         self.right2, self.right1, self.wrong = (np.ones(32, np.int64) for _ in range(3))
         self.pending: list[np.ndarray] = []
@@ -74,59 +83,89 @@ class Model:
             self.pending.clear()
             if self.count.sum() > HALVE_AT:
                 self.count = (self.count + 1) // 2
-        self.cum = np.zeros(self.vocab + 2, np.int64)
+        self.cum = np.zeros(self.vocab + 2, np.int32)
         np.cumsum(self.count, out=self.cum[1:-1])
         self.cum[-1] = self.cum[-2]
-        self.freq = np.append(self.count, 0)
+        self.freq = np.append(self.count, 0).astype(np.int32)
         self.total = int(self.cum[-1])
         state = np.arange(32)
-        self.extra2 = np.where(state // 4 % 4 > 0, np.minimum(self.right2 * self.total // self.wrong, 60 * self.total), 0)
-        self.extra1 = np.where(state % 4 > 0, np.minimum(self.right1 * self.total // self.wrong, 60 * self.total), 0)
+        for name, right, sure in (("extra2", self.right2, state // 4 % 4), ("extra1", self.right1, state % 4)):
+            weight = np.minimum(right * self.total // self.wrong, MOST * self.total)
+            setattr(self, name, np.where(sure > 0, weight, 0).astype(np.int32))
 
     def look(self, last: np.ndarray, before: np.ndarray) -> None:
         """Guesses and their frequencies for the next id of each lane."""
-        self.last, self.pair = last, (last * 40503 + before * 30011 + (before >> 5)) & (PAIRS - 1)
-        self.g1, self.s1 = self.after1[last], self.sure1[last]
-        self.g2, self.s2 = self.after2[self.pair], self.sure2[self.pair]
+        self.last, self.pair = last, (last * np.int32(40503) + before * np.int32(30011) + (before >> 5)) & np.int32(PAIRS - 1)
+        self.v1, self.v2 = self.after1[last], self.after2[self.pair]
+        self.g1, self.g2 = self.v1 >> 2, self.v2 >> 2
         self.same = self.g1 == self.g2
-        self.state = self.s2 * 4 + self.s1 + 16 * self.same
+        self.state = ((self.v2 & 3) << 2) + (self.v1 & 3) + (self.same.view(np.int8) << 4)
         e2, e1 = self.extra2[self.state], self.extra1[self.state]
-        self.f2, self.f1 = self.freq[self.g2], np.where(self.same, 0, self.freq[self.g1])
-        self.first = self.f2 + e2 + np.where(self.same, e1, 0)
-        self.both = self.f2 + self.f1 + e2 + e1
-        self.sum = self.total + e2 + e1
+        self.f2, self.f1 = self.freq[self.g2], self.freq[self.g1]
+        self.f1[self.same] = 0
+        extra = e2 + e1
+        self.first = self.f2 + np.where(self.same, extra, e2)
+        self.both = self.f2 + self.f1 + extra
+        self.sum = extra + np.int32(self.total)
 
     def span(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where ids lie on the line of mixed frequencies: the guesses first, then the rest in id order."""
         self.hit2 = x == self.g2
         self.hit1 = x == self.g1
-        rest = self.both + self.cum[x] - self.f2 * (self.g2 < x) - self.f1 * (self.g1 < x)
-        start = np.where(self.hit2, 0, np.where(self.hit1, self.first, rest))
-        size = np.where(self.hit2, self.first, np.where(self.hit1, self.both - self.first, self.freq[x]))
-        return start, size
+        start = self.both + self.cum[x] - self.f2 * (self.g2 < x) - self.f1 * (self.g1 < x)
+        size = self.freq[x]
+        np.copyto(start, self.first, where=self.hit1)
+        np.copyto(size, self.both - self.first, where=self.hit1)
+        np.copyto(start, 0, where=self.hit2)
+        np.copyto(size, self.first, where=self.hit2)
+        return start.astype(np.uint64), size.astype(np.uint64)
 
     def find(self, at: np.ndarray) -> np.ndarray:
         """The ids that lie at places on that line."""
-        rest = at - self.both
-        less = self.g1 < self.g2
-        low, f_low = np.where(less, self.g1, self.g2), np.where(less, self.f1, self.f2)
-        high, f_high = np.where(less, self.g2, self.g1), np.where(less, self.f2, self.f1)
-        rest = rest + np.where(rest >= self.cum[low], f_low, 0)
-        rest = rest + np.where(rest >= self.cum[high], f_high, 0)
-        x = np.searchsorted(self.cum[:-1], np.maximum(rest, 0), side="right") - 1
-        return np.where(at < self.first, self.g2, np.where(at < self.both, self.g1, x))
+        x = np.where(at < self.first, self.g2, self.g1)
+        rest = np.flatnonzero(at >= self.both)
+        one, other = self.g1[rest], self.g2[rest]
+        f_one, f_other = self.f1[rest], self.f2[rest]
+        less = one < other
+        place = at[rest] - self.both[rest]
+        place += np.where(place >= self.cum[np.where(less, one, other)], np.where(less, f_one, f_other), 0)
+        place += np.where(place >= self.cum[np.where(less, other, one)], np.where(less, f_other, f_one), 0)
+        x[rest] = np.searchsorted(self.cum[:-1], place, side="right") - 1
+        return x
 
     def learn(self, x: np.ndarray) -> None:
+        hit1 = self.hit1 & ~self.hit2
         self.right2 += np.bincount(self.state[self.hit2], minlength=32)
-        self.right1 += np.bincount(self.state[self.hit1 & ~self.hit2], minlength=32)
-        self.wrong += np.bincount(self.state[~(self.hit1 | self.hit2)], minlength=32)
-        self.after1[self.last] = np.where(self.hit1 | (self.s1 > 1), self.g1, x)
-        self.sure1[self.last] = np.where(self.hit1, _UP[self.s1], _DOWN[self.s1])
-        self.after2[self.pair] = np.where(self.hit2 | (self.s2 > 1), self.g2, x)
-        self.sure2[self.pair] = np.where(self.hit2, _UP[self.s2], _DOWN[self.s2])
+        self.right1 += np.bincount(self.state[hit1], minlength=32)
+        self.wrong += np.bincount(self.state[~(hit1 | self.hit2)], minlength=32)
+        new = 4 * x + 1
+        # A right guess gains confidence, a wrong one loses it, and is replaced when it has little.
+        for table, at, v, hit in ((self.after1, self.last, self.v1, self.hit1), (self.after2, self.pair, self.v2, self.hit2)):
+            sure = v & 3
+            table[at] = np.where(hit, v + (sure < 3), np.where(sure > 1, v - 1, new))
         self.pending.append(x)
 
 
+def _settle(low: np.ndarray, wide: np.ndarray) -> Iterator[np.ndarray]:
+    """Lanes whose leading word is settled, until none is; the caller moves the word, then both numbers are shifted."""
+    lanes: np.ndarray | slice = slice(None)
+    while True:
+        a, b = low[lanes], wide[lanes]
+        settled = (a ^ (a + b)) < TOP
+        narrow = ~settled & (b < BOTTOM)
+        if narrow.any():
+            b = np.where(narrow, BOTTOM - (a & (BOTTOM - np.uint64(1))), b)
+            wide[lanes] = b
+            settled |= narrow
+        at = np.flatnonzero(settled)
+        if not len(at):
+            return
+        lanes = at if isinstance(lanes, slice) else lanes[at]
+        yield lanes
+        low[lanes] <<= WORD
+        wide[lanes] <<= WORD
+
+
 def _layout(n: int, lanes: int) -> tuple[int, int, int]:
     """Steps, full lanes, and ids of the last lane if it is shorter."""
     steps = -(-n // lanes)
@@ -146,13 +185,13 @@ def pack(ids: np.ndarray, vocab: int) -> tuple[int, bytes]:
     lanes = max(1, min(LANES, n // MIN_STEPS))
     steps, full, rest = _layout(n, lanes)
     lanes = full + (rest > 0)
-    grid = np.zeros((lanes, steps), np.int64)
+    grid = np.zeros((lanes, steps), np.int32)
     grid.reshape(-1)[:n] = ids
     grid = np.ascontiguousarray(grid.T)
     model = Model(vocab)
     low, wide = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     out, filled = np.zeros((lanes, 4 * steps + 8), np.uint16), np.zeros(lanes, np.int64)
-    last = before = np.zeros(lanes, np.int64)
+    last = before = np.zeros(lanes, np.int32)
     for step in range(steps):
         if _due(step):
             model.refresh()
@@ -160,22 +199,12 @@ def pack(ids: np.ndarray, vocab: int) -> tuple[int, bytes]:
         x = grid[step, :m]
         model.look(last[:m], before[:m])
         start, size = model.span(x)
-        unit = wide[:m] // model.sum.view(np.uint64)
-        low[:m] += unit * start.view(np.uint64)
-        wide[:m] = unit * size.view(np.uint64)
-        while True:
-            settled = (low ^ (low + wide)) < TOP
-            narrow = ~settled & (wide < BOTTOM)
-            if narrow.any():
-                wide = np.where(narrow, BOTTOM - (low & (BOTTOM - np.uint64(1))), wide)
-                settled |= narrow
-            go = np.flatnonzero(settled)
-            if not len(go):
-                break
+        unit = wide[:m] // model.sum.astype(np.uint64)
+        low[:m] += unit * start
+        wide[:m] = unit * size
+        for go in _settle(low[:m], wide[:m]):
             out[go, filled[go]] = low[go] >> LAST
             filled[go] += 1
-            low[go] <<= WORD
-            wide[go] <<= WORD
         model.learn(x)
         last, before = x, last
     for shift in (48, 32, 16, 0):
@@ -199,37 +228,28 @@ def unpack(n: int, lanes: int, data: bytes, vocab: int) -> np.ndarray:
     model = Model(vocab)
     low, wide = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     code = (inp[:, 0] << LAST) | (inp[:, 1] << np.uint64(32)) | (inp[:, 2] << WORD) | inp[:, 3]
-    read = np.full(lanes, 4)
-    grid = np.zeros((steps, lanes), np.int64)
-    last = before = np.zeros(lanes, np.int64)
+    read, last_word = np.full(lanes, 4), inp.shape[1] - 1
+    grid = np.zeros((steps, lanes), np.int32)
+    last = before = np.zeros(lanes, np.int32)
     for step in range(steps):
         if _due(step):
             model.refresh()
         m = lanes if step < rest or not rest else full
         model.look(last[:m], before[:m])
-        unit = wide[:m] // model.sum.view(np.uint64)
-        at = np.minimum(((code[:m] - low[:m]) // unit).view(np.int64), model.sum - 1)
+        whole = model.sum.astype(np.uint64)
+        unit = wide[:m] // whole
+        at = np.minimum((code[:m] - low[:m]) // unit, whole - np.uint64(1)).astype(np.int32)
         x = model.find(at)
         start, size = model.span(x)
-        low[:m] += unit * start.view(np.uint64)
-        wide[:m] = unit * size.view(np.uint64)
-        while True:
-            settled = (low ^ (low + wide)) < TOP
-            narrow = ~settled & (wide < BOTTOM)
-            if narrow.any():
-                wide = np.where(narrow, BOTTOM - (low & (BOTTOM - np.uint64(1))), wide)
-                settled |= narrow
-            go = np.flatnonzero(settled[:m])
-            if not len(go):
-                break
-            code[go] = (code[go] << WORD) | inp[go, np.minimum(read[go], inp.shape[1] - 1)]
+        low[:m] += unit * start
+        wide[:m] = unit * size
+        for go in _settle(low[:m], wide[:m]):
+            code[go] = (code[go] << WORD) | inp[go, np.minimum(read[go], last_word)]
             read[go] += 1
-            low[go] <<= WORD
-            wide[go] <<= WORD
         model.learn(x)
         grid[step, :m] = x
         last, before = x, last
-    return np.ascontiguousarray(grid.T).reshape(-1)[:n]
+    return np.ascontiguousarray(grid.T).reshape(-1)[:n].astype(np.int64)
 
 
 def block_bytes(keys: list[int | None], counts: list[int], ids: np.ndarray, vocab: int) -> bytes:
@@ -259,7 +279,13 @@ def read_block(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    """The tokenizers library behind a memory of words: white space always ends a word of this vocabulary."""
+    """The tokenizers library behind a memory of words.
+
+    This vocabulary is split at white space and between letters and other characters, and every word's tokens end
+    with one that ends a word.  So a text of common letters is cut into words and other stretches, which are
+    remembered; new words go to the library in one text, where the tokens that end a word tell them apart again.
+    Texts with anything else are cut at blanks alone.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -268,36 +294,78 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.vocab = max(self.library.get_vocab(with_added_tokens=True).values()) + 1
+        names = self.library.get_vocab(with_added_tokens=True)
+        self.vocab = max(names.values()) + 1
+        self.ends = np.zeros(self.vocab, bool)
+        self.ends[[i for t, i in names.items() if t.endswith("</w>")]] = True
+        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.odd = re.compile(ODD)
+        self.cut = re.compile(rf"[{LETTERS}]+|[^\s{LETTERS}]+")
         self.known: dict[str, bytes] = {"": b""}
-        self.before: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def forget(self) -> None:
+        """Give back what was remembered of words, at the end of a task; the worker may serve other operators."""
+        self.known, self.older = {"": b""}, {}
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not at hand."""
+        words = [p for p in pieces if p.isalpha()]
+        others = [p for p in pieces if not p.isalpha()]
+        made = dict(zip(others, self._library(others))) if others else {}
+        if words:
+            ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(words):
+                data, at = ids.tobytes(), 0
+                for word, end in zip(words, (4 * cuts).tolist()):
+                    made[word] = data[at:end]
+                    at = end
+            else:
+                made |= dict(zip(words, self._library(words)))
+        return made
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian u32."""
         if not text:
             return b""
-        parts = text.replace("\n", " ").split(" ")
+        low = text.lower()
+        if self.odd.search(low) or any(t in text for t in self.specials):
+            parts = text.replace("\n", " ").split(" ")
+        else:
+            parts = self.cut.findall(low)
         found = list(map(self.known.get, parts))
         if None in found:
             fresh = {p for p, ids in zip(parts, found) if ids is None}
-            older = {p: ids for p in fresh if (ids := self.before.get(p)) is not None}
-            new = list(fresh - older.keys())
-            encoded = self.library.encode_batch_fast(new, add_special_tokens=False) if new else []
-            made = older | {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, encoded)}
+            made = {p: ids for p in fresh if (ids := self.older.get(p)) is not None}
+            made |= self._new([p for p in fresh if p not in made])
             if len(self.known) >= REMEMBERED:
-                self.before, self.known = self.known, {"": b""}
+                self.older, self.known = self.known, {"": b""}
             self.known.update((p, ids) for p, ids in made.items() if len(p) <= 64)
             found = [made[p] if ids is None else ids for p, ids in zip(parts, found)]
         return b"".join(found)
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a file, made once in each worker."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def write_blocks(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text", path: str | None = None,
                  end_id: int = 2, block_tokens: int = BLOCK_TOKENS) -> None:
     """Encode ``docs``, append ``end_id`` to each document, and write blocks in ascending key order to ``folder``."""
     path = path or tokenizer_file("word_bpe_49k.json")
 
     def step(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        encoder, end = encoder_of(path), np.array([end_id], "<u4").tobytes()
         vocab = max(encoder.vocab, end_id + 1)
         part = TaskContext.get().partitionId()
         seq = first = held = 0
@@ -321,6 +389,7 @@ def write_blocks(docs: DataFrame, folder: str, key: str = "doc_id", text: str =
                     seq, first, held, keys, counts, pieces = seq + 1, first + held, 0, [], [], []
         if keys:
             yield flush()
+        encoder.forget()
 
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     order = [F.col("key"), F.xxhash64("text")]
