@@ -33,7 +33,7 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 #: Words and table entries that one worker remembers, in two generations; older ones are worked out again.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 NEVER = 1 << 60
 
 
@@ -201,6 +201,11 @@ class Codec:
                 out.extend(self._plain(part))
         return out
 
+    def forget(self) -> None:
+        """Give back what was remembered of words, at the end of a task; the worker may serve other operators."""
+        self.later, self.before = {}, {}
+        self.automaton.arcs.clear()
+
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -223,6 +228,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
         own = codec(path)
         for b in batches:
             yield batch([b.column(0), [own.encode(t.as_py()) for t in b.column(1)]], schema)
+        own.forget()
 
     kind = docs.schema[key].dataType.simpleString()
     return arrow_pass(docs.select(key, text), step, f"{key} {kind}, token_ids array<int>")
@@ -258,6 +264,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
                 of_ids.append(hashlib.sha256(",".join(map(own.numbers.__getitem__, ids)).encode()).hexdigest())
                 of_text.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
             yield batch([b.column(0), counts, of_ids, of_text], schema)
+        own.forget()
 
     kind = docs.schema[key].dataType.simpleString()
     return arrow_pass(docs.select(key, text), step,

@@ -45,7 +45,9 @@ def arrow_pass(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch], pa.Schem
     target = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return step(batches, target)
+        yield from step(batches, target)
+        # A worker lives on after its task; what Arrow keeps for later would add to the next operator's memory.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, struct)
 
