@@ -61,7 +61,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K, id_column: str = "id
                   .select("q", "segment", F.expr(f"({_segment('q', 'segment')}) ^ mask").alias("value")))
         apart = [F.expr(f"bit_count({_segment('q ^ code', str(s))})") for s in range(SEGMENTS)]
         # The array's first least element is the look-up that counts.
-        met = (probes.join(index, ["segment", "value"])
+        # Spark does not see how many look-ups a query makes, so it must not take them for a small side.
+        met = (probes.hint("merge").join(index, ["segment", "value"])
                .withColumn("apart", F.array(*apart))
                .where(F.array_position("apart", F.array_min("apart")) == F.col("segment") + 1)
                .select("q", "code", "least", "n", F.expr("bit_count(q ^ code)").alias("distance")))
