@@ -164,7 +164,7 @@ def between(lines: list[Line], surge: int) -> list[str]:
     kept: list[str] = []
     i = 0
     while i < n:
-        if sums[i] >= surge and lines[i].text:
+        if sums[i] >= surge and lines[i].plain:
             # The text lasts until a whole window holds nothing but links or blanks.
             while i < n and sums[i] > 0:
                 kept.append(lines[i].text)
