@@ -5,8 +5,13 @@ that they are no article (menus, footers, sidebars, adverts, notices, forms, rea
 text lengths of the lines, links not counted, are summed over a sliding window of lines.  Where the sum surges over a
 threshold the text begins, where it dives to nothing the text ends, and all that lies between is kept.
 
+A name is a role, or a token of class or id.  A token of nothing but such words (``sidebar``, ``cookie-notice``) names a use.  One
+that has other words too (``share-buttons``) does so unless the elements with its words hold most of the page's
+unlinked text, or all its text.  One that tells a state (``no-comments``, ``has-sidebar``) names none.  ``html`` and ``body`` are never
+skipped, and neither is an ``article`` or ``main`` inside the looked-at part that holds most of the unlinked text.
+
 If the page marks its article (``article``, ``main``), its lines alone are looked at, links count and any text is a surge; of several
-articles the one with most text counts.  Otherwise the whole body is looked at with ``SURGE`` characters as threshold,
+articles the one with most text counts, and one named for another use only if no other has text.  Otherwise the whole body is looked at with ``SURGE`` characters as threshold,
 and if nothing surges there, every line with text is kept.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one space.
@@ -20,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,6 +51,8 @@ OTHER_USE = {"ad", "ads", "adbox", "advert", "adverts", "advertisement", "advert
              "comment", "comments", "commentlist", "reply", "replies", "respond", "disqus", "notice", "notices", "alert",
              "cookie", "cookies", "consent", "gdpr", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription",
              "signup", "login", "search", "skip", "paywall"}
+STATES = {"no", "not", "has", "have", "with", "without", "off", "open", "closed", "enabled", "disabled"}
+WRAPPERS = ("html", "body")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
 TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
@@ -60,20 +68,25 @@ class Line:
     plain: int
 
 
-def other_use(name: str, attributes: str) -> bool:
-    """Whether an element's kind or names say that it holds no article text."""
-    if name in SKIPPED:
-        return True
+def named(attributes: str) -> tuple[bool, list[tuple[str, ...]]]:
+    """Whether class, id or role name another use than the article, and the words of tokens that may name one."""
+    sure, maybe = False, []
     if "=" not in attributes:
-        return False
+        return sure, maybe
     for kind, *values in NAMED.findall(attributes):
         value = html.unescape("".join(values))
         if kind.lower() == "role":
-            if value.strip().lower() in ROLES:
-                return True
-        elif any(w.lower() in OTHER_USE for w in WORDS.findall(value)):
-            return True
-    return False
+            sure |= value.strip().lower() in ROLES
+            continue
+        for token in value.split():
+            words = tuple(w.lower() for w in WORDS.findall(token))
+            if OTHER_USE.isdisjoint(words) or not STATES.isdisjoint(words):
+                continue
+            if OTHER_USE.issuperset(words):
+                sure = True
+            else:
+                maybe.append(words)
+    return sure, maybe
 
 
 def _tags(page: str) -> list[tuple[int, int, bool, str, str]]:
@@ -95,18 +108,74 @@ def _tags(page: str) -> list[tuple[int, int, bool, str, str]]:
     return out
 
 
-def _close(tags: list[tuple[int, int, bool, str, str]], k: int) -> int | None:
-    """The tag that closes tag ``k``, by counting tags of its name."""
-    name, depth = tags[k][3], 0
-    for i in range(k, len(tags)):
-        if tags[i][3] == name:
-            depth += -1 if tags[i][2] else 1
-            if not depth:
-                return i
-    return None
+def _closes(tags: list[tuple[int, int, bool, str, str]]) -> list[int | None]:
+    """For every opening tag the tag that closes it, by counting tags of its name."""
+    out: list[int | None] = [None] * len(tags)
+    unclosed: dict[str, list[int]] = {}
+    for k, (_, _, closing, name, _) in enumerate(tags):
+        if not closing:
+            unclosed.setdefault(name, []).append(k)
+        elif unclosed.get(name):
+            out[unclosed[name].pop()] = k
+    return out
+
+
+@dataclass
+class Names:
+    """Tags that names refuse for sure, all that names refuse, and articles in order: those without such names or with most text."""
 
+    sure: set[int]
+    refused: set[int]
+    articles: list[int]
+    large: set[int]
 
-def _lines(page: str, tags: list[tuple[int, int, bool, str, str]], first: int, last: int) -> list[Line]:
+
+def _names(page: str, tags: list[tuple[int, int, bool, str, str]], closes: list[int | None]) -> Names:
+    """What the names of a page's elements say."""
+    found = {k: n for k, (_, _, closing, name, attributes) in enumerate(tags)
+             if not closing and name not in WRAPPERS and any(n := named(attributes))}
+    sure = {k for k, n in found.items() if n[0]}
+    articles = [k for k, t in enumerate(tags) if t[3] in ARTICLE and not t[2] and k not in found]
+    out = Names(sure, set(sure), articles, set())
+    if not any(maybe or tags[k][3] in ARTICLE for k, (_, maybe) in found.items()):
+        return out
+    # Unlinked text before every tag, without what is skipped for sure.
+    before, at, links, skipped = [0], 0, 0, -1
+    for k, (start, end, closing, name, _) in enumerate(tags):
+        counts = k > skipped and not links
+        before[-1] += len(page[at:start].strip()) if counts else 0
+        before.append(before[-1])
+        at = end
+        shut = closes[k]
+        if k > skipped and shut is not None and name not in ARTICLE and (name in SKIPPED or k in sure) and not _holds(articles, k, shut):
+            skipped = shut
+        if name == "a":
+            links = 0 if closing else 1
+        elif name in BLOCKS:
+            links = 0
+    before[-1] += 0 if links else len(page[at:].strip())
+    held: dict[tuple[str, ...], int] = {}
+    until: dict[tuple[str, ...], int] = {}
+    for k, (_, maybe) in found.items():
+        shut = len(tags) if closes[k] is None else closes[k]
+        text = before[shut] - before[k]
+        if tags[k][3] in ARTICLE and 2 * text > before[-1]:
+            out.large.add(k)
+        for words in set(maybe):
+            if k > until.get(words, -1):
+                held[words] = held.get(words, 0) + text
+                until[words] = shut
+    out.articles = sorted([*articles, *out.large])
+    out.refused |= {k for k, (_, maybe) in found.items() if any(2 * held[words] <= before[-1] for words in maybe)}
+    return out
+
+
+def _holds(articles: list[int], k: int, shut: int) -> bool:
+    """Whether one of the articles begins between two tags."""
+    return bisect_left(articles, shut) > bisect_right(articles, k)
+
+
+def _lines(page: str, tags: list[tuple[int, int, bool, str, str]], closes: list[int | None], names: Names, first: int, last: int) -> list[Line]:
     """Lines of the text between two tags."""
     lines: list[Line] = []
     block: list[str] = []
@@ -130,17 +199,15 @@ def _lines(page: str, tags: list[tuple[int, int, bool, str, str]], first: int, l
             if not links:
                 plain += len(piece.strip())
         at = end
-        if k < last and not closing and name not in ARTICLE and (other_use(name, attributes) or first < 0 and name == "header"):
-            shut = _close(tags, k)
-            # An element that holds the article is no menu, whatever its name.
-            if shut is not None and shut <= last and not any(t[3] in ARTICLE and not t[2] and not other_use("", t[4]) for t in tags[k + 1:shut]):
-                end_line()
-                at = tags[shut][1]
-                k = shut + 1
-                continue
-        elif k < last and not closing and name in ARTICLE and other_use("", attributes):
-            shut = _close(tags, k)
-            if shut is not None and shut <= last:
+        if k < last and not closing:
+            shut = closes[k]
+            if name in ARTICLE:
+                skip = k in names.refused and k not in names.large
+            else:
+                # An element that holds the article is no menu, whatever its name.
+                skip = ((name in SKIPPED or k in names.refused or first < 0 and name == "header")
+                        and shut is not None and not _holds(names.articles, k, shut))
+            if skip and shut is not None and shut <= last:
                 end_line()
                 at = tags[shut][1]
                 k = shut + 1
@@ -178,21 +245,27 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     tags = _tags(page)
-    for kind in ARTICLE:
-        best: list[str] = []
-        k = 0
-        while k < len(tags):
-            if tags[k][3] == kind and not tags[k][2] and not other_use("", tags[k][4]):
-                shut = _close(tags, k)
-                last = len(tags) if shut is None else shut
-                found = between([Line(x.text, len(x.text)) for x in _lines(page, tags, k, last)], 1)
-                if sum(map(len, found)) > sum(map(len, best)):
-                    best = found
-                k = last
-            k += 1
-        if best:
-            return " ".join(best)
-    lines = _lines(page, tags, -1, len(tags))
+    closes = _closes(tags)
+    names = _names(page, tags, closes)
+    for other_use in (False, True):
+        for kind in ARTICLE:
+            best: list[str] = []
+            k = 0
+            while k < len(tags):
+                if tags[k][3] == kind and not tags[k][2] and (k in names.refused) == other_use:
+                    shut = closes[k]
+                    last = len(tags) if shut is None else shut
+                    found = between([Line(x.text, len(x.text)) for x in _lines(page, tags, closes, names, k, last)], 1)
+                    if sum(map(len, found)) > sum(map(len, best)):
+                        best = found
+                    k = last
+                k += 1
+            if best:
+                return " ".join(best)
+    lines = _lines(page, tags, closes, names, -1, len(tags))
+    if not any(x.text for x in lines):
+        names.refused = names.sure
+        lines = _lines(page, tags, closes, names, -1, len(tags))
     return " ".join(between(lines, SURGE) or [x.text for x in lines if x.text])
 
 

@@ -35,6 +35,24 @@ def test_main_text(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html class='has-sidebar'><body class='has-sidebar search-page'><div id='page' class='no-comments'><p>Yes</p></div></body></html>", "Yes"),
+    ("<body class='sidebar'><p>Yes</p></body>", "Yes"),
+    ("<div id='page' class='share-layout'><p>Yes yes yes</p><div class='share-buttons'><p>no</p></div></div>", "Yes yes yes"),
+    ("<article class='post no-comments'><p>Yes</p></article><div><p>more than that</p></div>", "Yes"),
+    ("<article class='post tag-social'><p>Yes yes yes</p></article><article class='teaser'><p>no</p></article>", "Yes yes yes"),
+    ("<article class='notice'><p>Yes</p></article><div><p>no</p></div>", "Yes"),
+    ("<main><p>A</p><article class='notice'><p>Yes yes</p></article></main>", "A Yes yes"),
+    ("<article><p>Yes</p><div id='comments'><article class='comment-body'><p>no no no no</p></article></div></article>", "Yes"),
+    ("<div class='search-hit-1'><p>One</p></div><div class='search-hit-2'><p>Two</p></div>", "One Two"),
+    ("<div class='search-hit'><p>One</p></div><div class='share-hit'><p>Two</p></div>", "One Two"),
+    ("<div class='side related-posts'><p>no</p></div><div id='sidebar'><p>no no no no</p></div><p>Yes yes</p>", "Yes yes"),
+    ("<div class='menu-wrap'><main class='page tag-social'><p>Yes yes</p></main></div>", "Yes yes"),
+])
+def test_names_that_do_not_refuse_the_text(page, want):
+    assert main_text(page) == want
+
+
 def test_surge_and_dive_points():
     lines = [Line("menu", 0), Line("x" * 90, 90), Line("s", 1), Line("link", 0), Line("link", 0), Line("link", 0), Line("tail", 4)]
     assert between(lines, 80) == ["x" * 90, "s"]
