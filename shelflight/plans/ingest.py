@@ -121,10 +121,12 @@ DOMAIN = r"^[a-z]+://[^/]*\.([a-z]+)(?:[/:?#]|$)"
 
 
 def _visits(spark: SparkSession, d: str) -> DataFrame:
+    """Source, page, category and its place in the listing; what a page does not state is empty, unlisted has no place."""
+    place = F.array_position(F.array(*[F.lit(x) for x in LISTING]), F.col("kategorija"))
     return b.table(spark, d, "pages").select(
-        tx.first_match(F.col("url"), DOMAIN).alias("izvor"), F.floor(F.col("page_id") / 5).alias("strana"),
-        tx.first_match(F.col("html"), LANG).alias("kategorija"), F.length("html").alias("duzina")).withColumn(
-        "redosled", F.array_position(F.array(*[F.lit(x) for x in LISTING]), F.col("kategorija")))
+        F.regexp_extract("url", DOMAIN, 1).alias("izvor"), F.floor(F.col("page_id") / 5).alias("strana"),
+        F.regexp_extract("html", LANG, 1).alias("kategorija"), F.length("html").alias("duzina")).withColumn(
+        "redosled", F.nullif(place, F.lit(0)))
 
 
 def collection_summary(spark: SparkSession, d: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
+from shelflight.functions.quantiles import join_groups
 from shelflight.roles import Roles
 from shelflight.session import settle, small_table
 
@@ -49,21 +50,23 @@ def collection_summary(records: DataFrame, source: str, page: str, stored: Colum
                        listing: str | None = None, span: int = 1000) -> DataFrame:
     """Stored and seen records per source, category and page, with a running total over the pages of a source.
 
-    Categories come in the order of ``listing``, a number that each of them has.  The running total is built
-    in two steps, inside spans of ``span`` pages of a category and across the spans, so no single window holds
-    all pages of a large source.
+    Categories come in the order of ``listing``, a number; those without one come last, in one order by their pages,
+    and rows of one page there have the same running total.  A missing source, category or page is a group like any
+    other, and missing pages come last.  The running total is built in two steps, inside spans of ``span`` pages of a
+    place in the listing and across the spans, so no single window holds all pages of a large source.
     """
     named = [c for c in (category, listing) if c]
     order = [listing] if listing else []
+    last = [F.col(c).asc_nulls_last() for c in (*order, "_span")]
     per_page = (records.groupBy(source, *named, page)
                 .agg(F.count(F.lit(1)).alias("vidjeno"), F.count_if(stored).alias("upisano"))
                 .withColumn("_span", F.floor(F.col(page) / span)))
     inside = F.sum("upisano").over(Window.partitionBy(source, *order, "_span").orderBy(page))
-    span_end = Window.partitionBy(source).orderBy(*order, "_span").rowsBetween(Window.unboundedPreceding, -1)
+    span_end = Window.partitionBy(source).orderBy(*last).rowsBetween(Window.unboundedPreceding, -1)
     spans = (per_page.groupBy(source, *order, "_span").agg(F.sum("upisano").alias("_total"))
              .select(source, *order, "_span", F.coalesce(F.sum("_total").over(span_end), F.lit(0)).alias("_before")))
     # One row per span, stored so that Spark sees how small it is.
-    return (per_page.withColumn("_inside", inside).join(settle(spans, "spans"), [source, *order, "_span"])
+    return (join_groups(per_page.withColumn("_inside", inside), settle(spans, "spans"), [source, *order, "_span"])
             .select(source, *named, page, "upisano", "vidjeno", (F.col("_before") + F.col("_inside")).alias("ukupno")))
 
 

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import numpy as np
+import oracle
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
 from shelflight.operators import charts, reports, views
+from shelflight.plans import ingest
 from shelflight.roles import Roles, as_role_names
 from shelflight.sources import collect
 
@@ -157,3 +159,26 @@ def test_running_total_follows_the_listing(spark):
         found = collect.collection_summary(df, "izvor", "strana", F.col("ok"), "kategorija", "redosled", span)
         assert sorted(tuple(r) for r in found.select("izvor", "redosled", "strana", "upisano", "vidjeno", "ukupno").collect()) == [
             ("s", 1, 1, 1, 1, 1), ("s", 1, 2, 1, 1, 2), ("s", 2, 1, 1, 2, 3), ("t", 2, 1, 1, 1, 1)]
+
+
+def test_summary_keeps_missing_and_unlisted_categories(spark):
+    rows = [("s", "a", 1, 1, True), ("s", "x", None, 1, True), ("s", "x", None, 2, True), ("s", "y", None, 1, True),
+            ("s", None, None, 1, False), ("s", None, None, None, True), (None, "a", 1, 1, True)]
+    df = spark.createDataFrame(rows, "izvor string, kategorija string, redosled int, strana long, ok boolean")
+    for span in (1, 1000):
+        found = collect.collection_summary(df, "izvor", "strana", F.col("ok"), "kategorija", "redosled", span)
+        got = {tuple(r) for r in found.select("izvor", "kategorija", "strana", "upisano", "vidjeno", "ukupno").collect()}
+        assert got == {("s", "a", 1, 1, 1, 1), ("s", "x", 1, 1, 1, 3), ("s", "y", 1, 1, 1, 3), ("s", None, 1, 0, 1, 3),
+                       ("s", "x", 2, 1, 1, 4), ("s", None, None, 1, 1, 5), (None, "a", 1, 1, 1, 1)}
+
+
+def test_summary_of_pages_without_lang_or_html(spark, tmp_path):
+    long = "x" * 4000
+    rows = [(0, "http://a.org/0", f'<html lang="en">{long}'), (1, "http://a.org/1", f"<html>{long}"), (2, "http://a.org/2", None),
+            (3, "http://a.com/3", None), (6, "http://a.org/6", f"<p>{long}"), (7, "http://a.org/7", f'<html lang="fr">{long}'),
+            (11, "http://a.org/11", f'<html lang="it">{long}'), (12, None, f'<html lang="de">{long}'), (13, "no address", long)]
+    pd.DataFrame(rows, columns=["page_id", "url", "html"]).to_parquet(tmp_path / "pages.parquet")
+    con = oracle.database(str(tmp_path))
+    for name in ("a12_collection_summary", "a12_source_totals"):
+        assert oracle.compare(ingest.QUERIES[name](spark, str(tmp_path)), ingest.SQL[name], con) is None
+    con.close()
