@@ -6,10 +6,11 @@ distance ``r`` from its own, verifies the codes found there, and keeps the best.
 verified distance is within what the rounds so far cover: nothing nearer, and no tie, can be missing.
 
 A code that several look-ups find counts at the first of them: the first segment with the least distance.  Equal
-codes are folded before: a code carries its least ``k + 1`` ids, which is all that any query can use of it, and
-equal queries are answered once.
+codes are folded before: a code carries its least ``k + 1`` ids, each with the number of its rows, up to ``k``, which is all that
+any query can use of it, and equal queries are answered once.  Of the codes that a query keeps, one for each code
+that its own id has may give no neighbour, so every cut is ``k`` plus that number.
 
-Neighbours are ordered by distance, then id; a row is no neighbour of itself.  Rows with a null code, or a null id,
+Neighbours are ordered by distance, then id; a row is no neighbour of rows with its own id.  Rows with a null code, or a null id,
 are neither found nor answered; repeated ids count once per row.  With ``k`` rows or fewer all others are returned.
 An empty table gives an empty result; other columns play no part.
 """
@@ -35,45 +36,52 @@ def _segment(code: str, segment: str) -> str:
     return f"shiftrightunsigned({code}, {SEGMENT_BITS} * {segment}) & {(1 << SEGMENT_BITS) - 1}L"
 
 
-def _folded(rows: DataFrame, k: int) -> DataFrame:
-    """``code, ids``: distinct codes with their least ``k + 1`` ids.  Partial limits come before the shuffle."""
+def _folded(pairs: DataFrame, k: int) -> DataFrame:
+    """``code, ids``: distinct codes with their least ``k + 1`` ids and their rows.  Partial limits come before the shuffle."""
     order = Window.partitionBy("code").orderBy("id")
-    least = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
-    return least.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    least = pairs.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+    return least.groupBy("code").agg(F.sort_array(F.collect_list(F.struct("id", F.least("rows", F.lit(k)).cast("int").alias("rows")))).alias("ids"))
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int = K, id_column: str = "id", code: str = "code") -> DataFrame:
     """``query_id, rank, id, distance`` of the ``k`` nearest rows of each query."""
     rows = rows.select(F.col(id_column).alias("id"), F.col(code).cast("bigint").alias("code")).dropna()
     asked = queries.select(F.col(id_column).alias("query_id"), F.col(code).cast("bigint").alias("code")).dropna()
-    codes = stored(_folded(rows, k), "codes")
-    index = stored(codes.select("code", F.col("ids")[0].alias("least"), F.size("ids").alias("n"),
+    pairs = stored(rows.groupBy("code", "id").agg(F.count(F.lit(1)).alias("rows")), "pairs")
+    codes = stored(_folded(pairs, k), "codes")
+    index = stored(codes.select("code", F.col("ids")[0]["id"].alias("least"), F.size("ids").alias("n"),
                                 F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("segment"))
                    .withColumn("value", F.expr(_segment("code", "segment"))), "segments")
     total = codes.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n")).first()["n"]
-    still = stored(asked.select(F.col("code").alias("q")).distinct(), "open")
+    # Codes of a query's own id, where it has several.
+    many = pairs.groupBy("id").agg(F.count(F.lit(1)).alias("own")).where("own > 1")
+    still = stored(asked.join(many, asked["query_id"] == many["id"], "left").groupBy(F.col("code").alias("q"))
+                   .agg(F.max(F.coalesce("own", F.lit(1))).cast("int").alias("own")), "open")
+    most = still.agg(F.coalesce(F.max("own"), F.lit(1)).alias("own")).first()["own"]
     found = None
     closed: list[DataFrame] = []
     for radius in range(SEGMENT_BITS + 1):
         masks = ", ".join(f"{m}L" for m in range(1 << SEGMENT_BITS) if m.bit_count() == radius)
-        probes = (still.select("q", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("segment"))
-                  .select("q", "segment", F.explode(F.expr(f"array({masks})")).alias("mask"))
-                  .select("q", "segment", F.expr(f"({_segment('q', 'segment')}) ^ mask").alias("value")))
+        probes = (still.select("q", "own", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("segment"))
+                  .select("q", "own", "segment", F.explode(F.expr(f"array({masks})")).alias("mask"))
+                  .select("q", "own", "segment", F.expr(f"({_segment('q', 'segment')}) ^ mask").alias("value")))
         apart = [F.expr(f"bit_count({_segment('q ^ code', str(s))})") for s in range(SEGMENTS)]
         # The array's first least element is the look-up that counts.
         # Spark does not see how many look-ups a query makes, so it must not take them for a small side.
         met = (probes.hint("merge").join(index, ["segment", "value"])
                .withColumn("apart", F.array(*apart))
                .where(F.array_position("apart", F.array_min("apart")) == F.col("segment") + 1)
-               .select("q", "code", "least", "n", F.expr("bit_count(q ^ code)").alias("distance")))
+               .select("q", "own", "code", "least", "n", F.expr("bit_count(q ^ code)").alias("distance")))
         if found is not None:
             met = met.unionByName(found.join(still, "q", "left_semi"))
         best = Window.partitionBy("q").orderBy("distance", "least")
-        found = stored(met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1).drop("rank"), "found")
+        # The first bound is a number, by which Spark cuts before the shuffle.
+        found = stored(met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + most)
+                       .where(F.col("rank") <= k + F.col("own")).drop("rank"), "found")
         covered = SEGMENTS * (radius + 1) - 1
-        state = found.groupBy("q").agg(F.sum(F.when(F.col("distance") <= covered, F.col("n")).otherwise(0)).alias("near"),
+        state = found.groupBy("q", "own").agg(F.sum(F.when(F.col("distance") <= covered, F.col("n")).otherwise(0)).alias("near"),
                                        F.sum("n").alias("all"))
-        done = state.where((F.col("near") >= k + 1) | (F.col("all") >= total)).select("q")
+        done = state.where((F.col("near") >= k + F.col("own")) | (F.col("all") >= total)).select("q")
         closed.append(found.join(done, "q", "left_semi"))
         still = stored(still.join(done, "q", "left_anti"), "open")
         if still.isEmpty():
@@ -83,10 +91,12 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K, id_column: str = "id
     answers = closed[0]
     for more in closed[1:]:
         answers = answers.unionByName(more)
-    near = (answers.select("q", "code", "distance").join(codes, "code")
-            .groupBy("q").agg(F.slice(F.sort_array(F.flatten(F.collect_list(
-                F.transform("ids", lambda i: F.struct(F.col("distance").alias("distance"), i.alias("id")))))), 1, k + 1).alias("near")))
+    near = (answers.select("q", "own", "code", "distance").join(codes, "code")
+            .groupBy("q", "own").agg(F.sort_array(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct(
+                F.col("distance").alias("distance"), i["id"].alias("id"), i["rows"].alias("rows")))))).alias("near"))
+            .select("q", F.slice("near", 1, k + F.col("own")).alias("near")))
+    others = F.slice(F.filter("near", lambda x: x["id"] != F.col("query_id")), 1, k)
     return (asked.join(near, asked.code == near.q)
-            .select("query_id", F.slice(F.filter("near", lambda x: x["id"] != F.col("query_id")), 1, k).alias("near"))
+            .select("query_id", F.slice(F.flatten(F.transform(others, lambda x: F.array_repeat(x, x["rows"]))), 1, k).alias("near"))
             .select("query_id", F.posexplode("near").alias("at", "hit"))
             .select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.id").alias("id"), F.col("hit.distance").cast("int").alias("distance")))

@@ -163,6 +163,20 @@ def test_search_against_all(spark, n, spread):
     assert sorted(map(tuple, got.collect())) == nearest(rows, 3)
 
 
+@pytest.mark.parametrize("codes_of_own", [1, 4, 12])
+def test_search_with_repeated_ids(spark, codes_of_own):
+    """Query ids on 2 and 12 rows, with one code or several, and neighbours on several rows."""
+    rng = random.Random(codes_of_own)
+    near = lambda flips: sum(1 << b for b in rng.sample(range(63), flips))
+    rows = [(i, near(rng.randint(0, 4))) for i in range(1, 200) if i % 20]
+    rows += [rows[0]] * 2 + [(7, 1), (7, 1), (7, 2)] * 4
+    rows += [(20 * j, (1 << i % codes_of_own) - 1) for j, times in ((0, 2), (1, 12), (2, 1)) for i in range(times)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "id long, code long")
+    got = hamming_search.search(df, df.where("id % 20 = 0"))
+    assert sorted(map(tuple, got.collect())) == nearest(rows, 10)
+
+
 def test_search_of_nothing(spark):
     df = spark.createDataFrame([], "id long, code long")
     assert hamming_search.search(df, df).count() == 0
