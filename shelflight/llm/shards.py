@@ -9,7 +9,8 @@ levels, and only rows of buckets that are still too large go on.  The directory
 
 A row larger than the limit has a shard of its own.  Null keys and texts hash as nulls; a null text has no bytes.
 An empty table has no shards.  Other columns are written along; a column named like an output is replaced.
-Numbering rows needs an input that comes in the same order when it is read again, such as a stored table.
+Rows are numbered once and stored with their bits; the directory and the shards are made from that table, so
+the input may come in another order when it is read again.
 """
 
 from __future__ import annotations
@@ -84,9 +85,8 @@ def assign(rows: DataFrame, shards: DataFrame) -> DataFrame:
 def write_shards(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text", limit: int = SHARD_BYTES) -> DataFrame:
     """Write ``docs`` below ``folder``, one directory per shard, and return the directory table."""
     kept = docs.drop(*OUTPUTS, "bits", "slot", "prefix")
-    rows = kept.withColumns({"bits": bits(key, text), "n_bytes": F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("bigint")})
-    sized = stored(rows.select("bits", "n_bytes"), "sizes")
-    shards = stored(directory(sized, limit), "directory")
+    rows = stored(kept.withColumns({"bits": bits(key, text), "n_bytes": F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("bigint")}), "rows")
+    shards = stored(directory(rows.select("bits", "n_bytes"), limit), "directory")
     placed = assign(rows, shards).drop("bits")
     # A shard fits its limit, so one task may write it whole; Spark deals the shards to tasks.
     placed.repartition("shard").write.option("compression", "zstd").partitionBy("shard").parquet(folder)

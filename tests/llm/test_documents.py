@@ -222,6 +222,27 @@ def test_equal_rows_are_split_too(spark):
     check_shards(rows, 500)
 
 
+def test_equal_rows_that_are_split_differently_when_read_again(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "x" * 50)] * 400, "doc_id long, text string").repartition(8).write.parquet(f"{tmp_path}/equal")
+    whole = shards.directory
+
+    def and_split_anew(sized, limit):
+        found = whole(sized, limit).localCheckpoint()
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        return found
+
+    monkeypatch.setattr(shards, "directory", and_split_anew)
+    source, folder = spark.read.parquet(f"{tmp_path}/equal"), new_path(spark, "shards")
+    spark.conf.set("spark.sql.files.minPartitionNum", "8")
+    try:
+        shards.write_shards(source, folder, limit=500)
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    rows = shards.read_shards(source, folder).collect()
+    assert len(rows) == 400
+    check_shards(rows, 500)
+
+
 def test_no_rows_no_shards(spark, empty):
     folder = new_path(spark, "shards")
     assert shards.write_shards(empty, folder).count() == 0
