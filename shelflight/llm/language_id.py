@@ -5,8 +5,8 @@ that of each language: every n-gram adds the distance between its two places, or
 language's list lacks it.  The language with the smallest sum wins; equal sums go to the lesser name.
 
 N-grams are taken over the whole text, lower-cased, with every run of other characters than letters read as one
-blank.  Profiles are learned from a bounded sample of labelled rows (``TRAIN_ROWS``, chosen by a hash of the key;
-all rows when there are fewer); its size is a parameter and the counting is a grouped sum.
+blank.  Profiles are learned from a bounded sample of the labelled rows of each language (``TRAIN_ROWS``, chosen by a hash
+of key and text; all rows when there are fewer); its size is a parameter and the counting is a grouped sum.
 
 A null text, or one without a letter, is ``und`` with score 0; so is every text when nothing could be learned.
 Null languages are not learned.  Documents are judged one by one, so repeated rows get equal answers and an empty
@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 from shelflight.llm.common import arrow_pass, batch
 
 UNKNOWN = "und"
-#: Rows that profiles are learned from, and the lengths of the lists.
+#: Rows that the profile of a language is learned from, and the lengths of the lists.
 TRAIN_ROWS, LANGUAGE_LIST, DOCUMENT_LIST = 20_000, 1200, 600
 
 _letters: list[np.ndarray] = []
@@ -89,14 +89,15 @@ class Profiles:
 
 def learn(docs: DataFrame, may_learn: Column | None = None, key: str = "doc_id", text: str = "text",
           lang: str = "lang", train_rows: int = TRAIN_ROWS) -> Profiles:
-    """Profiles of the languages of ``docs``, from rows where ``may_learn`` holds."""
+    """Profiles of the languages of ``docs``, from rows where ``may_learn`` holds, about ``train_rows`` of each language."""
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     if may_learn is not None:
         labelled = labelled.where(may_learn)
-    n = labelled.select(F.lit(1)).count()
-    if n > train_rows:
-        share = F.pmod(F.xxhash64(F.col(key), F.lit("language")), F.lit(1 << 32))
-        labelled = labelled.where(share < int((1 << 32) * train_rows / n))
+    large = labelled.groupBy(lang).count().where(F.col("count") > train_rows).collect()  # a row per language, as in the profiles
+    if large:
+        share = F.pmod(F.xxhash64(F.col(key), F.col(text), F.lit("language")), F.lit(1 << 32))
+        below = F.create_map(*[F.lit(x) for r in large for x in (r[lang], int((1 << 32) * train_rows / r["count"]))])
+        labelled = labelled.where(share < F.coalesce(F.try_element_at(below, F.col(lang)), F.lit(1 << 32)))
 
     def step(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -186,6 +186,15 @@ def test_contamination_with_empty_tables(spark, docs, empty):
 
 # Sharding
 
+def test_rare_languages_and_rows_without_key_are_learned(spark):
+    rows = [(i, f"aba bab {'abcdefghij'[i % 10]}", "x") for i in range(4000)] + [(k, "wuw uwu", "rare") for k in (5000, 5001, 5002)]
+    rows += [(None, "qoq oqo " + "z" * (i + 1), "keyless") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language_id.learn(docs, train_rows=40)
+    assert found.languages == ("keyless", "rare", "x")
+    assert [found.judge(t)[0] for t in ("wuw", "qoq", "aba")] == ["rare", "keyless", "x"]
+
+
 def check_shards(rows, limit):
     by_shard = {}
     for r in rows:
