@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflight.llm import (bpe_automaton, decontaminate, hamming_search, language_id, main_text, parity_join, shards, sql, suffix_dedup,
-                            token_blocks, url_filter)
+from shelflight.llm import (bpe_automaton, decontaminate, filter_audit, hamming_search, language_id, main_text, packing, parity_join, shards, sql,
+                            suffix_dedup, token_blocks, url_filter, vector_codes)
 from shelflight.llm.common import new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.read_shards(docs, folder).select("doc_id", "shard", "n_bytes", "shard_bytes", "shard_rows")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded(table(spark, sf_dir, "embeddings"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), digest=True)
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1,
     "op2_suffix_dedup": op2,
@@ -75,6 +87,9 @@ QUERIES: dict[str, Query] = {
     "op8_parity_join": op8,
     "op9_decontaminate": op9,
     "op10_shards": op10,
+    "op11_vector_codes": op11,
+    "op12_packing": op12,
+    "op13_filter_audit": op13,
 }
 
 SQL: dict[str, str] = {
@@ -82,4 +97,6 @@ SQL: dict[str, str] = {
     "op5_hamming_search": sql.HAMMING_SEARCH,
     "op8_parity_join": sql.PARITY_JOIN,
     "op9_decontaminate": sql.DECONTAMINATE,
+    "op11_vector_codes": sql.VECTOR_CODES,
+    "op13_filter_audit": sql.FILTER_AUDIT,
 }

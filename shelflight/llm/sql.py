@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from itertools import permutations
 from string import ascii_lowercase, ascii_uppercase
 
 
@@ -55,3 +56,45 @@ t AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS names
       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM h) GROUP BY doc_id)
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
 coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Rounds of assignment and means, one common table expression each."""
+    assign = """a{k} AS MATERIALIZED (SELECT vec_id, p, x, arg_min({{'e': e, 'd': d}}, (d, e)) AS m FROM (SELECT vec_id, v.p, x, e,
+list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v JOIN b{k} ON b{k}.p = v.p) GROUP BY ALL)"""
+    means = """s{k} AS (SELECT p, m.e AS e, i, sum(unnest_x)::BIGINT AS s, count(*) AS n FROM (SELECT p, m, unnest(x) AS unnest_x, generate_subscripts(x, 1) AS i FROM a{k}) GROUP BY ALL),
+f{k} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{k} GROUP BY p, e),
+b{j} AS MATERIALIZED (SELECT b.p, b.e, coalesce(f.c, b.c) AS c FROM b{k} b LEFT JOIN f{k} f ON f.p = b.p AND f.e = b.e)"""
+    steps = ",\n".join(f"{assign.format(k=k)},\n{means.format(k=k, j=k + 1)}" for k in range(rounds))
+    return f"""WITH r AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS w FROM embeddings
+WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT vec_id, p, list_slice(w, p * len(w) // {parts} + 1, (p + 1) * len(w) // {parts}) AS x FROM r, (SELECT unnest(range({parts})) AS p)),
+b0 AS MATERIALIZED (SELECT p, (row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1)::BIGINT AS e, x AS c FROM v
+WHERE vec_id IN (SELECT vec_id FROM r ORDER BY vec_id LIMIT {entries})),
+{steps},
+{assign.format(k=rounds)},
+o AS (SELECT vec_id, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM b{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256 FROM o JOIN r USING (vec_id), h"""
+
+
+def _filter_audit(filters: str = "ABCDE") -> str:
+    """Masks per part, and every order and step with the bits of its filter and of those before."""
+    orders = ", ".join(f"('{''.join(order)}', {k + 1}, {1 << filters.index(f)}, {sum(1 << filters.index(x) for x in order[:k])})"
+                       for order in permutations(filters) for k, f in enumerate(order))
+    return f"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '{_BLANK}'), lambda x: x <> '') AS w, min(doc_id) OVER (PARTITION BY t) AS low FROM d),
+k AS (SELECT doc_id, part, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
++ 4 * (100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * len(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > low, false)::INT AS m FROM w),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+g AS (SELECT part, m, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM k LEFT JOIN l USING (doc_id) GROUP BY part, m),
+o(filter_order, step, f, e) AS (VALUES {orders}),
+s AS (SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (m & (e | f) = 0), 0)::BIGINT AS kept,
+coalesce(sum(n) FILTER (m & e = 0 AND m & f <> 0), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (m & e <> 0 AND m & f <> 0), 0)::BIGINT AS redundant,
+coalesce(sum(n) FILTER (m = f), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (m & e = 0 AND m & f <> 0), 0)::BIGINT AS good_lost,
+coalesce(sum(toxic) FILTER (m & e = 0 AND m & f <> 0), 0)::BIGINT AS toxic_lost FROM g, o GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+(sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM s"""
+
+
+VECTOR_CODES, FILTER_AUDIT = _vector_codes(), _filter_audit()

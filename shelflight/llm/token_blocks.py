@@ -28,14 +28,17 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelflight.llm.bpe_automaton import byte_letters
 from shelflight.llm.common import arrow_pass, batch, tokenizer_file
 from shelflight.session import small_table
 
@@ -298,24 +301,34 @@ class Encoder:
         self.vocab = max(names.values()) + 1
         self.ends = np.zeros(self.vocab, bool)
         self.ends[[i for t, i in names.items() if t.endswith("</w>")]] = True
-        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.odd = re.compile(ODD)
+        specials = [re.escape(t.content.lower()) for t in self.library.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([ODD, *specials]))
         self.cut = re.compile(rf"[{LETTERS}]+|[^\s{LETTERS}]+")
+        self.common = re.compile(rf"[{LETTERS}]+")
+        self.as_letters = {byte: letter for letter, byte in byte_letters().items()}
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
     def forget(self) -> None:
-        """Give back what was remembered of words, at the end of a task; the worker may serve other operators."""
-        self.known, self.older = {"": b""}, {}
+        """Give back the older half of what was remembered, at the end of a task; the worker may serve other operators."""
+        self.older = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _new(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not at hand."""
-        words = [p for p in pieces if p.isalpha()]
-        others = [p for p in pieces if not p.isalpha()]
-        made = dict(zip(others, self._library(others))) if others else {}
+        """Ids of pieces that are not at hand; words of common letters go to the library's model, which takes bytes as letters."""
+        split, made, rest = self.library.model.tokenize, {}, []
+        for p in pieces:
+            if self.common.fullmatch(p):
+                letters = p if p.isascii() else p.encode().decode("latin-1").translate(self.as_letters)
+                made[p] = array("I", [t.id for t in split(letters)]).tobytes()
+            else:
+                rest.append(p)
+        words = [p for p in rest if p.isalpha()]
+        others = [p for p in rest if not p.isalpha()]
+        if others:
+            made |= dict(zip(others, self._library(others)))
         if words:
             ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
@@ -328,15 +341,42 @@ class Encoder:
                 made |= dict(zip(words, self._library(words)))
         return made
 
+    def _parts(self, text: str) -> list[str]:
+        low = text.lower()
+        if self.odd.search(low):
+            return text.replace("\n", " ").split(" ")
+        return self.cut.findall(low)
+
+    def encode_column(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text of a column; a null has none.
+
+        Texts are cut at ASCII white space, which no token spans.  What lies between is told apart once for the whole
+        column, and all new words go to the library together.
+        """
+        cut = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        own = [self.known.get(p) or self.older.get(p) for p in pieces]
+        missing = [p for p, ids in zip(pieces, own) if ids is None]
+        parts = [None if p.isalpha() and p.islower() and not self.odd.search(p) else self._parts(p) for p in missing]
+        words = {w for found in parts if found for w in found}
+        words.update(p for p, found in zip(missing, parts) if found is None)
+        made = {w: self.known.get(w) or self.older.get(w) for w in words}
+        made |= self._new([w for w, ids in made.items() if ids is None])
+        made |= {p: b"".join([made[w] for w in found]) for p, found in zip(missing, parts) if found is not None}
+        own = [made[p] if ids is None else ids for p, ids in zip(pieces, own)]
+        if len(self.known) + len(made) > REMEMBERED:
+            self.older, self.known = self.known, {"": b""}
+        self.known.update((p, ids) for p, ids in made.items() if len(p) <= 64)
+        codes, ends = coded.indices.to_numpy().tolist(), cut.offsets.to_pylist()
+        for begin, end in zip(ends, ends[1:]):
+            yield b"".join([own[c] for c in codes[begin - ends[0]:end - ends[0]]])
+
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian u32."""
         if not text:
             return b""
-        low = text.lower()
-        if self.odd.search(low) or any(t in text for t in self.specials):
-            parts = text.replace("\n", " ").split(" ")
-        else:
-            parts = self.cut.findall(low)
+        parts = self._parts(text)
         found = list(map(self.known.get, parts))
         if None in found:
             fresh = {p for p, ids in zip(parts, found) if ids is None}
@@ -378,8 +418,8 @@ def write_blocks(docs: DataFrame, folder: str, key: str = "doc_id", text: str =
             return batch([[part], [seq], [first], [len(keys)], [held], [block_bytes(keys, counts, ids, vocab)]], schema)
 
         for b in batches:
-            for k, t in zip(b.column(0).to_pylist(), b.column(1)):
-                piece = encoder.encode(t.as_py()) + end
+            for k, ids in zip(b.column(0).to_pylist(), encoder.encode_column(b.column(1))):
+                piece = ids + end
                 keys.append(k)
                 counts.append(len(piece) // 4)
                 pieces.append(piece)

@@ -1,13 +1,9 @@
 from __future__ import annotations
 
 import random
-import sys
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 
 def prose(rng: random.Random, n: int, words=("the", "of", "and", "river", "stone", "Green", "walk", "three", "é", "über", "x1", "night,", "day.")) -> str:
     return " ".join(rng.choice(words) + rng.choice(["", "", "s", "ed", "a", "ing"]) for _ in range(n))

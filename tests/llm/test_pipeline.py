@@ -69,5 +69,5 @@ def test_run_on_nothing(spark, folder, tmp_path):
 
 def test_registered_names():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
