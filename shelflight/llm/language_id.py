@@ -31,6 +31,8 @@ from shelflight.llm.common import arrow_pass, batch
 UNKNOWN = "und"
 #: Rows that the profile of a language is learned from, and the lengths of the lists.
 TRAIN_ROWS, LANGUAGE_LIST, DOCUMENT_LIST = 20_000, 1200, 600
+#: Codes that wait to be counted, and counts of a language that a task sends on.
+HELD_CODES, MOST_SUMS = 1 << 18, 1 << 20
 
 _letters: list[np.ndarray] = []
 
@@ -63,6 +65,30 @@ def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes[first], np.diff(np.append(first, len(codes)))
 
 
+class Sums:
+    """How often each code occurs; what comes in is folded by megabytes, so a large batch is never held as codes."""
+
+    def __init__(self) -> None:
+        self.codes, self.often = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.held: list[np.ndarray] = []
+        self.n = 0
+
+    def add(self, codes: np.ndarray) -> None:
+        self.held.append(codes)
+        self.n += len(codes)
+        if self.n >= HELD_CODES:
+            self.fold()
+
+    def fold(self) -> None:
+        if not self.n:
+            return
+        codes, often = counted(np.concatenate(self.held))
+        both, place = np.unique(np.concatenate((self.codes, codes)), return_inverse=True)
+        sums = np.zeros(len(both), np.int64)
+        np.add.at(sums, place, np.concatenate((self.often, often)))
+        self.codes, self.often, self.held, self.n = both, sums, [], 0
+
+
 @dataclass(frozen=True)
 class Profiles:
     """The languages in order, all their n-grams in order, and each n-gram's place in each list."""
@@ -100,13 +126,17 @@ def learn(docs: DataFrame, may_learn: Column | None = None, key: str = "doc_id",
         labelled = labelled.where(share < F.coalesce(F.try_element_at(below, F.col(lang)), F.lit(1 << 32)))
 
     def step(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, Sums] = {}
         for b in batches:
-            held: dict[str, list[np.ndarray]] = {}
             for name, t in zip(b.column(0).to_pylist(), b.column(1)):
-                held.setdefault(name, []).append(grams(t.as_py()))
-            for name, parts in held.items():
-                codes, often = counted(np.concatenate(parts))
-                yield batch([[name] * len(codes), codes, often], schema)
+                own = sums.setdefault(name, Sums())
+                own.add(grams(t.as_py()))
+                if len(own.codes) > MOST_SUMS:
+                    yield batch([[name] * len(own.codes), own.codes, own.often], schema)
+                    del sums[name]
+        for name, own in sums.items():
+            own.fold()
+            yield batch([[name] * len(own.codes), own.codes, own.often], schema)
 
     sums = (arrow_pass(labelled.select(F.col(lang).cast("string"), text), step, "lang string, gram bigint, n bigint")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))

@@ -44,7 +44,7 @@ SHINGLE, RATIO = 5, 1.25
 #: Documents in a block of a list that is compared block by block.
 BLOCK = 1024
 #: Ids of eight bytes that may be sent to every task, members of a lot of lists, and pairs that a task remembers.
-HELD, LOT, REMEMBERED = 1_000_000, 100_000, 500_000
+HELD, LOT, REMEMBERED = 1_000_000, 100_000, 100_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
