@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import CATALOGUE_TYPES, catalogue_frame
+from catalogue import CATALOGUE_TYPES, catalogue_frame
 from shelflight.functions import scaling
 from shelflight.operators import charts, regression
 from shelflight.roles import Roles, nan_to_null
