@@ -30,8 +30,15 @@ SHOP_ITEMS = {
 }
 
 
+#: Bytes of a page that is made of a part, about, and of the pages that one task reads.
+PAGE_BYTES, TASK_BYTES = 2048, 4 << 20
+
+
 def shop_items(spark: SparkSession, d: str) -> DataFrame:
-    return b.table(spark, d, "part").selectExpr(*b.select(SHOP_ITEMS))
+    """A part is much shorter than its page, so parts are dealt out by the size of what is made of them."""
+    parts = b.table(spark, d, "part")
+    tasks = -(-parts.count() * PAGE_BYTES // TASK_BYTES)  # the count comes from the files' footers
+    return (parts.repartition(tasks) if tasks > 1 else parts).selectExpr(*b.select(SHOP_ITEMS))
 
 
 def _opt(value: Column, *parts) -> Column:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-#: A comment, a declaration, or a tag; quoted attribute values may hold anything.
-TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
+#: A comment, a declaration, or a tag.  A quoted attribute value may hold anything; what the page leaves open goes on to
+#: its end.  Nothing that was read is read again, so a page takes time by its length, however broken it is.
+TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)"""
+                   r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))?+)*+)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 # Fixed values of HTML: elements without content, with content that is no markup, and those that a like one ends.
@@ -84,41 +87,49 @@ class Page:
     def __init__(self, source: str | None) -> None:
         self.source = source or ""
         self.elements: list[Element] = []
-        self.marks: list[tuple[int, int]] = []  # stretches that are no text
+        self.marks: list[tuple[int, int]] = []  # stretches that are no text, in order
+        self._stops: list[int] = []  # where they end
         stack: list[Element] = []
+        places: dict[str, list[int]] = {}  # of the open elements of each name
 
         def close(down_to: int, at: int) -> None:
             while len(stack) > down_to:
                 done = stack.pop()
+                places[done.name].pop()
                 done.end, done.last = at, len(self.elements) - 1
 
+        def innermost(name: str) -> int:
+            return places[name][-1] if places.get(name) else -1
+
+        def mark(start: int, stop: int) -> None:
+            self.marks.append((start, stop))
+            self._stops.append(stop)
+
         at = 0
         while (m := TOKEN.search(self.source, at)) is not None:
             start, at = m.span()
             closing, name = m[1], (m[2] or "").lower()
             if name and closing:
-                depth = next((i for i in reversed(range(len(stack))) if stack[i].name == name), None)
-                if depth is not None:
+                if (depth := innermost(name)) >= 0:
                     close(depth, start)
             elif name:
                 if name in ENDED_BY_NEXT:
-                    for i in reversed(range(len(stack))):
-                        if stack[i].name == name:
-                            close(i, start)
-                            break
-                        if stack[i].name in ENDED_BY_NEXT[name]:
-                            break
+                    like = innermost(name)
+                    if like > max(map(innermost, ENDED_BY_NEXT[name])):
+                        close(like, start)
                 element = Element(self, name, m[3], at, len(self.elements), at, len(self.elements))
                 self.elements.append(element)
                 if name in RAW:
-                    shut = re.compile(rf"</{name}\b[^>]*>", re.I).search(self.source, at)
-                    element.end, at = (shut.start(), shut.end()) if shut else (len(self.source), len(self.source))
+                    shut = re.compile(rf"</{name}\b[^>]*+(?:>|\Z)", re.I).search(self.source, at)
+                    element.end, at = shut.span() if shut else (len(self.source), len(self.source))
                 elif name not in VOID and not m[3].endswith("/"):
+                    places.setdefault(name, []).append(len(stack))
                     stack.append(element)
             if name in ("textarea", "title") and not closing:
-                self.marks += [(start, m.end()), (self.elements[-1].end, at)]
+                mark(start, m.end())
+                mark(self.elements[-1].end, at)
             else:
-                self.marks.append((start, at))
+                mark(start, at)
         close(0, len(self.source))
 
     def among(self, begin: int, end: int, tags: Sequence[Tag]) -> Iterator[Element]:
@@ -133,9 +144,8 @@ class Page:
     def texts(self, begin: int, end: int) -> Iterator[str]:
         """Decoded pieces of text between two places."""
         at = begin
-        for start, stop in self.marks:
-            if stop <= begin:
-                continue
+        for i in range(bisect_right(self._stops, begin), len(self.marks)):
+            start, stop = self.marks[i]
             if start >= end:
                 break
             if start > at:

@@ -47,9 +47,13 @@ class CardRules:
 
 
 def per_page(html: Column, read: Callable[[Page], object], kind: str) -> Column:
-    """``read`` of every page, sent to Python in Arrow batches."""
+    """``read`` of every page, sent to Python in Arrow batches.
+
+    Spark copies what it takes for a plain expression into filters and generators, and every copy would parse the
+    pages again.  So the function is declared as one that must not be copied; it runs once per page.
+    """
     ship_package(SparkSession.active())
-    return F.udf(lambda source: read(Page(source)), kind, useArrow=True)(html)
+    return F.udf(lambda source: read(Page(source)), kind, useArrow=True).asNondeterministic()(html)
 
 
 def _attribute(element: Element | None, name: str) -> str | None:

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import json
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelflight.functions import text as tx
@@ -97,6 +99,37 @@ def test_elements_with_broken_markup():
     assert page.first(Tag("br")).text == "" and page.first(Tag("td")).text == ""
 
 
+@pytest.mark.parametrize("source, elements", [
+    ("<a x='" * 170_000, 1), ("<select>" * 100_000, 100_000), ("<!" * 500_000, 0), ("<div>" * 60_000 + "</p>" * 60_000, 60_000),
+    ("<li><ul>" + "<div>" * 40_000 + "<li></li>" * 40_000, 80_002), ("<a " + "= " * 400_000, 1), ("<" * 1_000_000, 0), ("<title>" * 100_000, 1),
+])
+def test_broken_pages_take_time_by_their_length(source, elements):
+    start = time.perf_counter()
+    assert len(Page(source).elements) == elements
+    assert time.perf_counter() - start < 5
+
+
+def test_long_tables_take_time_by_their_length():
+    page = Page("<table>" + "".join(f"<tr><th>k{i}</th><td>v{i} <b>x</b></td></tr>" for i in range(20_000)) + "</table>")
+    start = time.perf_counter()
+    assert [row.first(Tag("td")).text for row in page.select(Tag("tr"))] == [f"v{i}x" for i in range(20_000)]
+    assert time.perf_counter() - start < 5
+
+
+def test_what_a_page_leaves_open_goes_to_its_end():
+    assert [e.name for e in Page("<p>a<b x='1>c<i>d").elements] == ["p", "b"]
+    assert Page("<p>a<b x='1>c<i>d").elements[0].text == "a"
+    quotes = Page("<a title=it's class=x>b</a> <a it's href=/u>c</a>")
+    assert [e.attributes.get("href") for e in quotes.elements] == [None, "/u"] and quotes.elements[0].classes == {"x"}
+
+
+def test_pages_are_parsed_once(spark):
+    df = spark.createDataFrame([(PRODUCT, "u-1", "frizider")], "html string, url string, kategorija string")
+    for found in (pages.product_pages(df, "a"), df.select(F.posexplode(pages.links(F.col("html")))), df.select(F.explode(pages.spec_map(F.col("html"))))):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+
+
 def test_character_references(spark):
     text = "&lt;b&gt; &scaron;&Zcaron;&eacute;&trade; &#0000038;&#x0000026;&#00000000000382; &amp;lt; &amp;amp; &nema; &#0;&#xD800;&#99999999999; & &x"
     want = "<b> šŽé™ &&ž &lt; &amp; &nema; \ufffd\ufffd\ufffd & &x"
