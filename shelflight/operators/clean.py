@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
@@ -14,7 +14,7 @@ from shelflight.functions.codes import ordinal_code
 from shelflight.functions.quantiles import join_groups, quantiles
 from shelflight.functions.text import normal_brand
 from shelflight.roles import Roles, nan_to_null
-from shelflight.session import settle
+from shelflight.session import settle, small_table
 
 
 @dataclass(frozen=True)
@@ -95,6 +95,41 @@ def clean(df: DataFrame, roles: Roles = Roles(), rules: CleanRules = CleanRules(
             .withColumn(roles.grade_code, ordinal_code(F.col(roles.grade), rules.grades)))
 
 
+def clean_with_report(df: DataFrame, path: str, roles: Roles = Roles(), rules: CleanRules = CleanRules()) -> DataFrame:
+    """Write the clean table to ``path`` and tell in one row how many rows each rule dropped.
+
+    A row is counted for the first rule that it breaks: ``bez_obaveznih`` (a required field is missing), ``bez_cene`` (no
+    positive price), ``bez_podataka`` (too few technical values), ``ponovljeni`` (a later offer of the same address),
+    ``van_granica`` (outliers); ``before``, ``after``, ``dropped``, ``dropped_pct`` and ``too_few`` are those of
+    ``cleaning_report``.  The counts are observed while the rows pass, so the input is scanned once for the table and
+    the report.  Spark counts the rows of a stage again that it repeats after a lost executor; the number of input rows,
+    which the footers of a stored table tell, shows that, and the flags are then counted by a scan of their own.
+    """
+    flagged = (nan_to_null(df).withColumn("_named", reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in roles.required]))
+               .withColumn("_priced", F.coalesce((F.col(roles.price) > 0) & ~F.isnan(F.col(roles.price).cast("double")), F.lit(False)))
+               .transform(with_normal_brand, roles.brand)
+               .transform(clamp_to_null, rules.ranges))
+    named, priced, filled = F.col("_named"), F.col("_priced"), filled_count(roles.optional) >= rules.min_filled
+    counts = [F.count(F.lit(1)).alias("before"), F.count_if(~named).alias("bez_obaveznih"), F.count_if(named & ~priced).alias("bez_cene"),
+              F.count_if(named & priced & ~filled).alias("bez_podataka")]
+    seen = Observation()
+    passed = flagged.observe(seen, *counts).where(named & priced & filled).drop("_named", "_priced")
+    latest = settle(keep_latest(passed, roles.url, [roles.fetched_at, roles.id]), "latest")
+    (latest.transform(tukey_filter, roles.price, rules.min_price)
+     .withColumn(roles.grade_code, ordinal_code(F.col(roles.grade), rules.grades)).write.mode("overwrite").parquet(path))
+    n = df.count()
+    # Spark leaves out a plan without rows, and then observes nothing.
+    told = seen.get if n else dict.fromkeys(("before", "bez_obaveznih", "bez_cene", "bez_podataka"), 0)
+    if told["before"] != n:
+        told = flagged.agg(*counts).first().asDict()
+    after, once = df.sparkSession.read.parquet(path).count(), latest.count()
+    row = (told["before"], after, told["before"] - after, 100.0 * (told["before"] - after) / max(told["before"], 1), after < rules.min_rows,
+           told["bez_obaveznih"], told["bez_cene"], told["bez_podataka"],
+           told["before"] - told["bez_obaveznih"] - told["bez_cene"] - told["bez_podataka"] - once, once - after)
+    return small_table(df.sparkSession, [row], "before bigint, after bigint, dropped bigint, dropped_pct double, too_few boolean, "
+                       "bez_obaveznih bigint, bez_cene bigint, bez_podataka bigint, ponovljeni bigint, van_granica bigint")
+
+
 def cleaning_report(before: DataFrame, after: DataFrame, min_rows: int = fixed.MIN_CLEAN_ROWS) -> DataFrame:
     """Row counts before and after, what was dropped, and whether too few rows are left."""
     n_before = before.agg(F.count(F.lit(1)).alias("n")).scalar()

@@ -9,6 +9,7 @@ from shelflight.functions.codes import ordinal_code
 from shelflight.operators import clean
 from shelflight.plans import bindings as b
 from shelflight.roles import Roles
+from shelflight.session import work_path
 
 RANGES = {"kapacitet_kg": (2, 10), "zapremina_l": (100, 500), "snaga_w": (500, 4000), "dijagonala_inch": (24, 60)}
 PRIORITIES = ["5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"]
@@ -42,6 +43,8 @@ QUERIES = {
         "o_orderkey", "oznaka", ordinal_code(F.col("oznaka"), PRIORITIES).cast("double").alias("kod")),
     "c9_cleaning_report": lambda s, d: b.rounded(
         clean.cleaning_report(b.raw_offers(s, d), _cleaned(s, d)), 6, "dropped_pct"),
+    "c9_dropped_by_rule": lambda s, d: b.rounded(clean.clean_with_report(
+        b.raw_offers(s, d), work_path(s, "clean"), Roles(), RULES), 6, "dropped_pct"),
     "c10_clean": lambda s, d: b.plain_nulls(_cleaned(s, d)),
 }
 
@@ -83,5 +86,12 @@ WHERE value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""",
 n AS (SELECT (SELECT count(*) FROM raw_offers) AS before, (SELECT count(*) FROM cleaned) AS after)
 SELECT before, after, before - after AS dropped, round(100.0 * (before - after) / before, 6) AS dropped_pct,
        after < {fixed.MIN_CLEAN_ROWS} AS too_few FROM n""",
+    "c9_dropped_by_rule": f"""WITH {_CLEAN},
+r AS (SELECT naziv IS NOT NULL AND brend IS NOT NULL AND kategorija IS NOT NULL AND cena IS NOT NULL AS named, coalesce(cena > 0, false) AS priced FROM raw_offers),
+n AS (SELECT count(*) AS before, count(*) FILTER (NOT named) AS bez_obaveznih, count(*) FILTER (named AND NOT priced) AS bez_cene FROM r),
+m AS (SELECT (SELECT count(*) FROM conformed) AS c, (SELECT count(*) FROM conformed WHERE {_FILLED} >= 1) AS f,
+      (SELECT count(*) FROM latest) AS l, (SELECT count(*) FROM cleaned) AS after)
+SELECT before, after, before - after AS dropped, round(100.0 * (before - after) / before, 6) AS dropped_pct, after < {fixed.MIN_CLEAN_ROWS} AS too_few,
+       bez_obaveznih, bez_cene, c - f AS bez_podataka, f - l AS ponovljeni, l - after AS van_granica FROM n, m""",
     "c10_clean": f"WITH {_CLEAN} SELECT * REPLACE ({b.FLAG_SQL}, {b.CODE_SQL}) FROM cleaned",
 }

@@ -11,7 +11,7 @@ from shelflight import fixed_values as fixed
 from shelflight.functions import text as tx
 from shelflight.operators import merge, reports
 from shelflight.plans import bindings as b
-from shelflight.session import shared_folder, small_table
+from shelflight.session import settle, shared_folder, small_table
 from shelflight.sources import collect, pages, tables
 from shelflight.streaming.upsert import UpsertTable
 
@@ -25,6 +25,19 @@ def observations(spark: SparkSession, d: str) -> DataFrame:
     return b.table(spark, d, "events").selectExpr(*OBSERVATIONS)
 
 
+#: The given properties, beside nested ones, a list, a number written as text, and text that is no JSON.
+NESTED = """CASE event_id % 5 WHEN 0 THEN props WHEN 1 THEN '{"k": "' || user_id || '", "mera": {"v": ' || event_id % 50 || '.5, "t": "' || event_type || '"}}'
+WHEN 2 THEN '{"mera": {"t": null, "v": true}, "niz": [' || user_id || ', "x"]}' WHEN 3 THEN '{"k": ' ELSE '{"prazno": {}}' END"""
+
+
+def nested_props(spark: SparkSession, d: str) -> DataFrame:
+    return b.table(spark, d, "events").selectExpr("event_id", f"{NESTED} AS specs")
+
+
+def variant_specs(spark: SparkSession, d: str) -> DataFrame:
+    return tables.variant_specs(nested_props(spark, d), "event_id", "specs")
+
+
 def upsert_by_key(spark: SparkSession, d: str) -> DataFrame:
     return merge.upsert(observations(spark, d), "user_id", ["ts", "event_id"], LATEST)
 
@@ -45,6 +58,28 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     return target.read(spark)
 
 
+def stream_repeated(spark: SparkSession, d: str) -> DataFrame:
+    """The observations as a stream that delivers every record twice."""
+    folder = f"{shared_folder(spark)}/shelflight/stream-{uuid4().hex}"
+    target = UpsertTable(f"{folder}/table", "user_id", ["ts", "event_id"], LATEST)
+    stream = spark.readStream.schema(b.table(spark, d, "events").schema).parquet(f"{d}/events*.parquet").selectExpr(*OBSERVATIONS)
+    twice = stream.withColumn("_again", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_again")
+    target.start_once(twice.withColumn("ts", F.col("ts").cast("timestamp")), f"{folder}/progress", "ts", ["event_id"], "1 day").awaitTermination()
+    return target.read(spark).withColumn("ts", F.col("ts").cast(b.table(spark, d, "events").schema["ts"].dataType))
+
+
+def upsert_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """Three batches, the later times not always in the later batch, into a table in buckets of the user."""
+    rows = observations(spark, d)
+    table = merge.BucketedTable(spark, f"kupci_{uuid4().hex}", "user_id", ["ts", "event_id"], [*LATEST, "event_id"], buckets=16)
+    try:
+        for part in range(3):
+            table.upsert(rows.where(F.col("event_id") % 3 == part))
+        return settle(table.read(), "bucketed")
+    finally:
+        table.drop()
+
+
 def json_map(spark: SparkSession, d: str) -> DataFrame:
     events = b.table(spark, d, "events").selectExpr(
         "event_id", "CASE WHEN event_id % 9 = 0 THEN NULL ELSE props END AS sve_karakteristike")
@@ -149,8 +184,14 @@ QUERIES = {
     "a1_upsert_by_key": upsert_by_key,
     "a1_upsert_offer_batch": upsert_offer_batch,
     "a2_stream_upsert": stream_upsert,
+    "a2_stream_repeated": stream_repeated,
+    "a1_upsert_bucketed": upsert_bucketed,
     "a3_full_load": lambda s, d: tables.load(s, f"{d}/part.parquet", b.table(s, d, "part").schema),
     "a4_json_map": json_map,
+    "a4_variant_specs": variant_specs,
+    "a4_variant_schema": lambda s, d: tables.variant_schema(nested_props(s, d), "specs"),
+    "a4_typed_specs": lambda s, d: tables.typed_specs(variant_specs(s, d), "event_id", {"k": "int", "mera.v": "double", "mera.t": "string"})
+    .withColumnsRenamed({"mera.v": "v", "mera.t": "t"}),
     "a5_reload_clean": reload_clean,
     "a6_row_count": lambda s, d: tables.row_count(b.table(s, d, "lineitem")),
     "a7_report_bundle": report_bundle,
@@ -175,6 +216,15 @@ _VISITS = f"""v AS (SELECT *, list_position({LISTING}, kategorija)::BIGINT AS re
 SELECT regexp_extract(url, '{DOMAIN}', 1) AS izvor, page_id // 5 AS strana, regexp_extract(html, '{LANG}', 1) AS kategorija,
 length(html) AS duzina FROM pages))"""
 
+_VARIANT = """SELECT event_id, 'k' AS putanja, 'broj' AS tip, json_extract_string(props, '$.k') AS vrednost FROM events WHERE event_id % 5 = 0
+UNION ALL SELECT event_id, 'k', 'tekst', user_id::VARCHAR FROM events WHERE event_id % 5 = 1
+UNION ALL SELECT event_id, 'mera.v', 'broj', (event_id % 50)::VARCHAR || '.5' FROM events WHERE event_id % 5 = 1
+UNION ALL SELECT event_id, 'mera.t', 'tekst', event_type FROM events WHERE event_id % 5 = 1
+UNION ALL SELECT event_id, 'mera.t', 'prazno', NULL FROM events WHERE event_id % 5 = 2
+UNION ALL SELECT event_id, 'mera.v', 'logicki', 'true' FROM events WHERE event_id % 5 = 2
+UNION ALL SELECT event_id, 'niz[0]', 'broj', user_id::VARCHAR FROM events WHERE event_id % 5 = 2
+UNION ALL SELECT event_id, 'niz[1]', 'tekst', 'x' FROM events WHERE event_id % 5 = 2"""
+
 SQL = {
     "a1_upsert_by_key": _UPSERT,
     "a1_upsert_offer_batch": f"""
@@ -186,10 +236,16 @@ SELECT f.id, f.url, f.naziv, f.brend, f.kategorija, l.cena, CAST(l.na_lageru AS
        f.kapacitet_kg, f.zapremina_l, f.snaga_w, f.izvor, l.datum_preuzimanja
 FROM r f JOIN r l ON f.url = l.url WHERE f.up = 1 AND l.down = 1""",
     "a2_stream_upsert": _UPSERT,
+    "a2_stream_repeated": _UPSERT,
+    "a1_upsert_bucketed": _UPSERT.replace("SELECT f.event_id,", "SELECT l.event_id,"),
     "a3_full_load": "SELECT * FROM part",
     "a4_json_map": """
 SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 0 ELSE len(json_keys(props)) END AS kljuceva,
        CASE WHEN event_id % 9 = 0 THEN NULL ELSE json_extract_string(props, '$.k') END AS k FROM events""",
+    "a4_variant_specs": _VARIANT,
+    "a4_typed_specs": f"""WITH s AS ({_VARIANT}) SELECT event_id, max(try_cast(vrednost AS INT)) FILTER (putanja = 'k') AS k,
+max(try_cast(vrednost AS DOUBLE)) FILTER (putanja = 'mera.v') AS v, max(vrednost) FILTER (putanja = 'mera.t') AS t
+FROM s WHERE putanja IN ('k', 'mera.v', 'mera.t') GROUP BY event_id""",
     "a5_reload_clean": f"""
 WITH {b.CATALOGUE_SQL}
 SELECT id AS primarni_id, izvor, naziv, brend, kategorija, cena, {b.FLAG_SQL}, energetska_klasa, {b.CODE_SQL},

@@ -40,6 +40,44 @@ def with_specs_map(df: DataFrame, column: str = Roles().specs) -> DataFrame:
     return df.withColumn(column, specs_map(F.col(column)))
 
 
+def variant_specs(df: DataFrame, key: str, column: str) -> DataFrame:
+    """``key, putanja, tip, vrednost``: every value in a column of JSON texts, with its path and type as found.
+
+    Nothing is listed beforehand: the text becomes a variant, whose objects and lists are taken apart level by level until
+    only plain values are left.  ``putanja`` joins the names by dots, places in a list are ``[i]``; ``tip`` is ``tekst``, ``broj``,
+    ``logicki`` or ``prazno`` (a JSON null, whose value is NULL).  A null, empty or broken text and an empty object or list
+    give no row; a plain value at the top has an empty path.
+    """
+    spark = df.sparkSession
+    rows = df.select(F.col(key).alias("_key"), F.lit("").alias("putanja"), F.try_parse_json(F.col(column).cast("string")).alias("v"))
+    rows = rows.where("v IS NOT NULL")
+    kind = "CASE WHEN schema_of_variant(v) LIKE 'OBJECT%' THEN 'o' WHEN schema_of_variant(v) LIKE 'ARRAY%' THEN 'a' END"
+    found = []
+    while True:
+        rows = rows.withColumn("_kind", F.expr(kind))
+        found.append(rows.where("_kind IS NULL").select("_key", "putanja", "v"))
+        deeper = rows.where("_kind IS NOT NULL")
+        if deeper.isEmpty():
+            break
+        rows = spark.sql("""SELECT _key, v2.value AS v, CASE WHEN v2.key IS NULL THEN putanja || '[' || v2.pos || ']'
+                                   WHEN putanja = '' THEN v2.key ELSE putanja || '.' || v2.key END AS putanja
+                            FROM {deeper}, LATERAL variant_explode(v) AS v2""", deeper=deeper)
+    tip = F.expr("""CASE schema_of_variant(v) WHEN 'STRING' THEN 'tekst' WHEN 'BOOLEAN' THEN 'logicki' WHEN 'VOID' THEN 'prazno' ELSE 'broj' END""")
+    values = [part.select(F.col("_key").alias(key), "putanja", tip.alias("tip"), F.try_variant_get("v", "$", "string").alias("vrednost")) for part in found]
+    return reduce(DataFrame.unionByName, values)
+
+
+def variant_schema(df: DataFrame, column: str) -> DataFrame:
+    """``sema``: the type that holds all JSON texts of a column, merged on the map side."""
+    return df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(column).cast("string"))).alias("sema"))
+
+
+def typed_specs(specs: DataFrame, key: str, types: Mapping[str, str]) -> DataFrame:
+    """One row per ``key`` with a typed column per path of ``variant_specs``; what does not fit the type is NULL."""
+    cells = [F.max(F.when(F.col("putanja") == path, F.col("vrednost"))).try_cast(kind).alias(path) for path, kind in types.items()]
+    return specs.where(F.col("putanja").isin(list(types))).groupBy(key).agg(*cells)
+
+
 def to_clean_schema(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """Clean offers in the stored layout: NaN as NULL, specs as JSON text, back-reference to the raw id."""
     df = nan_to_null(df)

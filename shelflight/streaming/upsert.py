@@ -41,6 +41,15 @@ class UpsertTable:
         writer = stream.writeStream.foreachBatch(self.write_batch).option("checkpointLocation", checkpoint)
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
+    def start_once(self, stream: DataFrame, checkpoint: str, time: str, same: Sequence[str], late: str, **trigger) -> StreamingQuery:
+        """``start`` for a source that delivers records again and late.
+
+        Records that agree in ``same`` count once, and one that is more than ``late`` behind the newest time of the batches
+        before is left out.  Spark's state holds the keys of the last ``late`` alone, however long the stream runs.
+        """
+        once = stream.withWatermark(time, late).where(F.col(time).isNotNull()).dropDuplicatesWithinWatermark(list(same))
+        return self.start(once, checkpoint, **trigger)
+
     def _folders(self, spark: SparkSession, kind: str) -> dict[int, str]:
         """Committed folders of a kind by their number."""
         root = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}")

@@ -89,6 +89,20 @@ def test_cleaning_report(spark):
     assert (report.before, report.after, report.dropped, report.dropped_pct, report.too_few) == (10, 9, 1, 10.0, False)
 
 
+def test_rows_dropped_by_each_rule(spark, tmp_path):
+    rows = offers(30, cena={0: -1.0, 1: None, 2: float("nan"), 3: 9e9, 4: 0.0}, naziv={1: None, 5: None}, brend={0: None},
+                  kapacitet_kg={6: 1e9, 7: None}, energetska_klasa={6: None}, snaga_w={6: None, 7: -4.0}, url={8: "u", 9: "u", 10: "u"})
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    r = clean.clean_with_report(df, f"{tmp_path}/c", rules=clean.CleanRules(min_filled=1, min_rows=20)).first()
+    # Rows 0, 1, 2 (not a number is missing) and 5 lack a field, 4 has no price, 6 no technical value left, 8 and 9 came before 10.
+    assert (r.bez_obaveznih, r.bez_cene, r.bez_podataka, r.ponovljeni, r.van_granica) == (4, 1, 1, 2, 1)
+    assert (r.before, r.after, r.dropped, r.dropped_pct, r.too_few) == (30, 21, 9, 30.0, False)
+    kept = clean.clean(df, rules=clean.CleanRules(min_filled=1))
+    assert sorted(map(repr, spark.read.parquet(f"{tmp_path}/c").collect())) == sorted(map(repr, kept.collect()))
+    none = clean.clean_with_report(df.where("false"), f"{tmp_path}/n").first()
+    assert tuple(none) == (0, 0, 0, 0.0, True, 0, 0, 0, 0, 0)
+
+
 @pytest.mark.parametrize("by", [[], ["g"]])
 @pytest.mark.parametrize("accuracy", [10, 200, 20_000])
 def test_quantiles_are_exact(spark, by, accuracy):
@@ -192,6 +206,63 @@ def test_specs_map(spark):
     assert [r[0] for r in tables.with_specs_map(parsed).collect()] == [{"a": "1", "b": "2"}, {}]
 
 
+def test_variant_specs(spark):
+    texts = ['{"a": 1, "b": {"c": [true, null, {"d": "x"}], "e": 2.50}}', '"top"', "17", "null", "{}", "[]", "{broken", "", None, '{"a": "one"}']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, specs string")
+    got = sorted((tuple(r) for r in tables.variant_specs(df, "id", "specs").collect()), key=repr)
+    assert got == sorted([(0, "a", "broj", "1"), (0, "b.c[0]", "logicki", "true"), (0, "b.c[1]", "prazno", None), (0, "b.c[2].d", "tekst", "x"),
+                          (0, "b.e", "broj", "2.5"), (1, "", "tekst", "top"), (2, "", "broj", "17"), (3, "", "prazno", None), (9, "a", "tekst", "one")], key=repr)
+    typed = tables.typed_specs(tables.variant_specs(df, "id", "specs"), "id", {"a": "int", "b.e": "double"})
+    assert sorted(map(tuple, typed.collect())) == [(0, 1, 2.5), (9, None, None)]
+    assert tables.variant_specs(df.where("false"), "id", "specs").count() == 0
+
+
+def test_schema_of_texts(spark):
+    df = spark.createDataFrame([('{"a": 1}',), ('{"a": 2.5, "b": ["x"]}',), (None,), ("{",)], "specs string")
+    assert tables.variant_schema(df, "specs").first()[0] == "OBJECT<a: DECIMAL(21,1), b: ARRAY<STRING>>"
+
+
+def test_bucketed_upsert_shuffles_the_batch_alone(spark):
+    rows = [(k, k % 7, float(v)) for v in range(3) for k in range(50)]
+    first = spark.createDataFrame(rows, "k int, t int, v double").withColumn("o", F.col("v"))
+    later = spark.createDataFrame([(k, 99, -1.0, 5.0) for k in range(40, 60)], "k int, t int, v double, o double")
+    table = merge.BucketedTable(spark, "upsert_test", "k", ["o"], ["v", "o"], buckets=4)
+    table.drop()
+    try:
+        table.upsert(first)
+        merged = table.merged(later)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        before_scan = plan[:plan.index("upsert_test")].splitlines()
+        stored = [x for x in before_scan if x.strip()]
+        # The stored side goes from its scan to the join without an exchange; only the batch is shuffled.
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan and stored
+        table.upsert(later)
+        want = merge.upsert(first.unionByName(later), "k", ["o"], ["v", "o"])
+        assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, want.collect()))
+        table.upsert(later.where("false"))
+        assert table.read().count() == 60
+    finally:
+        table.drop()
+
+
+def test_repeated_and_late_records(spark, tmp_path):
+    def rows(*minutes):
+        return [(k, "first", DAY + dt.timedelta(minutes=m), float(m)) for k, m in minutes]
+
+    schema = "k int, t string, ts timestamp, v double"
+    table = UpsertTable(f"{tmp_path}/t", "k", ["ts", "v"], ["v", "ts"])
+    for n, batch in enumerate([rows((1, 0), (2, 1), (1, 0)), rows((1, 0), (3, 200)), rows((1, 3), (4, 201), (2, 150))]):
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 100).parquet(f"{tmp_path}/in")
+        query = table.start_once(stream, f"{tmp_path}/check", "ts", ["k", "ts"], "1 hour")
+        query.awaitTermination()
+        state = query.lastProgress["stateOperators"]
+        assert not state or state[0]["numRowsTotal"] <= 5
+    got = {r["k"]: r["v"] for r in table.read(spark).collect()}
+    # Minute 3 came when minute 200 had been seen, more than an hour later, and is left out; minute 150 is in time.
+    assert got == {1: 0.0, 2: 150.0, 3: 200.0, 4: 201.0}
+
+
 def test_clean_table_reload(spark, tmp_path, items):
     specs = items.withColumn("sve_karakteristike", F.create_map(F.lit("boja"), F.lit("bela"))).withColumn(
         "snaga_w", F.coalesce("snaga_w", F.lit(float("nan"))))
