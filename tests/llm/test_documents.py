@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelflight.llm import decontaminate, language_id, parity_join, shards, suffix_dedup
-from shelflight.llm.common import new_path
+from shelflight.llm.common import new_path, stored
 
 
 def plain(df, *columns):
@@ -236,7 +236,7 @@ def test_equal_rows_that_are_split_differently_when_read_again(spark, tmp_path,
     whole = shards.directory
 
     def and_split_anew(sized, limit):
-        found = whole(sized, limit).localCheckpoint()
+        found = stored(whole(sized, limit), "directory")
         spark.conf.set("spark.sql.files.minPartitionNum", "1")
         return found
 
