@@ -24,8 +24,8 @@ def many(spark, make, values, type="string"):
 
 
 def test_number_in(spark):
-    texts = ["86 W", "8,5 kg", "12.000", "nema", None, "", "8.5", "652 l", "19.990RSD"]
-    assert many(spark, tx.number_in, texts) == [86.0, 8.5, 12000.0, None, None, None, 85.0, 652.0, 19990.0]
+    texts = ["oko 47 kom", "3,25 m", "7.400", "bez broja", None, "", "6.1", "918 g", "5.310din"]
+    assert many(spark, tx.number_in, texts) == [47.0, 3.25, 7400.0, None, None, None, 61.0, 918.0, 5310.0]
 
 
 def test_ordinal_code(spark):
