@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelflight import fixed_values as fixed
@@ -53,6 +53,32 @@ def scatter(df: DataFrame, x: str, categories: Sequence[str], roles: Roles = Rol
                          (F.col(roles.price).cast("double") / 1000).alias("y"))
 
 
+def grid_pyramid(points: DataFrame, x: str, y: str, levels: int = 6) -> DataFrame:
+    """Points counted on square grids ``(nivo, kx, ky, broj)``: level 0 is one cell, each further one halves both sides.
+
+    The rows are counted once, on the finest grid; the coarser cells are sums of those at most ``4**levels`` counts, so
+    every zoom of a chart is served by one table.  The grid spans the values that occur, the last cell includes its
+    end; a side without width is one unit wide around its value.  Points without a number on either side do not count.
+    """
+    p = points.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    p = p.where(F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y"))
+    ends = p.agg(*[f(c).alias(f"{k}{c}") for c in ("_x", "_y") for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    side = 1 << levels
+
+    def cell(c: str) -> Column:
+        low, high = ends[f"lo{c}"], ends[f"hi{c}"]
+        if low == high and low is not None:
+            low, high = low - 0.5, high + 0.5
+        part = (F.col(c) - F.lit(low)) / (F.lit(high) - F.lit(low))
+        return F.least(F.floor(part * side), F.lit(side - 1)).cast("int")
+
+    finest = p.groupBy(cell("_x").alias("_kx"), cell("_y").alias("_ky")).agg(F.count(F.lit(1)).alias("_n"))
+    zoomed = finest.select("*", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("nivo"))
+    over = F.lit(levels) - F.col("nivo")
+    return zoomed.groupBy("nivo", F.call_function("shiftright", F.col("_kx"), over).alias("kx"),
+                          F.call_function("shiftright", F.col("_ky"), over).alias("ky")).agg(F.sum("_n").alias("broj"))
+
+
 def box_stats(df: DataFrame, roles: Roles = Roles(), least: int = 10) -> DataFrame:
     """Quartiles, whisker ends and outlier counts of the price in thousands per category.
 

@@ -9,8 +9,9 @@ model: the driver holds one weight per level, and one count per pair of levels t
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -96,6 +97,9 @@ def design_matrix(df: DataFrame, design: Design, id: str = Roles().id) -> DataFr
 
 # -- descent ------------------------------------------------------------------
 
+MODEL_SCHEMA = "design string, names array<string>, weights array<double>, bias double, costs array<double>"
+
+
 @dataclass
 class LinearModel:
     """Weights by feature name, bias, and the cost after every step."""
@@ -109,6 +113,23 @@ class LinearModel:
         rows = [(i, float(c)) for i, c in enumerate(self.costs)]
         return small_table(spark, rows, "iteracija int, trosak double")
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the fitted preparation, weights and costs as one row below ``path``, replacing what is there."""
+        row = (json.dumps(asdict(self.design)), list(self.weights), list(self.weights.values()), self.bias, self.costs)
+        small_table(spark, [row], MODEL_SCHEMA).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LinearModel:
+        """The model that ``save`` wrote; it predicts as the one that was trained."""
+        row = spark.read.schema(MODEL_SCHEMA).parquet(path).first()
+        if row is None:
+            raise ValueError(f"no model in {path}")
+        kept = json.loads(row["design"])
+        for name in ("numeric", "labels"):
+            kept[name] = tuple(kept[name])
+        kept["levels"] = {c: tuple(v) for c, v in kept["levels"].items()}
+        return cls(Design(**kept), dict(zip(row["names"], row["weights"])), row["bias"], list(row["costs"]))
+
     def predict(self, df: DataFrame, column: str = "predikcija", unseen: float | None = None) -> DataFrame:
         """Add the prediction; a label not seen in training weighs ``unseen``, or makes it NULL.
 

@@ -23,6 +23,30 @@ def overview(df: DataFrame, r: Roles = Roles(), exact: bool = True) -> DataFrame
         F.coalesce(F.avg(F.col(r.grade_code).isNotNull().cast("int")) * 100, F.lit(0.0)).alias("procenat_sa_klasom"))
 
 
+def overview_parts(df: DataFrame, load: str, r: Roles = Roles(), bits: int = 14) -> DataFrame:
+    """What ``overview`` needs of each load, one row per value of ``load``, to be stored and merged later.
+
+    Distinct values are HLL sketches of ``2**bits`` places, a bounded size whatever the load holds: their counts are
+    exact while values are few, and off by about ``1.04 / sqrt(2**bits)`` beyond.  A missing load is one of its own.
+    """
+    return df.groupBy(F.col(load).alias("ucitavanje")).agg(
+        F.count(F.lit(1)).alias("redova"), F.count(r.grade_code).alias("sa_klasom"),
+        F.hll_sketch_agg(F.col(r.category), bits).alias("kategorije"), F.hll_sketch_agg(F.col(r.brand), bits).alias("brendovi"),
+        F.min(r.price).alias("min_cena"), F.max(r.price).alias("max_cena"))
+
+
+def overview_of_parts(parts: DataFrame) -> DataFrame:
+    """``overview`` of all loads from their stored parts; the rows of the loads are not read again."""
+    def merged(sketch: str) -> Column:
+        return F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(sketch)), F.lit(0).cast("long"))
+
+    share = F.lit(100.0) * F.sum("sa_klasom") / F.sum("redova")
+    return parts.agg(
+        F.coalesce(F.sum("redova"), F.lit(0).cast("long")).alias("ukupno"), merged("kategorije").alias("kategorija"),
+        merged("brendovi").alias("brendova"), F.min("min_cena").alias("min_cena"), F.max("max_cena").alias("max_cena"),
+        F.coalesce(share, F.lit(0.0)).alias("procenat_sa_klasom"))
+
+
 def largest_categories(df: DataFrame, r: Roles = Roles(), n: int = 15) -> DataFrame:
     """The ``n`` largest categories, smallest of them first."""
     return value_counts(df, r.category, n).orderBy("broj", F.desc(r.category))

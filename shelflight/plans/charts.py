@@ -61,6 +61,7 @@ QUERIES = {
     "e3_price_bands": lambda s, d: _orders(s, d).select("o_orderkey", price_band(F.col("cena")).alias("opseg")),
     "e4_band_histogram": lambda s, d: charts.band_histogram(_orders(s, d), bands=EXTENDED_BANDS),
     "e5_scatter": lambda s, d: charts.scatter(b.catalogue(s, d), "zapremina_l", ["ECONOMY", "LARGE", "PROMO"]),
+    "e5_grid_pyramid": lambda s, d: charts.grid_pyramid(b.table(s, d, "lineitem"), "l_quantity", "l_extendedprice"),
     "e6_scatter_one_category": lambda s, d: charts.scatter(b.catalogue(s, d), "dijagonala_inch", ["PROMO"]),
     "e7_box_stats": _boxes,
     "e8_learning_curve": _curve,
@@ -116,6 +117,11 @@ n AS (SELECT {band_sql('cena', EXTENDED_BANDS)} AS opseg, count(*) AS broj FROM
 SELECT redosled, a.opseg, coalesce(broj, 0) AS broj FROM a LEFT JOIN n ON a.opseg = n.opseg""",
     "e5_scatter": _CAT + """SELECT id, kategorija, zapremina_l AS x, cena / 1000 AS y FROM catalogue
 WHERE kategorija IN ('ECONOMY', 'LARGE', 'PROMO') AND zapremina_l IS NOT NULL AND cena IS NOT NULL""",
+    "e5_grid_pyramid": """WITH p AS (SELECT l_quantity::DOUBLE AS x, l_extendedprice::DOUBLE AS y FROM lineitem),
+e AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM p),
+n AS (SELECT unnest(range(0, 7)) AS nivo), s AS (SELECT nivo, 1 << nivo AS m FROM n)
+SELECT nivo, least(floor((x - x0) / (x1 - x0) * m), m - 1)::INT AS kx, least(floor((y - y0) / (y1 - y0) * m), m - 1)::INT AS ky,
+count(*) AS broj FROM p, e, s GROUP BY ALL""",
     "e6_scatter_one_category": _CAT + """SELECT id, kategorija, dijagonala_inch AS x, cena / 1000 AS y FROM catalogue
 WHERE kategorija = 'PROMO' AND dijagonala_inch IS NOT NULL AND cena IS NOT NULL""",
     "e7_box_stats": f"""WITH y AS (SELECT l_returnflag, y / 1000 AS y FROM

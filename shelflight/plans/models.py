@@ -11,7 +11,7 @@ from shelflight.functions import scaling
 from shelflight.operators import regression
 from shelflight.plans import bindings as b
 from shelflight.roles import Roles
-from shelflight.session import small_table
+from shelflight.session import small_table, work_path
 
 #: Line items as model rows; the discount is sometimes missing, so that it is imputed.
 LINES = {
@@ -96,10 +96,14 @@ def _scored(s, d):
     return b.rounded(points, 5, "stvarno", "predvidjeno", "osa_od", "osa_do")
 
 
-def _estimate(s, d):
-    """The sample inputs, typed in for the first brand of every category."""
+def _estimate(s, d, stored=False):
+    """The sample inputs, typed in for the first brand of every category; ``stored`` saves and loads the model first."""
     rows = b.catalogue(s, d)
     model = regression.train(rows, steps=500).model
+    if stored:
+        path = work_path(s, "model")
+        model.save(s, path)
+        model = regression.LinearModel.load(s, path)
     known = rows.groupBy("kategorija").agg(F.lower(F.min("brend")).alias("brend"))
     typed = F.from_json(F.lit(json.dumps(fixed.ESTIMATE_SAMPLES)), "array<map<string,string>>")
     wanted = known.withColumn("uzorak", F.explode(typed))
@@ -122,6 +126,7 @@ QUERIES = {
     "g9_train": _train,
     "g9_train_scaled_on_train": lambda s, d: _train(s, d, scale_on_train=True),
     "g10_estimate": _estimate,
+    "g10_estimate_stored": lambda s, d: _estimate(s, d, stored=True),
     "e9_predicted_on_test": _scored,
 }
 
@@ -243,3 +248,4 @@ x AS (SELECT *, list_concat([{', '.join('z_' + c for c in _TECH)}], list_transfo
 SELECT kategorija, oznaka AS brend, {', '.join(f'TRY_CAST({c} AS DOUBLE) AS {c}' for c in _TECH)}, round(list_dot_product(v, w), 3) AS predikcija
 FROM x, last_""",
 }
+SQL["g10_estimate_stored"] = SQL["g10_estimate"]

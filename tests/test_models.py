@@ -183,3 +183,21 @@ def test_unseen_label(items):
 def test_scaling_ignores_nan(spark):
     got = column(scaling.min_max(series(spark, [0.0, float("nan"), 4.0, 2.0]), ["x"]), "x")
     assert got == [0.0, None, 1.0, 0.5]
+
+
+def test_saved_model_predicts_the_same(items, spark, tmp_path):
+    design = regression.catalogue_design(items)
+    for steps in (5, 20):  # the second replaces the first
+        model = regression.fit(items, design, steps=steps)
+        model.save(spark, str(tmp_path / "model"))
+    again = regression.LinearModel.load(spark, str(tmp_path / "model"))
+    assert (again.weights, again.bias, again.costs) == (model.weights, model.bias, model.costs)
+    assert again.design == model.design
+    both = [[r[0] for r in m.predict(items).orderBy("id").select("predikcija").collect()] for m in (again, model)]
+    assert both[0] == both[1]
+
+
+def test_no_saved_model(spark, tmp_path):
+    spark.createDataFrame([], regression.MODEL_SCHEMA).write.parquet(str(tmp_path / "none"))
+    with pytest.raises(ValueError):
+        regression.LinearModel.load(spark, str(tmp_path / "none"))

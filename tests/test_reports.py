@@ -182,3 +182,42 @@ def test_summary_of_pages_without_lang_or_html(spark, tmp_path):
     for name in ("a12_collection_summary", "a12_source_totals"):
         assert oracle.compare(ingest.QUERIES[name](spark, str(tmp_path)), ingest.SQL[name], con) is None
     con.close()
+
+
+def test_overview_from_parts(spark, items):
+    """Parts of loads, stored one after another, give the overview of all rows."""
+    whole = views.overview(items).first()
+    loads = items.withColumn("load", F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b"))
+    parts = [views.overview_parts(loads.where(F.coalesce(F.col("load"), F.lit("-")) == k), "load") for k in ("a", "b", "-")]
+    got = views.overview_of_parts(parts[0].unionByName(parts[1]).unionByName(parts[2])).first()
+    assert got.asDict() == pytest.approx(whole.asDict())
+    nothing = views.overview_of_parts(views.overview_parts(loads.where("false"), "load")).first()
+    assert (nothing["ukupno"], nothing["brendova"], nothing["min_cena"], nothing["procenat_sa_klasom"]) == (0, 0, None, 0.0)
+
+
+def test_overview_from_parts_is_near_for_many_values(spark):
+    rows = spark.range(60_000).selectExpr("id", "concat('b', id % 50000) AS brend", "'c' AS kategorija", "1.0 AS cena",
+                                          "1.0 AS energetska_klasa_num", "id % 4 AS load")
+    got = views.overview_of_parts(views.overview_parts(rows, "load")).first()
+    assert got["ukupno"] == 60_000 and abs(got["brendova"] - 50_000) < 50_000 * 4 * 1.04 / 128
+
+
+def test_grid_pyramid(spark):
+    rng = np.random.default_rng(3)
+    rows = [(float(x), float(y)) for x, y in rng.normal(size=(500, 2))] + [(None, 1.0), (1.0, None), (float("nan"), 0.0)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    got = {(r["nivo"], r["kx"], r["ky"]): r["broj"] for r in charts.grid_pyramid(df, "x", "y", 3).collect()}
+    xy = np.array(rows[:500])
+    part = (xy - xy.min(0)) / (xy.max(0) - xy.min(0))
+    want = {}
+    for level in range(4):
+        for kx, ky in np.minimum(np.floor(part * 2**level), 2**level - 1).astype(int).tolist():
+            want[level, kx, ky] = want.get((level, kx, ky), 0) + 1
+    assert got == want
+
+
+def test_grid_pyramid_of_one_value_and_of_nothing(spark):
+    df = spark.createDataFrame([(2.0, 5.0)] * 3, "x double, y double")
+    got = sorted(map(tuple, charts.grid_pyramid(df, "x", "y", 1).collect()))
+    assert got == [(0, 0, 0, 3), (1, 1, 1, 3)]
+    assert charts.grid_pyramid(df.where("false"), "x", "y").count() == 0
