@@ -5,12 +5,11 @@ if it has the same words in a row.  A window is seen as a set of shingles of ``S
 windows) at known offsets; holding it means holding all of them, so its necessary prefix is one shingle, and the
 rarest in the documents is taken.
 
-One pass over the documents keeps, of each row, the places whose shingle occurs in the benchmark, with the words
-around them.  From these places come the shingles' frequencies, hence every window's prefix; places and prefixes
-are joined, windows that would begin before or end after the document are dropped (position and length bound), and
-the words are compared.  Shingles are looked up by a 64-bit hash, the words themselves decide.
-
-Up to ``HELD`` distinct shingles the look-up is a set in the expression; a larger benchmark is joined instead.
+One pass over the documents keeps, of each row, the places whose shingle may occur in the benchmark: a bit map of
+``FILTER`` bits, of one size whatever the benchmark, tells most others away.  From these places come the shingles'
+frequencies, hence every window's prefix; places and prefixes are joined by the shingles' 64-bit hashes, windows that
+would begin before or end after the document are dropped (position and length bound), and the words of the row, which
+are stored beside its places, are compared.  What the bit map lets through in error meets no prefix.
 
 Null texts have no word.  Null items and items without words give no window.  Items with one ``item_id`` count once;
 null item ids count as the text ``null``.  Documents are judged row by row, whatever their key: repeated rows stay
@@ -27,11 +26,15 @@ from pyspark.sql import functions as F
 
 from shelflight.llm.common import stored
 
-WINDOW, SHINGLE, HELD = 13, 4, 100_000
+WINDOW, SHINGLE = 13, 4
+#: Bits of the map of known shingles, a power of two: half a megabyte in the plan.
+FILTER = 1 << 22
 #: A document is contaminated if hit words times this reach its words.
 PART = 20
 #: Fixed value: everything between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Places of a hash in the map of known shingles.
+BITS = ("{h} & {mask}L", "shiftrightunsigned({h}, 32) & {mask}L")
 OUTPUTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
@@ -61,37 +64,47 @@ def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", win
     return folded.withColumn("shingles", F.expr(by_size))
 
 
-def places(docs: DataFrame, keep: list[str], known: DataFrame, text: str = "text", window: int = WINDOW,
-           shingle: int = SHINGLE, held: int = HELD) -> DataFrame:
-    """One stored row per document: a number, the columns to keep, ``n_words``, and ``found``: places with a known shingle."""
+def bit_map(known: DataFrame, bits: int = FILTER) -> Column:
+    """A map of ``bits`` bits with two of them set for every hash ``h``, as an array of numbers."""
+    at = F.explode(F.array(*(F.expr(e.format(h="h", mask=bits - 1)) for e in BITS)))
+    rows = (known.select(at.alias("at"))
+            .select(F.expr("CAST(at DIV 64 AS INT)").alias("slot"), F.expr("shiftleft(1L, CAST(at % 64 AS INT))").alias("bit"))
+            .groupBy("slot").agg(F.bit_or("bit").alias("value")).collect())  # at most bits / 64 rows
+    slots = [0] * (bits // 64)
+    for r in rows:
+        slots[r["slot"]] = r["value"]
+    return F.split(F.lit(",".join(map(str, slots))), ",").cast("array<bigint>")
+
+
+def _may_hold(slots: Column, h: Column, bits: int) -> Column:
+    def bit(at: Column) -> Column:
+        return F.getbit(F.get(slots, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    mask = F.lit(bits - 1).cast("bigint")
+    return bit(h.bitwiseAND(mask)) & bit(F.shiftrightunsigned(h, 32).bitwiseAND(mask))
+
+
+def _places_of(q: int, slots: Column, bits: int) -> Column:
+    """Places of the words ``__w`` whose shingle of ``q`` words may be known."""
+    def hashed(i: Column) -> Column:
+        return F.xxhash64(*(F.get("__w", i + k) for k in range(q)))
+
+    starts = F.expr(f"CASE WHEN size(__w) >= {q} THEN sequence(0, size(__w) - {q}) ELSE array() END")
+    held = F.filter(starts, lambda i: _may_hold(slots, hashed(i), bits))
+    return F.transform(held, lambda i: F.struct(i.cast("int").alias("pos"), F.lit(q).alias("q"), hashed(i).alias("h")))
+
+
+def places(docs: DataFrame, keep: list[str], known: DataFrame, text: str = "text", shingle: int = SHINGLE,
+           bits: int = FILTER) -> DataFrame:
+    """One stored row per document: a number, the columns to keep, ``n_words``, its words, and ``found``: places that
+    may have a known shingle."""
     rows = docs.select(*(F.col(f"`{c}`") for c in keep), words(F.col(text)).alias("__w"))
-    # The words around a place: every window over it fits between `from` and `from` + 2 * window.
-    around = (f"struct(i AS pos, {{q}} AS q, {{h}} AS h, greatest(i - {window}, 0) AS origin, "
-              f"slice(__w, greatest(i - {window}, 0) + 1, {2 * window}) AS words)")
-    span = "CASE WHEN size(__w) >= {q} THEN sequence(0, size(__w) - {q}) ELSE array() END"
-    lengths = [r["q"] for r in known.select("q").distinct().collect()]  # at most SHINGLE values
-    few = known.count() <= held
-    found = []
-    if few:
-        for q in sorted(lengths):
-            listed = ", ".join(f"{r['h']}L" if r["h"] > -(1 << 63) else "(-9223372036854775807L - 1L)"
-                               for r in known.where(F.col("q") == q).select("h").collect())
-            h = _hash("__w", "i", q)
-            found.append(f"transform(filter({span.format(q=q)}, i -> {h} IN ({listed})), i -> {around.format(q=q, h=h)})")
-        kind = "array<struct<pos:int,q:int,h:bigint,origin:int,words:array<string>>>"
-        all_found = F.expr(f"CAST(concat({', '.join(found)}) AS {kind})") if found else F.expr(f"CAST(array() AS {kind})")
-        return stored(rows.select(F.monotonically_increasing_id().alias("__row"), *(F.col(f"`{c}`") for c in keep),
-                                  F.size("__w").alias("n_words"), all_found.alias("found")), "places")
-    numbered = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "words")
-    marks = None
-    for q in sorted(lengths):
-        here = numbered.select("__row", F.posexplode(F.expr(f"transform({span.format(q=q)}, i -> {_hash('__w', 'i', q)})")).alias("pos", "h"))
-        here = here.join(known.where(F.col("q") == q).select("h", "q"), "h")
-        marks = here if marks is None else marks.unionByName(here)
-    by_row = marks.groupBy("__row").agg(F.collect_list(F.struct("pos", "q", "h")).alias("__marks"))
-    full = F.expr("transform(coalesce(__marks, array()), m -> " + around.format(q="m.q", h="m.h").replace("(i ", "(m.pos ") + ")")
-    return stored(numbered.join(by_row, "__row", "left")
-                  .select("__row", *(F.col(f"`{c}`") for c in keep), F.size("__w").alias("n_words"), full.alias("found")), "places")
+    slots = bit_map(known, bits)
+    lengths = sorted(r["q"] for r in known.select("q").distinct().collect())  # at most SHINGLE values
+    found = [_places_of(q, slots, bits) for q in lengths]
+    all_found = (F.concat(*found) if found else F.array()).cast("array<struct<pos:int,q:int,h:bigint>>")
+    return stored(rows.select(F.monotonically_increasing_id().alias("__row"), *(F.col(f"`{c}`") for c in keep),
+                              F.size("__w").alias("n_words"), F.col("__w"), all_found.alias("found")), "places")
 
 
 def occurrences(base: DataFrame, wins: DataFrame) -> DataFrame:
@@ -108,17 +121,19 @@ def occurrences(base: DataFrame, wins: DataFrame) -> DataFrame:
     met = (seen.join(prefixes, ["q", "h"])
            .withColumn("start", F.col("pos") - F.col("shift"))
            .where((F.col("start") >= 0) & (F.col("start") + F.size("window") <= F.col("n_words"))))
-    held = met.where(F.expr("slice(words, start - origin + 1, size(window)) = window"))
+    held = (met.select("__row", "start", "window", "items")
+            .join(base.where(F.size("found") > 0).select("__row", "__w"), "__row")
+            .where(F.expr("slice(__w, start + 1, size(window)) = window")))
     return held.select("__row", "start", F.size("window").alias("length"), "items")
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, text: str = "text", item: str = "item_id",
-         item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, held: int = HELD) -> DataFrame:
+         item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, bits: int = FILTER) -> DataFrame:
     """The kept columns of ``docs`` with ``n_words, n_hit, n_items, items_sha256, contaminated``."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in OUTPUTS]
     wins = stored(windows(benchmark, item, item_text, window, shingle), "windows")
     known = wins.select(F.explode("shingles").alias("s")).select("s.q", "s.h").distinct()
-    base = places(docs, keep, known, text, window, shingle, held)
+    base = places(docs, keep, known, text, shingle, bits)
     spans = occurrences(base, wins).groupBy("__row").agg(
         F.sort_array(F.collect_set(F.struct("start", "length"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("found_items"))
@@ -128,7 +143,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, t
     hits = spans.select("__row", covered.cast("bigint").alias("n_hit"), F.size("found_items").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join("found_items", ","), 256).alias("items_sha256"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
-    return (base.drop("found").join(hits, "__row", "left")
+    return (base.drop("found", "__w").join(hits, "__row", "left")
             .select(*(F.col(f"`{c}`") for c in keep), F.col("n_words").cast("bigint").alias("n_words"), n_hit.alias("n_hit"),
                     F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
                     F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
