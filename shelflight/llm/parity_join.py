@@ -43,8 +43,8 @@ from shelflight.llm.common import arrow_pass, batch, stored
 SHINGLE, RATIO = 5, 1.25
 #: Documents in a block of a list that is compared block by block.
 BLOCK = 1024
-#: Ids of eight bytes that may be sent to every task, members of a lot of lists, and pairs that a task remembers.
-HELD, LOT, REMEMBERED = 1_000_000, 100_000, 100_000
+#: Members of a lot of lists, and pairs that a task remembers.
+LOT, REMEMBERED = 100_000, 100_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -232,9 +232,8 @@ def _lists(docs: DataFrame, buckets: int) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose texts reach the similarity."""
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    # Only texts of candidates travel.  Up to HELD ids go to every task, more are joined by a shuffle.
-    wanted = F.broadcast(ids) if ids.count() <= HELD else ids
-    texts = stored(docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(wanted, "id", "left_semi"), "texts")
+    # Only texts of candidates are stored.  The ids are a stored table, whose size tells Spark how to join them.
+    texts = stored(docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(ids, "id", "left_semi"), "texts")
 
     def check(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         last: tuple[str | None, np.ndarray] = (None, np.zeros(0, np.uint64))
@@ -294,7 +293,8 @@ def _across(lists: DataFrame, known: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs of mixed lists that lie in different components and that sizes and sketches do not rule out.
 
     Versions of one text share many lists, so lists with the same least component go to the same lots, and a
-    task gives a pair once.  A lot holds about ``LOT`` members, so a large group has many.
+    task gives a pair once.  A lot holds about ``LOT`` members, so a large group has many; the meetings of the blocks
+    of one long list are dealt out over them.
     """
     listed = lists.select(F.xxhash64("members").alias("list"), F.posexplode("members").alias("at", "doc_id"))
     placed = (listed.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -302,11 +302,12 @@ def _across(lists: DataFrame, known: DataFrame, groups: DataFrame) -> DataFrame:
     mixed = placed.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("at").alias("last"))
     mixed = stored(mixed.where("low < high").select("list", "low", "last", F.expr(f"last div {BLOCK}").cast("int").alias("blocks")), "mixed")
     lots = mixed.groupBy("low").agg(F.ceil(F.sum((F.col("last") + 1) * (F.col("blocks") + 1)) / LOT).alias("lots"))
-    mixed = mixed.join(lots, "low").select("list", "low", "blocks", F.pmod("list", "lots").alias("lot"))
+    mixed = mixed.join(lots, "low").select("list", "low", "blocks", "lots")
     # A member goes to its block's own meeting and to those with the other blocks of its list.
     rows = (placed.join(mixed, "list").withColumn("block", F.expr(f"at div {BLOCK}").cast("int"))
-            .select("low", "lot", "list", "doc_id", "component", "block", F.explode(F.expr("sequence(0, blocks)")).alias("other"))
-            .select("low", "lot", "list", "doc_id", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
+            .select("low", "lots", "list", "doc_id", "component", "block", F.explode(F.expr("sequence(0, blocks)")).alias("other"))
+            .select("low", "lots", "list", "doc_id", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+            .withColumn("lot", F.pmod(F.xxhash64("list", "i", "j"), "lots")))
     rows = rows.join(known.select("doc_id", "n", "sketch"), "doc_id")
 
     def compare(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
