@@ -137,6 +137,13 @@ def test_character_references(spark):
     assert value(spark, None, tx.unescape(F.col("html"))) is None
 
 
+def test_references_end_with_a_semicolon(spark):
+    page = """<h1>so&ccedil;a&amp;&amp; n&amp</h1><a href="/?a=1&copy=2&amp;b=3">x &#x17E; &notit; &lt</a>"""
+    assert value(spark, page, pages.title(F.col("html"), Tag("h1"))) == "soça&& n&amp"
+    assert value(spark, page, pages.links(F.col("html"), Tag("a"))) == ["/?a=1&copy=2&b=3"]
+    assert Page(page).first(Tag("a")).text == "x ž &notit; &lt"
+
+
 def test_numbers_are_whole_texts(spark):
     rows = [" 12.5 ", "-3", "+.5", "4.", "1e3", "12d", "1.5f", "", " ", "1 2", "0x1A", "NaN", "1,5", "--1", None]
     df = spark.createDataFrame(list(enumerate(rows)), "i int, t string").orderBy("i")
