@@ -10,6 +10,7 @@ from shelflight.operators import clean, merge, reports
 from shelflight.plans import bindings as b
 from shelflight.plans import extract
 from shelflight.plans.reports import price_stats_sql
+from shelflight.session import settle
 from shelflight.sources import collect, offers, pages
 
 
@@ -30,7 +31,8 @@ def collected(spark: SparkSession, d: str) -> DataFrame:
 
 def end_to_end(spark: SparkSession, d: str) -> DataFrame:
     """Prices per category after the offers of this run were merged into those of the last."""
-    batch = collect.with_price_only(collected(spark, d))
+    # Stored once: the last run's offers and this run's are both made of them, and cleaning filters by many of their columns.
+    batch = settle(collect.with_price_only(collected(spark, d)), "batch")
     # The last run had half of the addresses, at twice the price.
     last = batch.where("id % 2 = 0").withColumns({
         "id": -F.col("id"), "cena": F.col("cena") * 2, "datum_preuzimanja": F.lit("2024-04-02 06:00:00").cast("timestamp_ntz")})

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelflight import fixed_values as fixed
 from shelflight.functions import text as tx
 from shelflight.plans import bindings as b
+from shelflight.session import settle
 from shelflight.sources import offers, pages
 
 #: What the shop pages and documents are written from.
@@ -108,7 +109,9 @@ def offer_documents(spark: SparkSession, d: str) -> DataFrame:
         F.array(F.concat(F.lit("/"), F.col("kategorija"), F.lit("/"))).alias("categories"),
         F.struct(prices(F.col("cena")).alias("sellingPrice"), prices(F.col("lista")).alias("listPrice")).alias("priceRange"),
         F.array(F.struct(specs.alias("specifications"))).alias("specificationGroups"))
-    return shop_items(spark, d).select("id", "kategorija", F.to_json(document).alias("dokument"))
+    # Stored as a shop's answers are: a filter on a field would otherwise be pushed below the dealing out of the parts, and
+    # there write and read the documents anew, in the one task that reads the parts.
+    return settle(shop_items(spark, d).select("id", "kategorija", F.to_json(document).alias("dokument")), "documents")
 
 
 def payload_pages(spark: SparkSession, d: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelflight.functions import text as tx
 from shelflight.roles import OFFER_SCHEMA
+from shelflight.plans import extract
 from shelflight.sources import collect, offers, pages
 from shelflight.sources.elements import Page, Tag
 
@@ -144,6 +145,14 @@ def test_references_end_with_a_semicolon(spark):
     assert Page(page).first(Tag("a")).text == "x ž &notit; &lt"
 
 
+def test_filters_stay_behind_the_dealing_of_parts(spark, tmp_path):
+    spark.range(20_000).selectExpr("id AS p_partkey", "'x' AS p_name", "'y' AS p_brand", "'PROMO' AS p_type", "1 AS p_size",
+                                   "2.0D AS p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    parsed = offers.parse_documents(extract.offer_documents(spark, str(tmp_path))).where("productName <> ''")
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in plan and "Repartition" not in plan and parsed.count() == 20_000
+
+
 def test_numbers_are_whole_texts(spark):
     rows = [" 12.5 ", "-3", "+.5", "4.", "1e3", "12d", "1.5f", "", " ", "1 2", "0x1A", "NaN", "1,5", "--1", None]
     df = spark.createDataFrame(list(enumerate(rows)), "i int, t string").orderBy("i")
