@@ -6,9 +6,11 @@ import json
 import re
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from shelflight import fixed_values as fixed
 from shelflight.functions import text as tx
@@ -24,6 +26,9 @@ specificationGroups array<struct<specifications: array<struct<name: string, valu
 
 CHUNK = re.compile(fixed.SCRIPT_CHUNK, re.S)
 
+#: Pages whose offers a task holds at once.
+PAGES_AT_ONCE = 64
+
 
 def _offers_within(value) -> Iterator[dict]:
     """Objects with a product name, outermost first, in document order."""
@@ -62,16 +67,21 @@ def _offers_in_page(html: str) -> list[tuple[str | None, str]]:
 
 def embedded_offers(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """``(key, pozicija, referenca, dokument)`` for every offer document inside the pages' scripts."""
-    def harvest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    key_type = pages.schema[key].dataType.simpleString()
+    found = to_arrow_schema(StructType.fromDDL(f"{key} {key_type}, pozicija int, referenca string, dokument string"))
+
+    def harvest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A page's offers are longer than the page is in Arrow, so a batch is taken apart and sent on by few pages.
         for batch in batches:
-            rows = [(k, i, None if ref is None else str(ref), doc) for k, page in zip(batch[key], batch[html])
-                    for i, (ref, doc) in enumerate(_offers_in_page(page))]
-            yield pd.DataFrame(rows, columns=[key, "pozicija", "referenca", "dokument"])
+            for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = batch.slice(start, PAGES_AT_ONCE)
+                rows = [(k, i, None if ref is None else str(ref), doc) for k, page in zip(part[key].to_pylist(), part[html].to_pylist())
+                        for i, (ref, doc) in enumerate(_offers_in_page(page))]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), found)], schema=found)
 
     ship_package(pages.sparkSession)
-    key_type = pages.schema[key].dataType.simpleString()
-    return pages.select(key, html).mapInPandas(
-        harvest, f"{key} {key_type}, pozicija int, referenca string, dokument string")
+    return pages.select(key, html).mapInArrow(harvest, f"{key} {key_type}, pozicija int, referenca string, dokument string")
 
 
 def parse_documents(df: DataFrame, column: str = "dokument") -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,6 +154,17 @@ def test_filters_stay_behind_the_dealing_of_parts(spark, tmp_path):
     assert "to_json" not in plan and "Repartition" not in plan and parsed.count() == 20_000
 
 
+def test_offers_are_sent_on_by_few_pages(spark, monkeypatch):
+    chunk = json.dumps(json.dumps({"productName": "a", "productReference": "r"}))
+    html = f"<script>self.__next_f.push([1,{chunk}])</script>"
+    df = spark.range(200).select(F.col("id").alias("page_id"), F.lit(html).alias("html")).repartition(1)
+    sent = []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, read, schema: sent.extend(
+        read(iter(pa.Table.from_pylist([r.asDict() for r in self.collect()]).to_batches()))) or self)
+    offers.embedded_offers(df)
+    assert [b.num_rows for b in sent] == [64, 64, 64, 8] and sent[0].schema.names == ["page_id", "pozicija", "referenca", "dokument"]
+
+
 def test_numbers_are_whole_texts(spark):
     rows = [" 12.5 ", "-3", "+.5", "4.", "1e3", "12d", "1.5f", "", " ", "1 2", "0x1A", "NaN", "1,5", "--1", None]
     df = spark.createDataFrame(list(enumerate(rows)), "i int, t string").orderBy("i")
